@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.llm import language_id, mixing, packing, warc
+from sievework.llm import fingerprints, language_id, license_scan, mixing, packing, quality_rules, warc
 from sievework.llm.common import table
 
 
@@ -18,16 +18,28 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), with_ids=False)
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(table(spark, sf_dir, "documents"), keep=["doc_id"])
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.roundtrip(table(spark, sf_dir, "pages"))
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"), keep=["doc_id"]).drop("found")
+
+
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_edited(table(spark, sf_dir, "documents"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"), keep=["doc_id"])
     return mixed.orderBy(F.col("position").asc_nulls_last(), "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (op2_language_id, op4_packing, op7_warc, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op2_language_id, op4_packing, op6_quality_rules, op7_warc, op8_license_scan, op9_fingerprints, op10_mixing)}
 
 ORACLES = {
     "op7_warc": """
