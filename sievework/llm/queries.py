@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.llm import fingerprints, language_id, license_scan, mixing, packing, quality_rules, warc
+from sievework.llm import fingerprints, jaccard_join, language_id, license_scan, mixing, packing, quality_rules, warc
 from sievework.llm.common import table
 
 
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(table(spark, sf_dir, "documents"), n=3, threshold=(90, 100))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("held_out", language_id.held_out(F.col("doc_id")))
     return language_id.identify(docs, keep=["doc_id", "held_out"])
@@ -39,7 +43,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.orderBy(F.col("position").asc_nulls_last(), "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (op2_language_id, op4_packing, op6_quality_rules, op7_warc, op8_license_scan, op9_fingerprints, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard, op2_language_id, op4_packing, op6_quality_rules, op7_warc, op8_license_scan, op9_fingerprints, op10_mixing)}
 
 ORACLES = {
     "op7_warc": """

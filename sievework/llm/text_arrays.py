@@ -12,6 +12,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Text bytes that one numpy pass holds; one longer document makes a pass of its own.
 PASS_BYTES = 1 << 20
@@ -40,7 +41,7 @@ class Words:
 def passes(column: pa.Array, limit: int = PASS_BYTES) -> Iterator[tuple[int, pa.Array]]:
     """Slices of a string column with about ``limit`` bytes each, with their first row."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    sizes = np.asarray(pa.compute.binary_length(column).fill_null(0))
+    sizes = np.asarray(pc.binary_length(column).fill_null(0))
     at = 0
     while at < len(column):
         n = max(1, int(np.searchsorted(np.cumsum(sizes[at:]), limit, side="right")))
