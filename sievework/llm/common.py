@@ -62,6 +62,17 @@ def numbered(df: DataFrame, order: list[str], name: str) -> DataFrame:
     return ranged.join(starts, "_range").withColumn(name, F.col("_start") + inside - 1).drop("_range", "_start")
 
 
+#: Ids that a broadcast holds at most; more of them are joined by a shuffle.
+BROADCAST_IDS = 1 << 20
+
+
+def pick(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """The rows whose ``key`` is among ``ids``, before they are shuffled; ids are broadcast only after a count."""
+    ids = ids.select(key).distinct()
+    few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    return rows.join(F.broadcast(ids), key, "left_semi") if few else rows
+
+
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """Columns ``node`` and ``component`` (its smallest reachable node) for the ends of ``a``-``b``.
 

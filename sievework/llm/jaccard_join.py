@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievework.llm import text_arrays as ta
-from sievework.llm.common import components, cut, small_batches
+from sievework.llm.common import components, cut, pick, small_batches
 
 #: Frequent shingles that the broadcast order holds at most (12 bytes each).
 FREQUENT = 1 << 17
@@ -119,6 +119,8 @@ def overlaps(pairs: DataFrame, docs: DataFrame, n: int) -> DataFrame:
     """``a, b`` with ``na, nb`` and ``o``, the size of their sets' intersection, from the whole texts."""
     small_batches(docs.sparkSession, 128)
     texts = docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").alias("_text")).where("_id is not null")
+    ends = pairs.select(F.col("a").alias("_id")).union(pairs.select(F.col("b").alias("_id")))
+    texts = pick(texts, ends, "_id")
     left = pairs.join(texts, F.col("a") == F.col("_id")).select("a", "b", F.col("_text").alias("ta"))
     both = left.join(texts, F.col("b") == F.col("_id")).select("a", "b", "ta", F.col("_text").alias("tb"))
 
@@ -166,7 +168,8 @@ def join(docs: DataFrame, n: int = 5, threshold: tuple[int, int] = (8, 10)) -> D
 
     # 1. every set against the leaders of its lists
     own = lists.where("node <> leader").where(possible("n", "pos", "ln", "lpos"))
-    known = cut(overlaps(own.select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct(), docs, n), "known")
+    asked = cut(own.select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct(), "asked")
+    known = cut(overlaps(asked, docs, n), "known")
     links = known.where(_links(F.col("o"), F.col("na"), F.col("nb"), num, den)).select("a", "b")
     near = cut(components(links), "near")
 
@@ -195,7 +198,7 @@ def join(docs: DataFrame, n: int = 5, threshold: tuple[int, int] = (8, 10)) -> D
     sure = met.where(_links(F.col("lower"), F.col("na"), F.col("nb"), num, den)).select("a", "b")
     open_ = met.where(~F.coalesce(_links(F.col("lower"), F.col("na"), F.col("nb"), num, den), F.lit(False)) & F.coalesce(_links(F.col("upper"), F.col("na"), F.col("nb"), num, den), F.lit(True)))
     tried = known.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    compared = overlaps(open_.select("a", "b").join(tried, ["a", "b"], "left_anti"), docs, n)
+    compared = overlaps(cut(open_.select("a", "b").join(tried, ["a", "b"], "left_anti"), "open"), docs, n)
     more = compared.where(_links(F.col("o"), F.col("na"), F.col("nb"), num, den)).select("a", "b")
     more = cut(sure.union(more), "more")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.llm import fingerprints, jaccard_join, language_id, license_scan, mixing, packing, quality_rules, warc
+from sievework.llm import fingerprints, jaccard_join, language_id, license_scan, mixing, packing, quality_rules, substring_dedup, warc
 from sievework.llm.common import table
 
 
@@ -22,6 +22,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), with_ids=False)
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.dedup(table(spark, sf_dir, "documents"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"), keep=["doc_id"])
 
@@ -43,7 +47,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.orderBy(F.col("position").asc_nulls_last(), "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard, op2_language_id, op4_packing, op6_quality_rules, op7_warc, op8_license_scan, op9_fingerprints, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard, op2_language_id, op4_packing, op5_substring_dedup, op6_quality_rules, op7_warc, op8_license_scan, op9_fingerprints, op10_mixing)}
 
 ORACLES = {
     "op7_warc": """
