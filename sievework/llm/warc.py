@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sievework.llm.common import cut, new_path, small_batches
+from sievework.llm.common import BROADCAST_IDS, cut, new_path, small_batches
 
 REVISIT_BYTES = 1000
 DATE = "2024-01-01T00:00:00Z"
@@ -75,12 +75,19 @@ def store(pages: DataFrame, path: str, least: int = REVISIT_BYTES) -> None:
     kinds = classify(pages, least)
     made = header(F.col("record_type"), F.col("page_id"), F.col("url"), F.col("refers_to"), F.col("payload_digest"), F.col("payload_bytes"))
     kinds.withColumn("header", made).drop("url").write.option("compression", "zstd").parquet(f"{path}/headers")
-    # the payload is read from one row of those that have it: an id that holds it
     heads = spark.read.parquet(f"{path}/headers")
     one = heads.groupBy("strong").agg(F.max("page_id").alias("page_id"))
     body = F.coalesce(F.col("html"), F.lit("")).cast("binary")
-    rows = pages.select("page_id", body.alias("payload")).join(one, "page_id").where(F.unhex(F.sha2("payload", 256)) == F.col("strong"))
-    rows.dropDuplicates(["page_id", "strong"]).select("strong", "payload").write.option("compression", "zstd").parquet(f"{path}/payloads")
+    rows = pages.select("page_id", body.alias("payload"))
+    # an id that holds a payload for all its copies; the other ids are those of copies
+    copies = cut(heads.select("page_id", "strong").join(one, ["page_id", "strong"], "left_anti").select("page_id"), "copies")
+    ids = pages.agg(F.count("page_id").alias("n"), F.count(F.when(F.col("page_id").isNull(), 1)).alias("none")).first()
+    unique = ids["none"] == 0 and ids["n"] == heads.select("page_id").distinct().count()
+    if unique and copies.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
+        rows = rows.join(F.broadcast(copies), "page_id", "left_anti").select(F.unhex(F.sha2("payload", 256)).alias("strong"), "payload")
+    else:
+        rows = rows.join(one, "page_id").where(F.unhex(F.sha2("payload", 256)) == F.col("strong")).dropDuplicates(["page_id", "strong"]).select("strong", "payload")
+    rows.write.option("compression", "zstd").parquet(f"{path}/payloads")
 
 
 def restore(spark, path: str) -> DataFrame:
