@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.llm import fingerprints, jaccard_join, language_id, license_scan, mixing, packing, quality_rules, substring_dedup, warc
+from sievework.llm import fingerprints, jaccard_join, language_id, license_scan, lm_scoring, mixing, packing, quality_rules, substring_dedup, warc
 from sievework.llm.common import table
 
 
@@ -18,6 +18,11 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs, keep=["doc_id", "held_out"])
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return lm_scoring.score(docs, lm_scoring.train(docs), keep=["doc_id"])
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), with_ids=False)
 
@@ -47,7 +52,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.orderBy(F.col("position").asc_nulls_last(), "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard, op2_language_id, op4_packing, op5_substring_dedup, op6_quality_rules, op7_warc, op8_license_scan, op9_fingerprints, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard, op2_language_id, op3_lm_scoring, op4_packing, op5_substring_dedup, op6_quality_rules, op7_warc, op8_license_scan, op9_fingerprints, op10_mixing)}
 
 ORACLES = {
     "op7_warc": """
