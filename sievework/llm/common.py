@@ -73,6 +73,13 @@ def pick(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     return rows.join(F.broadcast(ids), key, "left_semi") if few else rows
 
 
+def without(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """The rows whose ``key`` isn't among ``ids``; ids are broadcast only after a count."""
+    ids = ids.select(key).distinct()
+    few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    return rows.join(F.broadcast(ids) if few else ids, key, "left_anti").select(*rows.columns)
+
+
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """Columns ``node`` and ``component`` (its smallest reachable node) for the ends of ``a``-``b``.
 

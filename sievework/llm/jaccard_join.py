@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievework.llm import text_arrays as ta
-from sievework.llm.common import components, cut, pick, small_batches
+from sievework.llm.common import components, cut, pick, small_batches, without
 
 #: Frequent shingles that the broadcast order holds at most (12 bytes each).
 FREQUENT = 1 << 17
@@ -206,3 +206,14 @@ def join(docs: DataFrame, n: int = 5, threshold: tuple[int, int] = (8, 10)) -> D
     classes = nodes.select("sig", "node").join(groups, "node", "left").select("sig", F.coalesce("component", "node").alias("component_id"))
     out = base.select("doc_id", F.col("n").alias("n_shingles"), F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("sig")).alias("sig"))
     return out.join(classes, "sig", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, n: int = 5, threshold: tuple[int, int] = (8, 10)) -> DataFrame:
+    """The rows of ``docs`` without near duplicates: of each component the document with the smallest id stays.
+
+    Of equal rows one stays; rows with a null id stay.
+    """
+    found = cut(join(docs, n, threshold), "components")
+    rest = without(docs, found.where("doc_id <> component_id"), "doc_id")
+    repeated = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).where("c > 1 and doc_id is not null")
+    return rest if repeated.isEmpty() else rest.dropDuplicates()

@@ -136,3 +136,11 @@ def identify(docs: DataFrame, keep: list[str], max_docs: int = MAX_TRAIN_DOCS) -
     return predict(docs, model, keep=keep)
 
 
+#: The posterior below which the pipeline rejects a document.
+LEAST_SCORE = 0.5
+
+
+def accepted(docs: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
+    """The rows of ``docs`` whose language could be told: not ``und``, posterior at least ``least``."""
+    told = identify(docs, keep=docs.columns)
+    return told.where((F.col("lang_pred") != "und") & (F.col("score") >= least)).select(*docs.columns)

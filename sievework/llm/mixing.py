@@ -90,3 +90,22 @@ def mix(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
     first = F.when(F.col("taken") > 0, at(F.col("_from")))
     again = F.when(F.col("taken") > F.col("size"), at(F.col("_from") + F.col("source_size")))
     return rows.select(*keep, "size", "source_size", "target", "taken", first.alias("position"), again.alias("position_again"))
+
+
+def mixture(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` as the mix takes them, sorted by training position: dropped, once or twice.
+
+    A last copy that is taken in part holds the first words of the text, joined by one space.
+    """
+    mixed = mix(docs, keep=["doc_id"]).dropDuplicates(["doc_id"]).where("taken > 0")
+    copies = F.array(
+        F.struct(F.col("position").alias("at"), F.least("taken", "size").alias("n")),
+        F.struct(F.col("position_again").alias("at"), (F.col("taken") - F.col("size")).alias("n")),
+    )
+    taken = mixed.select(F.col("doc_id").alias("_id"), "size", F.explode(copies).alias("_copy")).where("_copy.n > 0")
+    rows = docs.join(taken, F.col("doc_id").eqNullSafe(F.col("_id")))
+    part = F.array_join(F.slice(words(F.col("text")), F.lit(1), F.col("_copy.n").cast("int")), " ")
+    text = F.when(F.col("_copy.n") < F.col("size"), part).otherwise(F.col("text"))
+    rows = rows.orderBy("_copy.at", "doc_id").withColumn("text", text)
+    rows = rows.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in docs.columns else rows
+    return rows.select(*docs.columns)

@@ -52,7 +52,13 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.orderBy(F.col("position").asc_nulls_last(), "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard, op2_language_id, op3_lm_scoring, op4_packing, op5_substring_dedup, op6_quality_rules, op7_warc, op8_license_scan, op9_fingerprints, op10_mixing)}
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard, op2_language_id, op3_lm_scoring, op4_packing, op5_substring_dedup, op6_quality_rules, op7_warc, op8_license_scan, op9_fingerprints, op10_mixing, pipeline)}
 
 ORACLES = {
     "op7_warc": """

@@ -125,6 +125,14 @@ def passages_of(docs: DataFrame, wanted: DataFrame, window: int, gram: int) -> D
     return rows.mapInArrow(make, "anchor long, passage binary, sha256 string, begin int, weight long, words string")
 
 
+def _covered(begins: np.ndarray, n: int, window: int) -> np.ndarray:
+    """Which of ``n`` words the windows cover."""
+    edge = np.zeros(n + 1, np.int64)
+    np.add.at(edge, begins, 1)
+    np.add.at(edge, begins + window, -1)
+    return np.cumsum(edge)[:-1] > 0
+
+
 def _judge(passages: list[bytes], texts: list[str], weights: list[int], window: int, depth: int) -> list[tuple[bytes, list[int]]]:
     """The windows of each passage that occur twice or more in the shard."""
     ids: dict[str, int] = {}
@@ -226,10 +234,7 @@ def cut_words(docs: DataFrame, spans: DataFrame, window: int = WINDOW, with_text
                 if _digest(joined) != sha:
                     continue
                 parts, at = joined.split(b" "), np.asarray(begins.values)
-                edge = np.zeros(len(parts) + 1, np.int64)
-                np.add.at(edge, at, 1)
-                np.add.at(edge, at + window, -1)
-                gone = np.cumsum(edge)[:-1] > 0
+                gone = _covered(at, len(parts), window)
                 kept = b" ".join([parts[i] for i in np.flatnonzero(~gone)])
                 out.append((sha, int(gone.sum()), _digest(kept), kept.decode() if with_text else None))
             cols = list(zip(*out, strict=True)) or [[]] * 4
@@ -240,6 +245,39 @@ def cut_words(docs: DataFrame, spans: DataFrame, window: int = WINDOW, with_text
     return made if with_text else made.drop("kept_text").distinct()
 
 
+def without_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+    """``docs`` with the repeated words taken out of ``text`` (kept words joined by one space) and ``n_chars`` counted anew.
+
+    Texts that lose nothing stay as they are; rows that lose all their words go.
+    """
+    base, spans = removals(docs, window, gram)
+    begins = base.join(spans.select("sha256", "begins"), "sha256").select(F.col("doc_id").alias("_id"), "sha256", "begins").dropDuplicates(["_id", "sha256"])
+    columns = docs.columns
+    small_batches(docs.sparkSession)
+    rows = docs.join(begins, F.col("doc_id").cast("long") == F.col("_id"), "left").drop("_id")
+    at = columns.index("text")
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keep, texts = np.ones(b.num_rows, bool), b.column("text").to_pylist()
+            for i, (sha, begins) in enumerate(zip(b.column("sha256"), b.column("begins"), strict=True)):
+                if begins.is_valid:
+                    joined = _joined(texts[i])
+                    if _digest(joined) != sha.as_py():
+                        keep[i] = False  # the same id's other text has a row of its own
+                        continue
+                    parts = joined.split(b" ")
+                    texts[i] = b" ".join([parts[j] for j in np.flatnonzero(~_covered(np.asarray(begins.values), len(parts), window))]).decode()
+                    keep[i] = bool(texts[i])
+            arrays = [b.column(c) for c in columns]
+            arrays[at] = pa.array(texts, pa.string())
+            yield pa.RecordBatch.from_arrays(arrays, columns).filter(pa.array(keep))
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    out = rows.select(*columns, "sha256", "begins").mapInArrow(make, fields)
+    return out.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in columns else out
+
+
 def dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shard_passages: int = SHARD_PASSAGES) -> DataFrame:
     """``doc_id, n_words, n_removed, kept_sha256`` of every row."""
     base, spans = removals(docs, window, gram, shard_passages)
