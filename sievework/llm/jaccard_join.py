@@ -12,6 +12,8 @@ below all pairs of an index list:
 * for two sets of different components the bounds that follow from their overlaps with the
   common leader decide, where they can; only the rest is compared.
 
+Before texts are compared, parities of the sets' shingles in hash slots bound how much they differ.
+
 Links inside one component are not looked for again, so a group of thousands of near copies costs
 one comparison a copy and list leader, not one a pair. No link between different components is
 lost: pairs that share an index list and may reach the threshold are all decided.
@@ -36,7 +38,7 @@ from sievework.llm import text_arrays as ta
 from sievework.llm.common import components, cut, pick, small_batches, without
 
 #: Frequent shingles that the broadcast order holds at most (12 bytes each).
-FREQUENT = 1 << 17
+FREQUENT = 1 << 19
 #: Shingles that a task gathers before it counts them.
 GATHERED = 1 << 22
 
@@ -83,14 +85,16 @@ def frequent_shingles(docs: DataFrame, n: int, most: int = FREQUENT) -> tuple[np
 
 
 def prefixes(docs: DataFrame, n: int, num: int, den: int, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """``doc_id, n, sig, rare, prefix``: set size, digest of the set, its infrequent shingles, and its prefix in index order."""
+    """``doc_id, n, sig, rare, prefix, sketch``: set size, digest of the set, its infrequent shingles, its prefix in
+    index order, and the parities of its shingles in as many hash slots as it has shingles (a power of two, 256 at least).
+    """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(frequent)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, freq = shared.value
         for b in batches:
-            sizes, sigs, rares, parts, lens = [], [], [], [], []
+            sizes, sigs, rares, parts, lens, sketches, widths = [], [], [], [], [], [], []
             for _, texts in ta.passes(b.column("text")):
                 doc, token = ta.shingle_sets(ta.split(texts, lower=True), n)
                 first = np.searchsorted(doc, np.arange(len(texts) + 1))
@@ -105,14 +109,22 @@ def prefixes(docs: DataFrame, n: int, num: int, den: int, frequent: tuple[np.nda
                 sizes.append(size)
                 rares.append(np.bincount(doc[f == 0], minlength=len(texts)))
                 raw = token.tobytes()
+                width = np.maximum(256, 1 << np.ceil(np.log2(np.maximum(size, 1))).astype(np.int64))
+                bit = np.concatenate([[0], np.cumsum(width)])
+                odd = np.bincount(bit[doc] + (token & (width[doc] - 1).astype(np.uint64)).astype(np.int64), minlength=bit[-1]).astype(np.uint8) & 1
+                sketches.append(np.packbits(odd, bitorder="little").view("<i8"))
+                widths.append(width // 64)
                 sigs += [hashlib.blake2b(raw[8 * i : 8 * j], digest_size=16).digest() for i, j in zip(first[:-1], first[1:], strict=True)]
-            offsets = np.zeros(len(b.column(0)) + 1, np.int32)
-            np.cumsum(np.concatenate(lens) if lens else [], out=offsets[1:])
-            flat = pa.array((np.concatenate(parts) if parts else np.zeros(0, np.uint64)).view(np.int64))
+
+            def lists(values: list[np.ndarray], counts: list[np.ndarray]) -> pa.ListArray:
+                offsets = np.zeros(b.num_rows + 1, np.int32)
+                np.cumsum(np.concatenate(counts) if counts else [], out=offsets[1:])
+                return pa.ListArray.from_arrays(pa.array(offsets), pa.array((np.concatenate(values) if values else np.zeros(0, np.int64)).view(np.int64)))
+
             cat = lambda x: pa.array(np.concatenate(x).astype(np.int64) if x else np.zeros(0, np.int64))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), cat(sizes), pa.array(sigs, pa.binary()), cat(rares), pa.ListArray.from_arrays(pa.array(offsets), flat)], ["doc_id", "n", "sig", "rare", "prefix"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), cat(sizes), pa.array(sigs, pa.binary()), cat(rares), lists(parts, lens), lists(sketches, widths)], ["doc_id", "n", "sig", "rare", "prefix", "sketch"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(make, "doc_id long, n long, sig binary, rare long, prefix array<long>")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(make, "doc_id long, n long, sig binary, rare long, prefix array<long>, sketch array<long>")
 
 
 def overlaps(pairs: DataFrame, docs: DataFrame, n: int) -> DataFrame:
@@ -150,15 +162,34 @@ def _links(o: Column, na: Column, nb: Column, num: int, den: int) -> Column:
     return den * o >= num * (na + nb - o)
 
 
+def unlike(a: str, b: str) -> Column:
+    """Slots in which two sketches differ: no more than shingles that only one of the sets has. The longer is folded once."""
+    half = lambda x: F.size(x) / 2
+    folded = lambda x: F.zip_with(F.slice(x, F.lit(1), half(x).cast("int")), F.slice(x, (half(x) + 1).cast("int"), half(x).cast("int")), lambda p, q: p.bitwiseXOR(q))
+    pa_, pb = F.when(F.size(a) > F.size(b), folded(a)).otherwise(F.col(a)), F.when(F.size(b) > F.size(a), folded(b)).otherwise(F.col(b))
+    bits = F.zip_with(pa_, pb, lambda p, q: F.coalesce(F.bit_count(p.bitwiseXOR(q)), F.lit(0)))
+    return F.aggregate(bits, F.lit(0), lambda s, x: s + x)
+
+
+def alike(pairs: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs whose sketches leave room for the overlap; no link is lost."""
+    s = nodes.select(F.col("node").alias("_n"), F.col("n").alias("_size"), "sketch")
+    left = pairs.select("a", "b").join(s, F.col("a") == F.col("_n")).select("a", "b", F.col("_size").alias("na"), F.col("sketch").alias("sa"))
+    both = left.join(s, F.col("b") == F.col("_n")).select("a", "b", "na", F.col("_size").alias("nb"), "sa", F.col("sketch").alias("sb"))
+    both = both.where((num + den) * (F.col("na") + F.col("nb") - unlike("sa", "sb")) >= 2 * num * (F.col("na") + F.col("nb")))
+    return both.select("a", "b").distinct()
+
+
 def join(docs: DataFrame, n: int = 5, threshold: tuple[int, int] = (8, 10)) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row of ``docs``: the smallest id that links reach."""
     spark, (num, den) = docs.sparkSession, threshold
     small_batches(spark)
     base = cut(prefixes(docs, n, num, den, frequent_shingles(docs, n)), "prefixes")
-    nodes = cut(base.where("n > 0 and doc_id is not null").groupBy("sig").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("rare").alias("rare"), F.first("prefix").alias("prefix")), "nodes")
+    nodes = cut(base.where("n > 0 and doc_id is not null").groupBy("sig").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("rare").alias("rare"), F.first("prefix").alias("prefix"), F.first("sketch").alias("sketch")), "nodes")
     index = nodes.select("node", "n", "rare", F.posexplode("prefix").alias("pos", "token"))
     leaders = index.groupBy("token").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("rare", "node", "n", "pos")).alias("l")).where("c > 1")
-    leaders = leaders.select("token", F.col("l.node").alias("leader"), F.col("l.n").alias("ln"), F.col("l.pos").alias("lpos"))
+    # written, so that the join below has two plain shuffles, of which a frequent shingle's part can be split
+    leaders = cut(leaders.select("token", F.col("l.node").alias("leader"), F.col("l.n").alias("ln"), F.col("l.pos").alias("lpos")), "leaders")
     lists = cut(index.drop("rare").join(leaders, "token"), "lists")
 
     def possible(na: str, pa_: str, nb: str, pb: str) -> Column:
@@ -168,7 +199,7 @@ def join(docs: DataFrame, n: int = 5, threshold: tuple[int, int] = (8, 10)) -> D
 
     # 1. every set against the leaders of its lists
     own = lists.where("node <> leader").where(possible("n", "pos", "ln", "lpos"))
-    asked = cut(own.select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct(), "asked")
+    asked = cut(alike(own.select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct(), nodes, num, den), "asked")
     known = cut(overlaps(asked, docs, n), "known")
     links = known.where(_links(F.col("o"), F.col("na"), F.col("nb"), num, den)).select("a", "b")
     near = cut(components(links), "near")
@@ -176,7 +207,7 @@ def join(docs: DataFrame, n: int = 5, threshold: tuple[int, int] = (8, 10)) -> D
     # 2. what is left between different components
     label = near.select(F.col("node").alias("_node"), F.col("component").alias("_c"))
     lists = cut(lists.join(label, F.col("node") == F.col("_node"), "left").withColumn("comp", F.coalesce("_c", "node")).drop("_node", "_c"), "labelled")
-    mixed = lists.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("token")
+    mixed = cut(lists.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("token"), "mixed")
     lists = lists.join(mixed, "token", "left_semi")
     answers = known.select(F.col("a").alias("_a"), F.col("b").alias("_b"), "o")
     lists = lists.join(answers, (F.col("node") == F.col("_a")) & (F.col("leader") == F.col("_b")), "left").drop("_a", "_b")
@@ -198,7 +229,7 @@ def join(docs: DataFrame, n: int = 5, threshold: tuple[int, int] = (8, 10)) -> D
     sure = met.where(_links(F.col("lower"), F.col("na"), F.col("nb"), num, den)).select("a", "b")
     open_ = met.where(~F.coalesce(_links(F.col("lower"), F.col("na"), F.col("nb"), num, den), F.lit(False)) & F.coalesce(_links(F.col("upper"), F.col("na"), F.col("nb"), num, den), F.lit(True)))
     tried = known.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    compared = overlaps(cut(open_.select("a", "b").join(tried, ["a", "b"], "left_anti"), "open"), docs, n)
+    compared = overlaps(cut(alike(open_.select("a", "b").join(tried, ["a", "b"], "left_anti"), nodes, num, den), "open"), docs, n)
     more = compared.where(_links(F.col("o"), F.col("na"), F.col("nb"), num, den)).select("a", "b")
     more = cut(sure.union(more), "more")
 
