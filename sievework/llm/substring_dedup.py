@@ -193,7 +193,8 @@ def removals(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shard_pass
     small_batches(docs.sparkSession)
     base = cut(documents_of(docs, window, gram), "documents")
     index = base.where("size(anchors) > 0 and doc_id is not null").select("doc_id", F.explode("anchors").alias("anchor"))
-    often = index.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("anchor")
+    # written, so that the join has two plain shuffles, of which a frequent anchor's part can be split
+    often = cut(index.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("anchor"), "often")
     classes = base.where(f"n_words >= {window}").groupBy("sha256").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("weight")).where("node is not null")
     classes = cut(classes, "classes")
     found = index.join(often, "anchor").join(classes.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
