@@ -14,6 +14,8 @@ successor of the last document is the first; a single document succeeds itself.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,7 +25,7 @@ K = 6
 S = 2
 SKETCH = 48
 #: Documents of one sorted run, about.
-RUN = 2048
+RUN = 512
 #: Quantiles of the ids that are looked up to cut runs; runs are cut evenly between them.
 QUANTILES = 128
 
@@ -64,11 +66,11 @@ def with_sketch(rows: DataFrame, text: str, name: str) -> DataFrame:
     return with_anchors(rows, text, "_anchors").select(*old, sketch("_anchors").alias(name))
 
 
-def with_successor(rows: DataFrame, key: str, values: list[str]) -> DataFrame:
-    """Add ``next_<value>`` of the row that follows in the order of ``key`` and the values, cyclically.
+def with_successor(rows: DataFrame, key: str, values: list[str], derive: Callable[[DataFrame], DataFrame], derived: list[str]) -> DataFrame:
+    """Add ``derived`` and ``next_<value>`` of the row that follows in the order of ``key`` and the values, cyclically.
 
-    Rows are dealt once, by runs of neighbouring keys; the first row of the next run is looked up
-    for each run's last.
+    ``derive`` makes the columns ``derived`` from ``values``, once for a row. Rows are dealt once, by
+    runs of neighbouring keys; the first row of the next run is looked up for each run's last.
     """
     n, bounds = rows.agg(F.count(F.lit(1)), F.percentile_approx(key, [i / QUANTILES for i in range(QUANTILES + 1)], 10_000)).first()
     bounds = sorted(set(bounds or [0]))
@@ -85,11 +87,12 @@ def with_successor(rows: DataFrame, key: str, values: list[str]) -> DataFrame:
     after = F.coalesce(F.lead("_first").over(order), F.first("_first").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
     firsts = firsts.select("_run", after.alias("_after"))
     heads = rows.join(firsts.select(F.col("_after").alias(key)), key, "left_semi").groupBy(F.col(key).alias("_after")).agg(F.min(F.struct(*values)).alias("_head"))
-    firsts = cut(firsts.join(heads, "_after").drop("_after"), "heads")
+    heads = derive(cut(firsts.join(heads, "_after").select("_run", *[F.col(f"_head.{v}").alias(v) for v in values]), "heads"))
+    heads = heads.select("_run", F.struct(*values, *derived).alias("_head"))
     inside = Window.partitionBy("_run").orderBy(key, *values)
-    out = dealt(rows).withColumn("_next", F.lead(F.struct(*values)).over(inside)).join(firsts, "_run", "left")
+    out = derive(dealt(rows)).withColumn("_next", F.lead(F.struct(*values, *derived)).over(inside)).join(heads, "_run", "left")
     found = F.coalesce("_next", "_head")
-    return out.select(*rows.columns, *[found[v].alias(f"next_{v}") for v in values])
+    return out.select(*rows.columns, *derived, *[found[v].alias(f"next_{v}") for v in [*values, *derived]])
 
 
 def compare_edited(docs: DataFrame) -> DataFrame:
@@ -98,7 +101,7 @@ def compare_edited(docs: DataFrame) -> DataFrame:
     The texts are shuffled once.
     """
     rows = docs.select(F.col("doc_id"), F.coalesce("doc_id", F.lit(-(2**63))).alias("_key"), F.coalesce("text", F.lit("")).alias("_text"))
-    rows = with_successor(with_sketch(rows, "_text", "_own"), "_key", ["_text", "_own"])
+    rows = with_successor(rows, "_key", ["_text"], lambda df: with_sketch(df, "_text", "_own"), ["_own"])
     size = F.char_length("_text")
     gone = F.floor(size / 4).cast("int")
     edited = F.concat(F.substring("_text", F.lit(1), size - gone), F.substring("next__text", F.lit(1), gone))
