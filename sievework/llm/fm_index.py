@@ -41,7 +41,7 @@ class FMIndex:
         while k <= depth:
             r = ranks[-1]
             shifted = np.full(n, -1, np.int64)
-            shifted[: n - k] = r[k:]
+            shifted[: max(0, n - k)] = r[k:]
             key = r * (n + 2) + shifted + 1
             order = np.argsort(key, kind="stable")
             new = np.zeros(n, np.int64)

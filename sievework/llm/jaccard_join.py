@@ -19,8 +19,8 @@ one comparison a copy and list leader, not one a pair. No link between different
 lost: pairs that share an index list and may reach the threshold are all decided.
 
 Defined results: a text without words, or null, has an empty set and is linked with nothing. A null
-id keeps its row, with a null component. Repeated rows fall into one class. Very long texts
-have sets like others. An empty table gives an empty result.
+id keeps its row, with a null component. Repeated rows fall into one class; rows with one id and
+different texts are one document with the links of all. Very long texts have sets like others. An empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -104,7 +104,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], text: str = "t
     small_batches(spark)
     langs, table = model
     shared = spark.sparkContext.broadcast((langs, table.astype(np.float32)))
-    keep = docs.columns if keep is None else keep
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in ("lang_pred", "score")]
     rows = docs.select(*keep, F.col(text).alias("_text"))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -83,6 +83,7 @@ def scan(docs: DataFrame, keep: list[str], idf: dict[str, float] | None = None)
     an array of (label, place, share) for the templates that were verified.
 
     ``score`` is the largest verified share; 0.5 where only a base phrase was found; else 0.
+    Input columns of these names give way.
     """
     idf = inverse_frequencies(docs) if idf is None else idf
     rarest = -math.log(COMMON)
@@ -100,7 +101,9 @@ def scan(docs: DataFrame, keep: list[str], idf: dict[str, float] | None = None)
     starts = [p.split()[0] for p in BASE_PHRASES]
     wanted = sorted({*postings, *starts})
 
-    rows = docs.select(*keep, file_words(F.col("text")).alias("_words"))
+    added = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "found"]
+    rows = docs.select(F.struct(*[c for c in keep if c not in added]).alias("_row"), file_words(F.col("text")).alias("_words"))
+    keep = ["_row"]
     at = F.filter(F.transform("_words", lambda w, i: F.when(w.isin(wanted), F.struct(w.alias("w"), i.alias("i")))), lambda x: x.isNotNull())
     rows = rows.select(*keep, "_words", F.size("_words").cast("long").alias("n_words"), at.alias("_at"))
 
@@ -138,7 +141,7 @@ def scan(docs: DataFrame, keep: list[str], idf: dict[str, float] | None = None)
     own = F.transform("found", lambda x: x["label"])
     best = F.coalesce(F.array_max(F.transform("found", lambda x: x["share"])), F.when(F.size("_base") > 0, 0.5), F.lit(0.0))
     return rows.select(
-        *keep,
+        "_row.*",
         "n_words",
         F.size("_base").cast("long").alias("n_base"),
         F.array_min(F.transform("_base", lambda x: x["i"])).alias("first_word"),

@@ -61,12 +61,15 @@ def time_of(share: Column, start: Column, end: Column) -> Column:
 def mix(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """A row per document: ``keep`` (default: all columns), ``size, source_size, target, taken`` and the
     training times ``position`` and ``position_again`` at which its first and second copies stand (null if not taken).
+    Input columns of these names give way.
 
     Only ids, sources and sizes are shuffled, unless ``keep`` asks for more.
     """
-    keep = [c for c in docs.columns] if keep is None else keep
-    rows = docs.select(*[F.col(c) for c in keep], F.col("source").alias("_source"), F.size(words(F.col("text"))).cast("long").alias("size"))
-    rows = cut(rows.withColumn("_order", F.xxhash64(F.lit(42), F.col("doc_id"))) if "doc_id" in keep else rows.withColumn("_order", F.xxhash64(F.lit(42), *keep)), "sizes")
+    added = ["size", "source_size", "target", "taken", "position", "position_again"]
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in added]
+    size = F.size(words(F.col("text"))).cast("long")
+    rows = docs.select(F.struct(*keep).alias("_row"), F.col("source").alias("_source"), size.alias("size"), F.xxhash64(F.lit(42), F.col("doc_id")).alias("_order"), F.col("doc_id").alias("_id"))
+    rows = cut(rows, "sizes")
     sources = rows.groupBy(F.col("_source").alias("source")).agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs"))
     goal = cut(targets(sources).join(sources.select(F.col("source").alias("_s"), "n_docs"), F.col("source").eqNullSafe(F.col("_s"))).drop("_s"), "targets")
     goal = goal.withColumn("_runs", F.greatest(F.lit(1), F.ceil(F.col("n_docs") / F.lit(RUN)).cast("int")))
@@ -77,8 +80,7 @@ def mix(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
     sums = rows.groupBy(F.col("_source").alias("_key"), F.col("_run").alias("_at")).agg(F.sum("size").alias("_sum"))
     before = Window.partitionBy("_key").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.withColumn("_before", F.coalesce(F.sum("_sum").over(before), F.lit(0)))
-    ties = [c for c in keep if not dict(rows.dtypes)[c].startswith("map")]
-    inside = Window.partitionBy("_source", "_run").orderBy("_order", "size", *ties).rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("_source", "_run").orderBy("_order", "_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("_inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     rows = rows.join(sums.drop("_sum"), F.col("_source").eqNullSafe(F.col("_key")) & (F.col("_run") == F.col("_at"))).withColumn("_from", F.col("_before") + F.col("_inside"))
     whole = F.round("target").cast("long")
@@ -89,7 +91,7 @@ def mix(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
     at = lambda words_before: time_of(words_before / F.col("_whole"), F.col("start"), F.col("end"))
     first = F.when(F.col("taken") > 0, at(F.col("_from")))
     again = F.when(F.col("taken") > F.col("size"), at(F.col("_from") + F.col("source_size")))
-    return rows.select(*keep, "size", "source_size", "target", "taken", first.alias("position"), again.alias("position_again"))
+    return rows.select("_row.*", "size", "source_size", "target", "taken", first.alias("position"), again.alias("position_again"))
 
 
 def mixture(docs: DataFrame) -> DataFrame:
@@ -102,10 +104,10 @@ def mixture(docs: DataFrame) -> DataFrame:
         F.struct(F.col("position").alias("at"), F.least("taken", "size").alias("n")),
         F.struct(F.col("position_again").alias("at"), (F.col("taken") - F.col("size")).alias("n")),
     )
-    taken = mixed.select(F.col("doc_id").alias("_id"), "size", F.explode(copies).alias("_copy")).where("_copy.n > 0")
+    taken = mixed.select(F.col("doc_id").alias("_id"), F.col("size").alias("_size"), F.explode(copies).alias("_copy")).where("_copy.n > 0")
     rows = docs.join(taken, F.col("doc_id").eqNullSafe(F.col("_id")))
     part = F.array_join(F.slice(words(F.col("text")), F.lit(1), F.col("_copy.n").cast("int")), " ")
-    text = F.when(F.col("_copy.n") < F.col("size"), part).otherwise(F.col("text"))
+    text = F.when(F.col("_copy.n") < F.col("_size"), part).otherwise(F.col("text"))
     rows = rows.orderBy("_copy.at", "doc_id").withColumn("text", text)
     rows = rows.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in docs.columns else rows
     return rows.select(*docs.columns)

@@ -118,10 +118,14 @@ def mcd(points: DataFrame, keys: list[str], support: float = SUPPORT, steps: int
 
 
 def judge(docs: DataFrame, keep: list[str], cutoff: float = CUTOFF) -> DataFrame:
-    """``keep``, the columns of ``BASE``, ``distance`` (squared, null where the base rule failed) and ``kept``."""
+    """``keep``, the columns of ``BASE``, ``distance`` (squared, null where the base rule failed) and ``kept``.
+
+    Input columns of these names give way.
+    """
     groups = ["_lang", "_source"]
-    rows = docs.withColumns({"_lang": F.col("lang"), "_source": F.col("source")})
-    stats = cut(with_vector(text_statistics(rows, [*keep, *groups])), "statistics")
+    keep = [c for c in keep if c not in {*BASE, "distance", "kept"}]
+    rows = docs.select(F.struct(*keep).alias("_row"), F.col("lang").alias("_lang"), F.col("source").alias("_source"), "text")
+    stats = cut(with_vector(text_statistics(rows, ["_row", *groups])), "statistics")
     points = stats.where("not base_failed")
     own, wide = mcd(points, groups), mcd(points, groups[:1])
     names = [f"m{i}" for i in range(3)] + [f"c{i}{j}" for i, j in PAIRS]
@@ -130,6 +134,6 @@ def judge(docs: DataFrame, keep: list[str], cutoff: float = CUTOFF) -> DataFrame
     fit = cut(both.select(*groups, *[blend(c) for c in names]), "blend")
     passed = _matched(points, fit, groups).withColumn("distance", distance())
     failed = stats.where("base_failed").withColumn("distance", F.lit(None).cast("double"))
-    columns = [*keep, *BASE, "distance"]
+    columns = ["_row.*", *BASE, "distance"]
     out = passed.select(*columns).unionByName(failed.select(*columns))
     return out.withColumn("kept", F.coalesce(~F.col("base_failed") & (F.col("distance") <= cutoff), F.lit(False)))
