@@ -61,6 +61,28 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (op1_ngram_jaccard, op2_language_id, op3_lm_scoring, op4_packing, op5_substring_dedup, op6_quality_rules, op7_warc, op8_license_scan, op9_fingerprints, op10_mixing, pipeline)}
 
 ORACLES = {
+    "op1_ngram_jaccard": r"""
+        WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+              ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS g FROM w),
+        n AS (SELECT doc_id, len(g) AS n FROM s),
+        x AS (SELECT doc_id, unnest(g) AS t FROM s),
+        o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM x a JOIN x b ON a.t = b.t AND a.doc_id < b.doc_id GROUP BY 1, 2),
+        l AS (SELECT a, b FROM o JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * o >= 90 * (p.n + q.n - o)),
+        e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+        r AS (SELECT doc_id AS node, doc_id AS root FROM n UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.node)
+        SELECT n.doc_id, n.n::BIGINT AS n_shingles, min(r.root) AS component_id FROM n JOIN r ON r.node = n.doc_id GROUP BY 1, 2""",
+    "op5_substring_dedup": r"""
+        WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        v AS (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS s FROM w WHERE len(w) >= 35),
+        h AS (SELECT doc_id, s, md5(array_to_string(w[s : s + 34], ' ')) AS h FROM v),
+        again AS (SELECT h FROM h GROUP BY 1 HAVING count(*) > 1),
+        gone AS (SELECT DISTINCT doc_id, s + i AS at FROM h JOIN again USING (h), range(35) AS t(i)),
+        each AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS at FROM w),
+        kept AS (SELECT e.doc_id, string_agg(e.word, ' ' ORDER BY e.at) AS t FROM each e ANTI JOIN gone g ON g.doc_id = e.doc_id AND g.at = e.at GROUP BY 1),
+        lost AS (SELECT doc_id, count(*) AS c FROM gone GROUP BY 1)
+        SELECT w.doc_id, len(w.w)::BIGINT AS n_words, coalesce(lost.c, 0) AS n_removed, sha256(coalesce(kept.t, '')) AS kept_sha256
+        FROM w LEFT JOIN lost USING (doc_id) LEFT JOIN kept USING (doc_id)""",
     "op7_warc": """
         WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
         d AS (SELECT page_id, octet_length(body)::BIGINT AS payload_bytes, sha1(body) AS payload_digest FROM p),
