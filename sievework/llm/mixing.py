@@ -68,15 +68,15 @@ def mix(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
     added = ["size", "source_size", "target", "taken", "position", "position_again"]
     keep = [c for c in (docs.columns if keep is None else keep) if c not in added]
     size = F.size(words(F.col("text"))).cast("long")
-    rows = docs.select(F.struct(*keep).alias("_row"), F.col("source").alias("_source"), size.alias("size"), F.xxhash64(F.lit(42), F.col("doc_id")).alias("_order"), F.col("doc_id").alias("_id"))
+    rows = docs.select(F.struct(*keep).alias("_row"), F.col("source").alias("_source"), size.alias("size"), F.md5(F.concat(F.lit("42:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).alias("_order"), F.col("doc_id").alias("_id"))
     rows = cut(rows, "sizes")
     sources = rows.groupBy(F.col("_source").alias("source")).agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs"))
     goal = cut(targets(sources).join(sources.select(F.col("source").alias("_s"), "n_docs"), F.col("source").eqNullSafe(F.col("_s"))).drop("_s"), "targets")
     goal = goal.withColumn("_runs", F.greatest(F.lit(1), F.ceil(F.col("n_docs") / F.lit(RUN)).cast("int")))
     rows = rows.join(goal.select(F.col("source").alias("_key"), "source_size", "start", "end", "target", "_runs"), F.col("_source").eqNullSafe(F.col("_key"))).drop("_key")
     # the hash order of a source, dealt into runs: a running sum inside each, the sums of whole runs before it
-    lowest, width = F.lit(-(2.0**63)), F.lit(2.0**64)
-    rows = rows.withColumn("_run", F.floor((F.col("_order").cast("double") - lowest) / width * F.col("_runs")).cast("long"))
+    share = F.conv(F.substring("_order", 1, 8), 16, 10).cast("double") / float(1 << 32)
+    rows = rows.withColumn("_run", F.floor(share * F.col("_runs")).cast("long"))
     sums = rows.groupBy(F.col("_source").alias("_key"), F.col("_run").alias("_at")).agg(F.sum("size").alias("_sum"))
     before = Window.partitionBy("_key").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.withColumn("_before", F.coalesce(F.sum("_sum").over(before), F.lit(0)))

@@ -83,6 +83,22 @@ ORACLES = {
         lost AS (SELECT doc_id, count(*) AS c FROM gone GROUP BY 1)
         SELECT w.doc_id, len(w.w)::BIGINT AS n_words, coalesce(lost.c, 0) AS n_removed, sha256(coalesce(kept.t, '')) AS kept_sha256
         FROM w LEFT JOIN lost USING (doc_id) LEFT JOIN kept USING (doc_id)""",
+    "op10_mixing": r"""
+        WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size, md5('42:' || doc_id) AS o FROM documents),
+        s AS (SELECT source, sum(size)::BIGINT AS source_size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS k FROM d GROUP BY 1),
+        w AS (SELECT *, [5.0, 2.0, 1.0][k + 1]::DOUBLE AS weight, [1.5, 1.0, 0.5][k + 1]::DOUBLE AS a, [0.5, 1.0, 1.5][k + 1]::DOUBLE AS b, source_size * 2::DOUBLE AS most FROM s),
+        c AS (SELECT *, most / weight AS ratio, coalesce(sum(most) OVER up, 0) AS capped, coalesce(sum(weight) OVER up, 0) AS gone, sum(source_size) OVER ()::DOUBLE AS whole, sum(weight) OVER () AS weights
+              FROM w WINDOW up AS (ORDER BY most / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+        v AS (SELECT *, (whole * 1.5::DOUBLE - capped) / (weights - gone) AS lev FROM c),
+        t AS (SELECT source, source_size, a, b, least(most, coalesce(max(CASE WHEN lev <= ratio THEN lev END) OVER () * weight, most)) AS target FROM v),
+        f AS (SELECT d.*, t.source_size, t.a, t.b, t.target, round(t.target)::BIGINT AS goal,
+              coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY o, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before FROM d JOIN t ON t.source IS NOT DISTINCT FROM d.source),
+        g AS (SELECT *, CASE WHEN source_size > 0 THEN goal // source_size ELSE 0 END AS full_passes FROM f),
+        h AS (SELECT *, (full_passes * size + greatest(0, least(size, goal - full_passes * source_size - before)))::BIGINT AS taken FROM g)
+        SELECT doc_id, size, source_size, target, taken,
+          CASE WHEN taken > 0 THEN CASE WHEN a = b THEN before / goal::DOUBLE ELSE (sqrt(a * a + 2::DOUBLE * (b - a) * (before / goal::DOUBLE * (a + b) / 2)) - a) / (b - a) + 0::DOUBLE END END AS position,
+          CASE WHEN taken > size THEN CASE WHEN a = b THEN (before + source_size) / goal::DOUBLE ELSE (sqrt(a * a + 2::DOUBLE * (b - a) * ((before + source_size) / goal::DOUBLE * (a + b) / 2)) - a) / (b - a) + 0::DOUBLE END END AS position_again
+        FROM h""",
     "op7_warc": """
         WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
         d AS (SELECT page_id, octet_length(body)::BIGINT AS payload_bytes, sha1(body) AS payload_digest FROM p),
