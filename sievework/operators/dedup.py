@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 
 from sievework.functions.hashing import hamming
 from sievework.operators.graph import components
+from sievework.sources.shared import cut, numbered
 
 TIGHT, LOOSE = 4, 8
 MAX_AUGMENTED = 6
 SHARPNESS_FLOOR = 0.3
+#: Slices in which a cluster's rows are ranked before the slices' first rows are.
+SLICES = 64
 
 
 def collisions(df: DataFrame, hash_: str, label: str) -> DataFrame:
@@ -61,16 +64,39 @@ def near_pairs(classes: DataFrame, label: str, most: int, hash_: str = "hash", f
     return met.distinct() if banded else met
 
 
+def links(classes: DataFrame, label: str, most: int, hash_: str = "hash") -> DataFrame:
+    """``rep_a, rep_b``: near pairs enough to give the components of all of them.
+
+    Each class is compared with the first of its bands' lists; only pairs of a list that this has left in
+    different components are compared further. A large group of near copies so costs a comparison a
+    copy, not one a pair.
+    """
+    lists = classes.select(F.col(label).alias("_l"), F.col("rep").alias("_rep"), F.col(hash_).alias("_h"), F.explode(bands(F.col(hash_), most + 1)).alias("_x"))
+    heads = cut(lists.groupBy("_l", "_x").agg(F.min(F.struct("_rep", "_h")).alias("_head"), F.count(F.lit(1)).alias("_c")).where("_c > 1"), "heads")
+    met = cut(lists.join(heads, (lists["_l"] == heads["_l"]) & (lists["_x"] == heads["_x"])).select(lists["_l"], lists["_x"], "_rep", "_h", "_head"), "lists")
+    star = met.where((F.col("_rep") != F.col("_head._rep")) & (hamming(F.col("_h"), F.col("_head._h")) <= most)).select(F.col("_head._rep").alias("rep_a"), F.col("_rep").alias("rep_b")).distinct()
+    star = cut(star, "star")
+    found = components(star.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")))
+    met = cut(met.drop("_head").join(found, F.col("_rep") == F.col("node"), "left").withColumn("_c", F.coalesce("component", "_rep")).drop("node", "component"), "labelled")
+    mixed = cut(met.groupBy("_l", "_x").agg(F.min("_c").alias("_lo"), F.max("_c").alias("_hi")).where("_lo <> _hi").select("_l", "_x"), "mixed")
+    met = met.join(mixed, ["_l", "_x"], "left_semi")
+    other = met.select("_l", "_x", F.col("_rep").alias("_rep2"), F.col("_h").alias("_h2"), F.col("_c").alias("_c2"))
+    more = met.join(other, ["_l", "_x"]).where((F.col("_rep") < F.col("_rep2")) & (F.col("_c") != F.col("_c2")) & (hamming(F.col("_h"), F.col("_h2")) <= most))
+    return star.union(more.select(F.col("_rep").alias("rep_a"), F.col("_rep2").alias("rep_b")).distinct())
+
+
 def clusters(df: DataFrame, classes: DataFrame, pairs: DataFrame, label: str, order: str, hash_: str = "hash") -> DataFrame:
     """``df`` with ``component`` (its first row's order) and ``cluster_id``: label and number by first appearance.
 
-    Numbers come from one row a cluster, so a label's members never meet in one task.
+    Numbers come from one row a cluster, dealt by range, so neither a label's members nor its clusters meet in one task.
     """
     found = components(pairs.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")))
     reps = classes.join(found, F.col("rep") == F.col("node"), "left").select(F.col(label).alias("_l"), F.col(hash_).alias("_h"), F.coalesce("component", "rep").alias("component"))
-    firsts = reps.groupBy(F.col("_l").alias("_fl"), F.col("component").alias("_c")).count()
-    number = F.row_number().over(Window.partitionBy("_fl").orderBy("_c"))
-    firsts = firsts.select("_c", F.concat_ws("_", F.col("_fl"), number.cast("string")).alias("cluster_id"))
+    firsts = numbered(reps.select(F.col("_l").alias("_fl"), F.col("component").alias("_c")).distinct(), ["_fl", "_c"], "_at")
+    firsts = cut(firsts, "firsts")
+    begins = firsts.groupBy(F.col("_fl").alias("_bl")).agg(F.min("_at").alias("_begin"))
+    firsts = firsts.join(begins, F.col("_fl").eqNullSafe(F.col("_bl")))
+    firsts = firsts.select("_c", F.concat_ws("_", F.col("_fl"), (F.col("_at") - F.col("_begin") + 1).cast("string")).alias("cluster_id"))
     named = reps.join(firsts, F.col("component") == F.col("_c")).drop("_c")
     return df.join(named, (F.col(label) == F.col("_l")) & (F.col(hash_) == F.col("_h"))).drop("_l", "_h")
 
@@ -80,14 +106,20 @@ def choose(df: DataFrame, cluster: str, order: str, area: str, sharpness: str, c
 
     The canonical row has the largest area among those at least ``floor`` times as sharp as
     the sharpest (all, if nothing is sharp), ties to the first; of the others the first ``cap`` in
-    order are augmented. The canonical pick is a maximum; only others are ranked.
+    order are augmented.
     """
     best = df.groupBy(cluster).agg(F.max(sharpness).alias("_top"), F.count(F.lit(1)).alias("_n"))
     d = df.join(best, cluster)
     fit = (F.col("_top") == 0) | (F.col(sharpness) >= floor * F.col("_top"))
     pick = d.where(fit).groupBy(cluster).agg(F.max(F.struct(F.coalesce(area, F.lit(0)).alias("a"), (-F.col(order)).alias("o"))).alias("_p"))
     d = d.join(pick.select(cluster, (-F.col("_p.o")).alias("_canon")), cluster)
-    rest = d.where(F.col(order) != F.col("_canon")).withColumn("_r", F.row_number().over(Window.partitionBy(cluster).orderBy(order)))
-    rest = rest.withColumn("role", F.when(F.col("_r") <= cap, "augmented").otherwise("dropped")).drop("_r")
+    rest = d.where(F.col(order) != F.col("_canon"))
+    # the first rows of each slice of a cluster, then of these: a large cluster never meets in one task
+    part = F.pmod(F.xxhash64(order), F.lit(SLICES))
+    first = rest.select(F.col(cluster).alias("_fc"), F.col(order).alias("_fo"), part.alias("_part"))
+    first = first.withColumn("_r", F.row_number().over(Window.partitionBy("_fc", "_part").orderBy("_fo"))).where(F.col("_r") <= cap)
+    first = first.withColumn("_r", F.row_number().over(Window.partitionBy("_fc").orderBy("_fo"))).where(F.col("_r") <= cap)
+    rest = rest.join(first.select("_fc", "_fo"), (F.col(cluster) == F.col("_fc")) & (F.col(order) == F.col("_fo")), "left")
+    rest = rest.withColumn("role", F.when(F.col("_fc").isNotNull(), "augmented").otherwise("dropped")).drop("_fc", "_fo")
     kept = d.where(F.col(order) == F.col("_canon")).withColumn("role", F.when(F.col("_n") == 1, "unique").otherwise("canonical"))
     return kept.unionByName(rest).drop("_top", "_n", "_canon")

@@ -315,8 +315,7 @@ CLUSTERS = f"""{SIMHASH}, links AS (SELECT rep_a AS a, rep_b AS b FROM pairs WHE
 def _clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = _simhashed(spark, sf_dir)
     classes = cut(dedup.hash_classes(d, ["hash"], "label", "ord"), "classes")
-    pairs = dedup.near_pairs(classes, "label", dedup.TIGHT)
-    return cut(dedup.clusters(d, classes, pairs, "label", "ord").select("ord", "label", "size", "component", "cluster_id"), "clusters")
+    return cut(dedup.clusters(d, classes, dedup.links(classes, "label", dedup.TIGHT), "label", "ord").select("ord", "label", "size", "component", "cluster_id"), "clusters")
 
 
 @query(f"WITH RECURSIVE {CLUSTERS} SELECT ord, label, component, cluster_id FROM clustered")

@@ -30,6 +30,11 @@ def test_bands_find_all_pairs(spark):
     assert {(r["rep_a"], r["rep_b"], r["distance"]) for r in dedup.near_pairs(classes, "label", 8, flipped="flip").collect()} == want
 
 
+    got = {r["node"]: r["component"] for r in components(dedup.links(classes, "label", 4).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))).collect()}
+    pairs = dedup.near_pairs(classes, "label", 4).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))
+    assert got == {r["node"]: r["component"] for r in components(pairs).collect()} and len(got) > 20
+
+
 def test_components_of_a_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, i) for i in range(101, 130)] + [(200, 200)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
