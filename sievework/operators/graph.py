@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievework.sources.shared import cut
+from sievework.sources.shared import cut, drop
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
@@ -23,6 +23,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         small = large.join(low, "a").where("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))
         small = cut(small.union(low.select("a", F.col("low").alias("b"))).where("a <> b").distinct(), "small")
         changed = not small.exceptAll(now).isEmpty() or not now.exceptAll(small).isEmpty()
+        drop(large, now)
         now = small
         if not changed:
             roots = now.select(F.col("b").alias("node")).distinct()

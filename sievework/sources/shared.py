@@ -26,7 +26,17 @@ def cut(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it again, so that later jobs start there."""
     spark, path = df.sparkSession, new_path(df.sparkSession, tag)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def drop(*tables: DataFrame) -> None:
+    """Delete tables that ``cut`` wrote, once nothing that is still to run reads them."""
+    for t in tables:
+        jvm, conf = t.sparkSession._jvm, t.sparkSession._jsc.hadoopConfiguration()
+        path = jvm.org.apache.hadoop.fs.Path(t.written_to)
+        path.getFileSystem(conf).delete(path, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
