@@ -1,67 +1,31 @@
-"""Helpers that the text operators share: tables, lineage cuts, words, row numbers, components."""
+"""Helpers that the text operators share."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sievework.operators.graph import components
+from sievework.sources.shared import cut, drop, new_path, numbered, table
+
+__all__ = ["components", "cut", "drop", "new_path", "numbered", "pick", "small_batches", "table", "without", "words"]
+
 #: What separates words: space and the ASCII controls from tab to carriage return.
 WORD_GAP = r"[\x20\x09-\x0D]+"
 #: Rows in an Arrow batch. Texts can be long, so batches stay short.
 ARROW_ROWS = 256
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
     """Bound the rows that one Arrow batch hands to a Python worker."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; a new one of our own only where that is unset."""
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    if not where:
-        where = "file://" + tempfile.mkdtemp(prefix="sievework-")
-        spark.conf.set("spark.checkpoint.dir", where)
-    return where.rstrip("/")
-
-
-def new_path(spark: SparkSession, tag: str) -> str:
-    return f"{shared_dir(spark)}/sievework/{tag}-{uuid.uuid4().hex}"
-
-
-def cut(df: DataFrame, tag: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it again, so that later jobs start there."""
-    spark, path = df.sparkSession, new_path(df.sparkSession, tag)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def words(text: Column) -> Column:
     """The words of a text; none if it is null."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), WORD_GAP), "")
 
 
-def numbered(df: DataFrame, order: list[str], name: str) -> DataFrame:
-    """Add ``name``: the row's place from 0 in the order of ``order``, which must be total.
-
-    Rows are dealt by range; only the ranges' sizes, one row a partition, are summed in one place.
-    """
-    ranged = df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
-    ranged = cut(ranged, "ranged")
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_size"))
-    starts = sizes.select("_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
-    inside = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
-    return ranged.join(starts, "_range").withColumn(name, F.col("_start") + inside - 1).drop("_range", "_start")
-
-
 #: Ids that a broadcast holds at most; more of them are joined by a shuffle.
 BROADCAST_IDS = 1 << 20
 
@@ -69,39 +33,12 @@ BROADCAST_IDS = 1 << 20
 def pick(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """The rows whose ``key`` is among ``ids``, before they are shuffled; ids are broadcast only after a count."""
     ids = ids.select(key).distinct()
-    few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    few = ids.count() <= BROADCAST_IDS
     return rows.join(F.broadcast(ids), key, "left_semi") if few else rows
 
 
 def without(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """The rows whose ``key`` isn't among ``ids``; ids are broadcast only after a count."""
     ids = ids.select(key).distinct()
-    few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    few = ids.count() <= BROADCAST_IDS
     return rows.join(F.broadcast(ids) if few else ids, key, "left_anti").select(*rows.columns)
-
-
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
-    """Columns ``node`` and ``component`` (its smallest reachable node) for the ends of ``a``-``b``.
-
-    Alternates large-star and small-star steps until nothing changes. Each step is two
-    aggregations over edges, written to the shared folder, so no node's links meet in one task
-    except as a running minimum.
-    """
-    now = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    for _ in range(rounds):
-        both = now.select("a", "b").union(now.select(F.col("b"), F.col("a")))
-        low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"))
-        large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("low").alias("b"))
-        large = cut(large.where("a <> b").distinct(), "large")
-        low = large.groupBy("a").agg(F.min("b").alias("low"))
-        joined = large.join(low, "a")
-        small = joined.where("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))
-        small = cut(small.union(low.select("a", F.col("low").alias("b"))).where("a <> b").distinct(), "small")
-        changed = small.exceptAll(now).limit(1).count() or now.exceptAll(small).limit(1).count()
-        now = small
-        if not changed:
-            break
-    else:
-        raise RuntimeError(f"components did not settle in {rounds} rounds")
-    roots = now.select(F.col("b").alias("node")).distinct()
-    return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots.select("node", F.col("node").alias("component")))

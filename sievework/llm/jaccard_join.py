@@ -35,12 +35,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievework.llm import text_arrays as ta
-from sievework.llm.common import components, cut, pick, small_batches, without
+from sievework.llm.common import components, cut, drop, pick, small_batches, without
 
 #: Frequent shingles that the broadcast order holds at most (12 bytes each).
 FREQUENT = 1 << 19
 #: Shingles that a task gathers before it counts them.
-GATHERED = 1 << 22
+GATHERED = 1 << 21
 
 
 def frequent_shingles(docs: DataFrame, n: int, most: int = FREQUENT) -> tuple[np.ndarray, np.ndarray]:
@@ -190,7 +190,7 @@ def join(docs: DataFrame, n: int = 5, threshold: tuple[int, int] = (8, 10)) -> D
     leaders = index.groupBy("token").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("rare", "node", "n", "pos")).alias("l")).where("c > 1")
     # written, so that the join below has two plain shuffles, of which a frequent shingle's part can be split
     leaders = cut(leaders.select("token", F.col("l.node").alias("leader"), F.col("l.n").alias("ln"), F.col("l.pos").alias("lpos")), "leaders")
-    lists = cut(index.drop("rare").join(leaders, "token"), "lists")
+    lists = first = cut(index.drop("rare").join(leaders, "token"), "lists")
 
     def possible(na: str, pa_: str, nb: str, pb: str) -> Column:
         """Sizes and positions of a common shingle that leave room for the overlap."""
@@ -206,7 +206,7 @@ def join(docs: DataFrame, n: int = 5, threshold: tuple[int, int] = (8, 10)) -> D
 
     # 2. what is left between different components
     label = near.select(F.col("node").alias("_node"), F.col("component").alias("_c"))
-    lists = cut(lists.join(label, F.col("node") == F.col("_node"), "left").withColumn("comp", F.coalesce("_c", "node")).drop("_node", "_c"), "labelled")
+    lists = labelled = cut(lists.join(label, F.col("node") == F.col("_node"), "left").withColumn("comp", F.coalesce("_c", "node")).drop("_node", "_c"), "labelled")
     mixed = cut(lists.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("token"), "mixed")
     lists = lists.join(mixed, "token", "left_semi")
     answers = known.select(F.col("a").alias("_a"), F.col("b").alias("_b"), "o")
@@ -229,14 +229,18 @@ def join(docs: DataFrame, n: int = 5, threshold: tuple[int, int] = (8, 10)) -> D
     sure = met.where(_links(F.col("lower"), F.col("na"), F.col("nb"), num, den)).select("a", "b")
     open_ = met.where(~F.coalesce(_links(F.col("lower"), F.col("na"), F.col("nb"), num, den), F.lit(False)) & F.coalesce(_links(F.col("upper"), F.col("na"), F.col("nb"), num, den), F.lit(True)))
     tried = known.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    compared = overlaps(cut(alike(open_.select("a", "b").join(tried, ["a", "b"], "left_anti"), nodes, num, den), "open"), docs, n)
+    untried = cut(alike(open_.select("a", "b").join(tried, ["a", "b"], "left_anti"), nodes, num, den), "open")
+    compared = overlaps(untried, docs, n)
     more = compared.where(_links(F.col("o"), F.col("na"), F.col("nb"), num, den)).select("a", "b")
     more = cut(sure.union(more), "more")
 
     groups = components(near.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
+    drop(leaders, first, labelled, asked, known, near, mixed, met, untried, more)
     classes = nodes.select("sig", "node").join(groups, "node", "left").select("sig", F.coalesce("component", "node").alias("component_id"))
     out = base.select("doc_id", F.col("n").alias("n_shingles"), F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("sig")).alias("sig"))
-    return out.join(classes, "sig", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    out = out.join(classes, "sig", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    out.reads = [base, nodes]
+    return out
 
 
 def one_of_each(docs: DataFrame, n: int = 5, threshold: tuple[int, int] = (8, 10)) -> DataFrame:
@@ -244,7 +248,9 @@ def one_of_each(docs: DataFrame, n: int = 5, threshold: tuple[int, int] = (8, 10
 
     Of equal rows one stays; rows with a null id stay.
     """
-    found = cut(join(docs, n, threshold), "components")
+    linked = join(docs, n, threshold)
+    found = cut(linked, "components")
+    drop(*linked.reads)
     rest = without(docs, found.where("doc_id <> component_id"), "doc_id")
     repeated = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).where("c > 1 and doc_id is not null")
     return rest if repeated.isEmpty() else rest.dropDuplicates()

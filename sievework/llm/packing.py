@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievework.llm.common import cut, numbered, small_batches
+from sievework.llm.common import cut, drop, numbered, small_batches
 
 MAX_LENGTH = 1024
 END_ID = 0
@@ -80,6 +80,7 @@ def pack(docs: DataFrame, vocabulary: tuple[str, str] | None = None, longest: in
     ``ids`` (if asked for) holds the piece's ids as little-endian unsigned 32-bit integers.
     """
     # written once: dealing rows by range reads them twice
-    made = cut(pieces(docs, vocabulary, longest, with_ids), "pieces").withColumn("_bucket", -F.col("length"))
-    out = numbered(made, ["_bucket", "doc_id", "start", "ids_crc32"], "sequence_id")
+    written = cut(pieces(docs, vocabulary, longest, with_ids), "pieces")
+    out = numbered(written.withColumn("_bucket", -F.col("length")), ["_bucket", "doc_id", "start", "ids_crc32"], "sequence_id")
+    drop(written)
     return out.drop("_bucket").withColumn("offset", F.lit(0).cast("long"))

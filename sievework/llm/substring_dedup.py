@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievework.llm import text_arrays as ta
-from sievework.llm.common import cut, pick, small_batches
+from sievework.llm.common import cut, drop, pick, small_batches
 from sievework.llm.fm_index import FMIndex
 
 WINDOW = 35
@@ -200,7 +200,7 @@ def removals(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shard_pass
     found = index.join(often, "anchor").join(classes.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
     wanted = cut(found.groupBy(F.col("doc_id").alias("node")).agg(F.collect_set("anchor").alias("anchors")).join(classes, "node"), "wanted")
     passages = cut(passages_of(docs, wanted, window, gram), "passages")
-    distinct = cut(passages.groupBy("anchor", "passage").agg(F.sum("weight").alias("weight"), F.first("words").alias("words")), "distinct")
+    distinct = grouped = cut(passages.groupBy("anchor", "passage").agg(F.sum("weight").alias("weight"), F.first("words").alias("words")), "distinct")
 
     per_anchor = distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("c"), F.sum("weight").alias("w")).where("w > 1")
     distinct = distinct.join(per_anchor, "anchor")
@@ -220,7 +220,10 @@ def removals(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shard_pass
     hits = cut(hits, "hits")
     spans = passages.select("passage", "sha256", "begin").join(hits, "passage").select("sha256", F.explode(F.transform("hits", lambda i: i + F.col("begin"))).alias("begin"))
     spans = spans.groupBy("sha256").agg(F.sort_array(F.collect_set("begin")).alias("begins")).join(classes.select("sha256", "node"), "sha256")
-    return base.select("doc_id", "n_words", "sha256"), cut(spans, "spans")
+    spans = cut(spans, "spans")
+    lean = cut(base.select("doc_id", "n_words", "sha256"), "lean")
+    drop(base, often, classes, wanted, passages, grouped, crowded, hits)
+    return lean, spans
 
 
 def cut_words(docs: DataFrame, spans: DataFrame, window: int = WINDOW, with_text: bool = True) -> DataFrame:

@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Text bytes that one numpy pass holds; one longer document makes a pass of its own.
-PASS_BYTES = 1 << 20
+PASS_BYTES = 1 << 19
 _BASE = 0x9E3779B97F4A7C15 | 1
 _GAP = np.zeros(256, bool)
 _GAP[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
