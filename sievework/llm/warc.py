@@ -18,8 +18,10 @@ from __future__ import annotations
 
 import gzip
 import hashlib
+import io
 import re
 from collections.abc import Iterator
+from typing import BinaryIO
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -31,6 +33,8 @@ REVISIT_BYTES = 1000
 DATE = "2024-01-01T00:00:00Z"
 #: Records in one file at most.
 FILE_RECORDS = 4096
+#: Payload bytes that a reader hands on at once, about.
+HELD_BYTES = 1 << 24
 CRLF = "\r\n"
 
 
@@ -112,17 +116,19 @@ def write_files(records: DataFrame, path: str) -> None:
 _FIELD = {k: re.compile(rb"(?m)^" + v + rb": *(.*?)\r$") for k, v in {"type": b"WARC-Type", "id": b"WARC-Record-ID", "refers": b"WARC-Refers-To", "digest": b"WARC-Payload-Digest", "length": b"Content-Length"}.items()}
 
 
-def parse(data: bytes) -> Iterator[tuple[bytes, bytes]]:
-    """Header block and payload of each record of a WARC file's bytes."""
-    at = 0
-    while at < len(data):
-        stop = data.index(b"\r\n\r\n", at) + 4
-        head = data[at:stop]
-        n = int(_FIELD["length"].search(head)[1])
-        if data[stop + n : stop + n + 4] != b"\r\n\r\n":
+def parse(source: bytes | BinaryIO) -> Iterator[tuple[bytes, bytes]]:
+    """Header block and payload of each record of a WARC file, read one after the other."""
+    source = io.BytesIO(source) if isinstance(source, bytes) else source
+    while line := source.readline():
+        head = [line]
+        while head[-1] not in (CRLF.encode(), b""):
+            head.append(source.readline())
+        block = b"".join(head)
+        n = int(_FIELD["length"].search(block)[1])
+        body, end = source.read(n), source.read(4)
+        if len(body) < n or end != b"\r\n\r\n":
             raise ValueError("a record does not end where its Content-Length says")
-        yield head, data[stop : stop + n]
-        at = stop + n + 4
+        yield block, body
 
 
 def _key(uri: bytes) -> int:
@@ -136,20 +142,30 @@ def read_files(spark, path: str, with_payload: bool = True) -> DataFrame:
     """
     small_batches(spark, 1)  # a file a batch
 
+    names = ["page_id", "record_type", "refers_to", "payload_digest", "stored_bytes", "payload"]
+    kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.binary()]
+
+    def made(out: list[tuple]) -> pa.RecordBatch:
+        cols = list(zip(*out, strict=True)) or [[]] * 6
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names)
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for content in b.column("content"):
-                out = []
-                for head, body in parse(gzip.decompress(content.as_py())):
+                out, size = [], 0
+                # unzipped as it is read: records are handed on before the file is through
+                for head, body in parse(io.BufferedReader(gzip.GzipFile(fileobj=io.BytesIO(content.as_py())))):
                     got = {k: (m[1] if (m := x.search(head)) else None) for k, x in _FIELD.items()}
                     kind, said = got["type"].decode(), got["digest"].decode().removeprefix("sha1:")
                     digest = said if kind == "revisit" else hashlib.sha1(body).hexdigest()
                     if digest != said:
                         raise ValueError(f"the payload of {got['id']} does not match its digest")
                     out.append((_key(got["id"]), kind, _key(got["refers"]) if got["refers"] else None, digest, len(body), body if with_payload else None))
-                cols = list(zip(*out, strict=True)) or [[]] * 6
-                kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], ["page_id", "record_type", "refers_to", "payload_digest", "stored_bytes", "payload"])
+                    size += len(body) if with_payload else 0
+                    if len(out) >= FILE_RECORDS or size >= HELD_BYTES:
+                        yield made(out)
+                        out, size = [], 0
+                yield made(out)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
     return files.mapInArrow(read, "page_id long, record_type string, refers_to long, payload_digest string, stored_bytes long, payload binary")

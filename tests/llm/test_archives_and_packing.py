@@ -69,6 +69,8 @@ def test_a_damaged_record_is_noticed():
     assert [b for _, b in warc.parse(head + b"abc\r\n\r\n" + head + b"def\r\n\r\n")] == [b"abc", b"def"]
     with pytest.raises(ValueError, match="Content-Length"):
         list(warc.parse(head + b"abcd\r\n\r\n"))
+    with pytest.raises(ValueError, match="Content-Length"):
+        list(warc.parse(head + b"ab"))
     assert gzip.decompress(gzip.compress(b"x")) == b"x"
 
 
@@ -96,6 +98,19 @@ def test_ids_are_those_of_the_tokenizer(spark, docs, rows):
     assert seen == set(range(len(seen)))
 
 
+def test_long_white_space_has_the_ids_of_the_tokenizer():
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = [f"{a}{gap * 9}{b}" for a in ("", "a", "it's", "\x1c") for gap in (" ", "\n", " \t", "\u3000", "\x1c") for b in ("", "b", " c", "\u00e9", "\x1c")]
+    short = packing._encoder(*packing.default_vocabulary(), 4)
+    for x in [*texts, " ".join(texts)]:
+        assert short(x) == t.encode(x, add_special_tokens=False).ids
+    # beyond what the split pattern can step back over
+    long_ = "a" + " " * 1_200_000 + "b"
+    assert packing._encoder(*packing.default_vocabulary())(long_) == t.encode(long_, add_special_tokens=False).ids
+
+
 def test_sequences_are_numbered_by_bucket(docs, empty, odd):
     out = packing.pack(docs, with_ids=False).orderBy("sequence_id").collect()
     assert [r["length"] for r in out] == sorted((r["length"] for r in out), reverse=True)
