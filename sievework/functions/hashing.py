@@ -1,34 +1,57 @@
-"""64-bit similarity hashes of texts and vectors, and their distance, in DataFrame operations."""
+"""64-bit similarity hashes of texts and vectors, and their distance."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
+from hashlib import md5
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Rows in an Arrow batch of texts.
+ARROW_ROWS = 256
+#: Grams of one text whose digests are held at once.
+HELD_GRAMS = 1 << 16
+
 
 def hamming(a: Column, b: Column) -> Column:
     return F.bit_count(a.bitwiseXOR(b)).cast("int")
 
 
+def _simhash(text: str, grams: int) -> int:
+    """SimHash of one text whose words are parted by single spaces."""
+    words = text.split(" ")
+    n, sums = len(words) - grams + 1, np.zeros(64, np.int64)
+    for at in range(0, n, HELD_GRAMS):
+        part = words[at : at + HELD_GRAMS + grams - 1]
+        runs = zip(*[part[j:] for j in range(grams)], strict=False)
+        firsts = b"".join([md5(" ".join(r).encode()).digest()[:8] for r in runs])
+        sums += np.unpackbits(np.frombuffer(firsts, np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * sums > n).view(">i8")[0])
+
+
 def text_simhash(df: DataFrame, key: str, text: str, grams: int = 3) -> DataFrame:
     """``key, hash``: SimHash of lower-cased word n-grams, each by the first 64 bits of its MD5.
 
-    A bit is set if more than half of the grams set it. A text's grams are summed where they are
-    made; only one row a text is shuffled. Texts of fewer words have no row.
+    A bit is set if more than half of the grams set it. Texts of fewer words have no row. Nothing is
+    shuffled; digests and their bits are summed in tasks, since as SQL sums over exploded grams they take
+    many times the processor time.
     """
     norm = F.trim(F.regexp_replace(F.lower(F.col(text)), "[ \\t\\n\\r]+", " "))
-    words = df.select(key, F.split(norm, " ").alias("_w")).where(F.size("_w") >= grams)
-    runs = F.transform(F.sequence(F.lit(1), F.size("_w") - grams + 1), lambda i: F.array_join(F.slice("_w", i, grams), " "))
-    each = words.select(key, F.explode(runs).alias("_g"))
-    half = lambda at: F.conv(F.substring(F.md5(F.col("_g").cast("binary")), at, 8), 16, 10).cast("long")
-    each = each.select(key, half(1).alias("_hi"), half(9).alias("_lo"))
-    bit = lambda c, b: F.sum(F.shiftright(c, b).bitwiseAND(F.lit(1)))
-    sums = [bit("_hi", b).alias(f"h{b}") for b in range(32)] + [bit("_lo", b).alias(f"l{b}") for b in range(32)]
-    sums = each.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), *sums)
-    value = lambda p, shift: [F.when(2 * F.col(f"{p}{b}") > F.col("_n"), F.shiftleft(F.lit(1).cast("long"), b + shift)).otherwise(F.lit(0).cast("long")) for b in range(32)]
-    return sums.select(key, reduce(lambda a, b: a.bitwiseOR(b), value("h", 32) + value("l", 0)).alias("hash"))
+    rows = df.select(F.col(key).alias("_key"), norm.alias("_text")).where(F.size(F.split("_text", " ")) >= grams)
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            hashes = [_simhash(t.as_py(), grams) for t in b.column("_text")]
+            yield pa.RecordBatch.from_arrays([b.column("_key"), pa.array(hashes, pa.int64())], ["_key", "hash"])
+
+    # texts can be long, so batches stay short
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    kind = rows.schema["_key"].dataType.simpleString()
+    return rows.mapInArrow(make, f"_key {kind}, hash long").withColumnRenamed("_key", key)
 
 
 def sign_hash(vector: Column, reverse: bool = False) -> Column:
