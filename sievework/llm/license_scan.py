@@ -1,8 +1,8 @@
 """Licence scans with a positional rare-token index, in DataFrame operations.
 
 The index holds, for each word of the licence templates, where it stands in which template. A
-file looks up its licence words of highest inverse document frequency (counted over the whole
-corpus), subtracts template places from file places, and sums the frequencies' weight of words
+file looks up all its licence words (weighted by inverse document frequency, counted over the whole
+corpus; words that stand in too many documents aren't indexed), subtracts template places from file places, and sums the frequencies' weight of words
 that agree on one relative position. Where enough of a template's weight agrees, the template's
 mandatory key phrase is checked word by word at the place found, and its label is given.
 
@@ -41,8 +41,6 @@ TEMPLATES = {
     "mpl-2.0": ("this source code form is subject to the terms of the mozilla public license v 2 0", "mozilla public license v 2 0"),
     "unlicense": ("this is free and unencumbered software released into the public domain", "free and unencumbered software"),
 }
-#: A file's licence words of highest IDF that are looked up.
-LOOKED_UP = 24
 #: Share of a template's weight that must agree on one relative position.
 LEAST_SHARE = 0.6
 #: Words more frequent than this share of documents aren't in the index.
@@ -108,13 +106,11 @@ def scan(docs: DataFrame, keep: list[str], idf: dict[str, float] | None = None)
     rows = rows.select(*keep, "_words", F.size("_words").cast("long").alias("n_words"), at.alias("_at"))
 
     base = [_base_places(p, k) for p, k in BASE_PHRASES.items()]
-    # the file's distinct licence words by falling IDF
-    mine = F.array_intersect(F.array(*[F.lit(w) for w in order]), F.transform("_at", lambda x: x["w"]))
-    rows = rows.select(*keep, "_words", "n_words", "_at", F.concat(*base).alias("_base"), F.slice(mine, 1, LOOKED_UP).alias("_mine"))
+    rows = rows.select(*keep, "_words", "n_words", "_at", F.concat(*base).alias("_base"))
     entry = lambda k, i, w: F.struct(F.lit(k).alias("k"), F.lit(i).alias("i"), F.lit(float(max(index[w], 1e-6))).alias("v"))
     lookup = F.create_map(*[x for w in order for x in (F.lit(w), F.array(*[entry(k, i, w) for k, i in postings[w]]))])
     placed = lambda x: F.transform(lookup[x["w"]], lambda e: F.struct(e["k"].alias("k"), (x["i"] - e["i"]).alias("rel"), e["v"].alias("v")))
-    agree = F.sort_array(F.flatten(F.transform(F.filter("_at", lambda x: F.array_contains("_mine", x["w"])), placed)))
+    agree = F.sort_array(F.flatten(F.transform(F.filter("_at", lambda x: x["w"].isin(order)), placed)))
     rows = rows.select(*keep, "_words", "n_words", "_base", agree.alias("_agree"))
     differs = lambda x, i: F.coalesce((F.get("_agree", i - 1)["k"] != x["k"]) | (F.get("_agree", i - 1)["rel"] != x["rel"]), F.lit(True))
     firsts = F.filter(F.transform("_agree", lambda x, i: F.when(differs(x, i), i)), lambda i: i.isNotNull())

@@ -80,6 +80,20 @@ def test_licences(spark, docs, rows, empty, odd):
     assert license_scan.scan(empty, keep=["doc_id"]).count() == 0 and license_scan.scan(odd, keep=["doc_id"]).count() == 6
 
 
+def test_files_with_several_licences(spark):
+    names = sorted(license_scan.TEMPLATES)
+    sets = [["bsd", "mit-text"], ["bsd", "mit-text", "mpl-2.0"], names, names[::-1]]
+    texts = [" und ".join(license_scan.TEMPLATES[k][0] for k in s) for s in sets]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    equal = dict.fromkeys(license_scan.licence_words(), 5.0)
+    own = {w: 3.0 + i % 7 for i, w in enumerate(license_scan.licence_words())}
+    for idf in (equal, own):
+        got = {r["doc_id"]: r["found"] for r in license_scan.scan(df, keep=["doc_id"], idf=idf).collect()}
+        for i, s in enumerate(sets):
+            whole = {x["label"]: x["place"] for x in got[i] if x["share"] > 0.999}
+            assert whole == {k: len(" und ".join(license_scan.TEMPLATES[x][0] for x in s[:j]).split()) + (j > 0) for j, k in enumerate(s)}
+
+
 def test_fingerprints(docs, rows):
     out = fingerprints.compare_edited(docs)
     assert "Python" not in plan(out)
