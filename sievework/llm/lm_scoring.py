@@ -5,10 +5,13 @@ summed conditional log-probabilities score the document. Tokens are lower-cased
 two digits of ``CODE``: the corpus' frequent words have codes of their own, the others
 share codes by hash. The network embeds the context, has one hidden layer and predicts the first
 digit, then the second given the first, so its probabilities over all codes sum to 1.
+A word that shares its code has the code's probability times its share of the code's occurrences in training;
+all words that training hasn't seen count there as one occurrence. The counts are a written table that
+grows with the corpus and is joined to the scored texts' words.
 
-Word counts and training cover all documents: every Spark task trains a copy of the network on a fixed
-share of its documents' positions in numpy, and the copies are averaged by the positions they saw.
-Sums are taken in integers, so their order doesn't matter.
+Word counts and training cover all documents: every Spark task trains a copy of the network in numpy, and the
+copies are averaged by the positions they saw. Each position of each document is trained on in exactly one
+round. Sums are taken in integers, so their order doesn't matter.
 
 Defined results: a text without words, or null, has 0 tokens, log-likelihood 0 and a null
 perplexity. Repeated rows get equal scores. Very long texts are scored whole. With an empty table the
@@ -32,18 +35,19 @@ CODE = 64
 FREQUENT = 3072
 SIDE = 2
 EMBED, HIDDEN = 8, 24
-#: One position of so many is trained on, in each round.
-EVERY = 8
+#: Rounds of averaging, over which the positions are dealt.
 ROUNDS = 2
 BATCH, RATE = 256, 0.5
 UNIT = float(1 << 24)
+#: Positions that are scored at once; more don't stay in the cache.
+SCORED = 256
 #: Words that a task gathers before it counts them.
 GATHERED = 1 << 21
 Params = dict[str, np.ndarray]
 
 
-def frequent_words(docs: DataFrame, most: int = FREQUENT) -> np.ndarray:
-    """Hashes of up to ``most`` words by count over all documents, most frequent first; none of them stands once only."""
+def word_counts(docs: DataFrame) -> DataFrame:
+    """``word`` (a hash) and ``n``, of all words of all documents."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -62,7 +66,12 @@ def frequent_words(docs: DataFrame, most: int = FREQUENT) -> np.ndarray:
         if held:
             yield flush()
 
-    counts = cut(docs.select("text").mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).where("n > 1"), "words")
+    return cut(docs.select("text").mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
+
+
+def frequent_words(counts: DataFrame, most: int = FREQUENT) -> np.ndarray:
+    """Hashes of up to ``most`` words by count, most frequent first; none of them stands once only."""
+    counts = counts.where("n > 1")
     # the least step of the counts above which there are not too many
     step = F.floor(F.log2("n") * 16)
     steps = counts.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("c")).collect()
@@ -81,9 +90,15 @@ def frequent_words(docs: DataFrame, most: int = FREQUENT) -> np.ndarray:
 class Coder:
     """Word hashes to codes."""
 
-    def __init__(self, words: np.ndarray) -> None:
+    def __init__(self, words: np.ndarray, totals: np.ndarray | None = None, table: str | None = None) -> None:
         order = np.argsort(words)
         self.words, self.codes = words[order], order.astype(np.int64)
+        #: Log of the occurrences of each shared code, unseen words as one; 0 for codes of one word.
+        self.log_totals = np.zeros(CODE * CODE)
+        if totals is not None:
+            self.log_totals[FREQUENT:] = np.log(totals + 1.0)
+        #: Where the words' counts are written.
+        self.table = table
 
     def __call__(self, h: np.ndarray) -> np.ndarray:
         other = FREQUENT + (h % np.uint64(CODE * CODE - FREQUENT)).astype(np.int64)
@@ -93,6 +108,27 @@ class Coder:
         return np.where(self.words[at] == h, self.codes[at], other)
 
 
+def coder_of(docs: DataFrame) -> Coder:
+    counts = word_counts(docs)
+    words = frequent_words(counts)
+    # 2^64 is a multiple of the number of shared codes, so signed and unsigned remainders agree
+    shared = F.pmod("word", F.lit(CODE * CODE - FREQUENT)).cast("int")
+    own = counts.sparkSession.createDataFrame([(int(w),) for w in words.view(np.int64)], "word long")
+    rows = counts.join(F.broadcast(own), "word", "left_anti").groupBy(shared.alias("code")).agg(F.sum("n").alias("n")).collect()
+    totals = np.zeros(CODE * CODE - FREQUENT)
+    for r in rows:
+        totals[r["code"]] = r["n"]
+    return Coder(words, totals, counts.written_to)
+
+
+def dealt(w: ta.Words, h: np.ndarray, turn: int, rounds: int) -> np.ndarray:
+    """The positions that are trained on in this round: by a hash of the document's words and the place in it."""
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(ta.mix(h), dtype=np.uint64)])
+    text = ta.mix(sums[w.first[1:]] - sums[w.first[:-1]])
+    place = (np.arange(len(h)) - w.first[w.doc]).astype(np.uint64)
+    return np.flatnonzero(ta.mix(place + text[w.doc]) % np.uint64(rounds) == turn)
+
+
 def contexts(code: np.ndarray, doc: np.ndarray) -> np.ndarray:
     """Codes of the ``2 * SIDE`` neighbours of each position; beyond a document's ends an own code."""
     out = np.full((len(code), 2 * SIDE), CODE * CODE, np.int64)
@@ -170,7 +206,7 @@ def _unpack(flat: np.ndarray) -> Params:
     return out
 
 
-def train_round(docs: DataFrame, coder: Coder, params: Params, turn: int) -> Params:
+def train_round(docs: DataFrame, coder: Coder, params: Params, turn: int, rounds: int) -> Params:
     """Average of the copies that the tasks have trained from ``params``, weighted by positions."""
     shared = docs.sparkSession.sparkContext.broadcast((coder, params))
 
@@ -181,10 +217,9 @@ def train_round(docs: DataFrame, coder: Coder, params: Params, turn: int) -> Par
         for b in batches:
             for _, texts in ta.passes(b.column("text")):
                 w = ta.split(texts, lower=True)
-                code = coder(ta.word_hashes(w))
-                # positions by a hash of the code's place in its document, so that no stride is favoured
-                place = (np.arange(len(code)) - w.first[w.doc]).astype(np.uint64)
-                mine = np.flatnonzero(ta.mix(place + np.uint64(turn << 40)) % np.uint64(EVERY) == 0)
+                h = ta.word_hashes(w)
+                code = coder(h)
+                mine = dealt(w, h, turn, rounds)
                 left_ctx = np.concatenate([left_ctx, contexts(code, w.doc)[mine]])
                 left_code = np.concatenate([left_code, code[mine]])
                 while len(left_code) >= BATCH:
@@ -209,34 +244,58 @@ def train_round(docs: DataFrame, coder: Coder, params: Params, turn: int) -> Par
 
 def train(docs: DataFrame, rounds: int = ROUNDS) -> tuple[Coder, Params]:
     small_batches(docs.sparkSession)
-    coder, params = Coder(frequent_words(docs)), fresh()
+    coder, params = coder_of(docs), fresh()
     for turn in range(rounds):
-        params = train_round(docs, coder, params, turn)
+        params = train_round(docs, coder, params, turn, rounds)
     return coder, params
 
 
 def score(docs: DataFrame, model: tuple[Coder, Params], keep: list[str]) -> DataFrame:
-    """``keep``, ``n_tokens, log_likelihood`` (summed) and ``perplexity`` (of a token)."""
+    """``keep``, ``n_tokens, log_likelihood`` (summed, of the words) and ``perplexity`` (of a token's code)."""
     spark = docs.sparkSession
     small_batches(spark)
     shared = spark.sparkContext.broadcast(model)
     keep = [c for c in keep if c not in ("n_tokens", "log_likelihood", "perplexity")]
-    rows = docs.select(*keep, F.col("text").alias("_text"))
+    rows = docs.select(F.struct(*keep).alias("_row"), F.col("text").alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, p = shared.value
         for b in batches:
-            counts, sums = np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows)
+            counts, sums, codes = np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows), np.zeros(b.num_rows)
+            rare, times, sizes = [np.zeros(0, np.uint64)], [np.zeros(0, np.int32)], np.zeros(b.num_rows + 1, np.int32)
             for at, texts in ta.passes(b.column("_text"), 1 << 18):
                 w = ta.split(texts, lower=True)
-                code = coder(ta.word_hashes(w))
+                h = ta.word_hashes(w)
+                code = coder(h)
                 ctx = contexts(code, w.doc)
-                logp = np.concatenate([log_probability(p, ctx[i : i + 4096], code[i : i + 4096]) for i in range(0, len(code), 4096)] or [np.zeros(0)])
+                logp = np.concatenate([log_probability(p, ctx[i : i + SCORED], code[i : i + SCORED]) for i in range(0, len(code), SCORED)] or [np.zeros(0)])
                 counts[at : at + len(texts)] = w.counts
-                sums[at : at + len(texts)] = np.bincount(w.doc, weights=logp, minlength=len(texts))
+                codes[at : at + len(texts)] = np.bincount(w.doc, weights=logp, minlength=len(texts))
+                sums[at : at + len(texts)] = np.bincount(w.doc, weights=logp - coder.log_totals[code], minlength=len(texts))
+                # the distinct words of each text that share codes, and how often they stand there
+                mine = np.flatnonzero(code >= FREQUENT)
+                doc, word = w.doc[mine], h[mine]
+                order = np.lexsort((word, doc))
+                doc, word = doc[order], word[order]
+                new = np.flatnonzero(np.concatenate([np.ones(min(1, len(doc)), bool), (doc[1:] != doc[:-1]) | (word[1:] != word[:-1])]))
+                rare.append(word[new])
+                times.append(np.diff(np.append(new, len(doc))).astype(np.int32))
+                sizes[at + 1 : at + 1 + len(texts)] = np.bincount(doc[new], minlength=len(texts))
             with np.errstate(invalid="ignore", divide="ignore"):
-                ppl = pa.array(np.exp(-sums / counts), mask=counts == 0)
-            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in keep], pa.array(counts), pa.array(sums), ppl], [*keep, "n_tokens", "log_likelihood", "perplexity"])
-
-    fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.select(*keep).schema)
-    return rows.mapInArrow(run, f"{fields}n_tokens long, log_likelihood double, perplexity double")
+                ppl = pa.array(np.exp(-codes / counts), mask=counts == 0)
+            ends = pa.array(np.cumsum(sizes, dtype=np.int32))
+            lists = [pa.ListArray.from_arrays(ends, pa.array(np.concatenate(x))) for x in ([r.view(np.int64) for r in rare], times)]
+            yield pa.RecordBatch.from_arrays([b.column("_row"), pa.array(counts), pa.array(sums), ppl, *lists], ["_row", "n_tokens", "_sum", "perplexity", "_rare", "_times"])
+
+    kind = rows.schema["_row"].dataType.simpleString()
+    scored = rows.mapInArrow(run, f"_row {kind}, n_tokens long, _sum double, perplexity double, _rare array<long>, _times array<int>")
+    # written, so that a row's number is the same wherever it is read
+    scored = cut(scored.withColumn("_key", F.monotonically_increasing_id()), "scored")
+    counted = spark.read.schema("word long, n long").parquet(model[0].table).where("n > 1")
+    pairs = scored.select("_key", F.explode(F.arrays_zip("_rare", "_times")).alias("_x")).select("_key", F.col("_x._rare").alias("word"), F.col("_x._times").alias("_k"))
+    # words seen once, or never, add the log of 1
+    part = F.round(F.col("_k") * F.log("n") * F.lit(UNIT)).cast("long")
+    shares = pairs.join(counted, "word").groupBy("_key").agg(F.sum(part).alias("_part"))
+    out = scored.select("_key", "_row", "n_tokens", "_sum", "perplexity").join(shares, "_key", "left")
+    out = out.withColumn("log_likelihood", F.col("_sum") + F.coalesce(F.col("_part") / F.lit(UNIT), F.lit(0.0)))
+    return out.select("_row.*", "n_tokens", "log_likelihood", "perplexity")

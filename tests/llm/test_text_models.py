@@ -2,10 +2,12 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 from cases import words
 from pyspark.sql import functions as F
 
 from sievework.llm import language_id, lm_scoring
+from sievework.llm import text_arrays as ta
 from sievework.llm.common import table
 
 SF = "/root/testdata/sf0.001"
@@ -56,6 +58,53 @@ def test_the_network_learns_from_both_sides(spark):
     assert sum(got[i, 0] < fresh[i] for i in range(len(texts))) >= 0.9 * len(texts)
 
 
+def test_every_position_is_trained_on_once():
+    texts = [" ".join(f"w{i * k % 97}" for i in range(n)) for k, n in enumerate((1, 3, 12, 30, 30, 200), 1)]
+    w = ta.split(pa.array([*texts, None, ""]), lower=True)
+    h = ta.word_hashes(w)
+    for rounds in (1, 2, 3):
+        turns = [lm_scoring.dealt(w, h, t, rounds) for t in range(rounds)]
+        assert sorted(np.concatenate(turns).tolist()) == list(range(len(h)))
+    first = set(lm_scoring.dealt(w, h, 0, 2).tolist())
+    a, b = [[int(w.first[d] + i) in first for i in range(30)] for d in (3, 4)]
+    assert a != b
+
+
+def test_real_order_scores_better_and_rare_words_differ(spark):
+    rng = random.Random(3)
+    after = {i: rng.sample(range(60), 2) for i in range(60)}
+
+    def text(n):
+        at, out = rng.randrange(60), []
+        for _ in range(n):
+            at = rng.choice(after[at])
+            out.append(f"w{at}")
+        return " ".join(out)
+
+    docs = spark.createDataFrame([(i, text(400)) for i in range(400)], "doc_id long, text string")
+    # more words than have codes of their own: word i stands i % 5 + 2 times
+    many = [(1000 + k, " ".join(f"r{i}" for i in range(6000) if i % 5 + 2 > k)) for k in range(6)]
+    docs = docs.union(spark.createDataFrame(many, docs.schema)).repartition(2)
+    model = lm_scoring.train(docs)
+    real = [text(100) for _ in range(30)]
+    mixed = [" ".join(rng.sample(t.split(), 100)) for t in real]
+    # words of one code; the text holds nothing else, so their contexts are equal
+    names = [f"r{i}" for i in range(6000)] + [f"unseen{i}" for i in range(3000)]
+    w = ta.split(pa.array(names))
+    code = model[0](ta.word_hashes(w))
+    one = int(np.bincount(code[(code >= lm_scoring.FREQUENT)]).argmax())
+    alone = [names[i] for i in np.flatnonzero(code == one)]
+    df = spark.createDataFrame(list(enumerate(real + mixed + alone)), "i int, text string")
+    got = {r["i"]: r["log_likelihood"] for r in lm_scoring.score(df, model, ["i"]).collect()}
+    assert sum(got[i] > got[30 + i] for i in range(30)) >= 27
+    each = {x: got[60 + k] for k, x in enumerate(alone)}
+    seen = {x: int(x[1:]) % 5 + 2 for x in each if x[0] == "r"}
+    assert len(set(seen.values())) > 1 and any(x[0] == "u" for x in each)
+    low = min(seen, key=seen.get)
+    assert all(abs(each[x] - each[low] - np.log(n / seen[low])) < 1e-5 for x, n in seen.items())
+    assert all(abs(each[x] - each[low] + np.log(seen[low])) < 1e-5 for x in each if x[0] == "u")
+
+
 def test_steps_lower_the_loss_and_probabilities_sum_to_one():
     rng = np.random.default_rng(1)
     seq = np.tile(rng.integers(0, lm_scoring.CODE**2, 50), 40)
