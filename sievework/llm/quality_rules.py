@@ -1,6 +1,6 @@
 """Quality rules: plain text statistics and robust multivariate outliers, in DataFrame operations.
 
-Every document has counts of words, symbols, repeated lines and repeated 8-word windows. Three
+Every document has counts of words, symbols, repeated lines and repeated 8-word windows. Four
 transformed statistics of the documents that pass the plain rules are modelled for each language
 and source by minimum-covariance-determinant estimates: concentration steps keep the
 ``SUPPORT`` share of points nearest by Mahalanobis distance and refit on them. A group's
@@ -30,16 +30,17 @@ MAX_REPEAT_PERCENT = 30
 SYMBOLS = "[#*$%&|<>]"
 SUPPORT = 0.75
 STEPS = 2
-#: Covariance of the central 75 % of a 3-variate normal, scaled back: 0.75 / P(chi2_5 <= 4.108).
-CONSISTENCY = 1.61
+#: Covariance of the central 75 % of a 4-variate normal, scaled back: 0.75 / P(chi2_6 <= 5.385).
+CONSISTENCY = 1.486
 #: Added to the variances: the least spread that a statistic is taken to have.
-RIDGE = (0.05**2, 0.30**2, 0.50**2)
+RIDGE = (0.05**2, 0.30**2, 0.90**2, 0.50**2)
 #: Rows that the language's estimates count as, when they are blended with a group's.
 PRIOR_ROWS = 50.0
-#: Squared distance beyond which a document is an outlier; a 3-variate normal passes it once in 10^12.
-CUTOFF = 58.0
-X = ("x0", "x1", "x2")
-PAIRS = list(pairs_of(range(3), 2))
+#: Squared distance beyond which a document is an outlier: the 0.99 quantile of chi-square with 4 degrees of freedom.
+CUTOFF = 13.277
+X = ("x0", "x1", "x2", "x3")
+K = len(X)
+PAIRS = list(pairs_of(range(K), 2))
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
 
 
@@ -74,12 +75,13 @@ def text_statistics(docs: DataFrame, keep: list[str]) -> DataFrame:
 
 
 def with_vector(stats: DataFrame) -> DataFrame:
-    """Add the modelled statistics: mean word length, symbols and repeats per word, each drawn to a usual value in short texts."""
+    """Add the modelled statistics: mean word length, symbols, repeats and repeated lines per word, each drawn to a usual value in short texts."""
     n = F.col("n_words") + 40
     return stats.withColumns({
         "x0": F.log((F.col("word_chars") + 40 * 5) / n),
         "x1": F.log(1 + 100 * F.col("n_symbols") / n),
         "x2": F.log(1 + 100 * F.col("n_repeat_words") / n),
+        "x3": F.log(1 + 100 * F.col("n_dup_lines") / n),
     })
 
 
@@ -92,28 +94,34 @@ def _matched(points: DataFrame, fit: DataFrame, keys: list[str]) -> DataFrame:
 def distance() -> Column:
     """Squared Mahalanobis distance of X from ``m*`` under the covariance ``c*``: the inverse by cofactors."""
     c = lambda i, j: F.col(f"c{min(i, j)}{max(i, j)}")
-    minor = lambda i, j: [c(a, b) for a in range(3) if a != i for b in range(3) if b != j]
-    cofactor = lambda i, j: (lambda m: (m[0] * m[3] - m[1] * m[2]) * (-1) ** (i + j))(minor(i, j))
-    det = reduce(add, [c(0, j) * cofactor(0, j) for j in range(3)])
+
+    def minor(rows: tuple[int, ...], cols: tuple[int, ...]) -> Column:
+        if len(rows) == 1:
+            return c(rows[0], cols[0])
+        return reduce(add, [c(rows[0], j) * minor(rows[1:], cols[:k] + cols[k + 1 :]) * (-1) ** k for k, j in enumerate(cols)])
+
+    but = lambda i: tuple(k for k in range(K) if k != i)
+    cofactor = lambda i, j: minor(but(i), but(j)) * (-1) ** (i + j)
+    det = reduce(add, [c(0, j) * cofactor(0, j) for j in range(K)])
     d = [F.col(x) - F.col(f"m{i}") for i, x in enumerate(X)]
     return reduce(add, [d[i] * d[j] * cofactor(i, j) * (1 if i == j else 2) for i, j in PAIRS]) / det
 
 
 def mcd(points: DataFrame, keys: list[str], support: float = SUPPORT, steps: int = STEPS) -> DataFrame:
-    """``keys, n, m0..m2, c00..c22``: a row per group. Rows are only summed by group, copies of a group never meet."""
+    """``keys, n, m0..m3, c00..c33``: a row per group. Rows are only summed by group, copies of a group never meet."""
     middle = [F.percentile_approx(x, [0.25, 0.5, 0.75], 1000).alias(f"q{i}") for i, x in enumerate(X)]
     fit = points.groupBy(*keys).agg(*middle)
     spread = lambda i: F.pow((F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / 1.349, 2) + RIDGE[i]
-    fit = fit.select(*keys, *[F.col(f"q{i}")[1].alias(f"m{i}") for i in range(3)], *[(spread(i) if i == j else F.lit(0.0)).alias(f"c{i}{j}") for i, j in PAIRS])
+    fit = fit.select(*keys, *[F.col(f"q{i}")[1].alias(f"m{i}") for i in range(K)], *[(spread(i) if i == j else F.lit(0.0)).alias(f"c{i}{j}") for i, j in PAIRS])
     for _ in range(steps):
         fit = cut(fit, "fit")
         near = _matched(points, fit, keys).withColumn("d2", distance())
         edge = near.groupBy(*keys).agg(F.percentile_approx("d2", support, 1000).alias("edge"))
         near = _matched(near, cut(edge, "edge"), keys).where("d2 <= edge")
         d = [F.col(x) - F.col(f"m{i}") for i, x in enumerate(X)]
-        sums = near.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *[F.first(f"m{i}").alias(f"m{i}") for i in range(3)], *[F.avg(d[i]).alias(f"d{i}") for i in range(3)], *[F.avg(d[i] * d[j]).alias(f"e{i}{j}") for i, j in PAIRS])
+        sums = near.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *[F.first(f"m{i}").alias(f"m{i}") for i in range(K)], *[F.avg(d[i]).alias(f"d{i}") for i in range(K)], *[F.avg(d[i] * d[j]).alias(f"e{i}{j}") for i, j in PAIRS])
         spread_of = lambda i, j: (F.col(f"e{i}{j}") - F.col(f"d{i}") * F.col(f"d{j}")) * CONSISTENCY + (RIDGE[i] if i == j else 0.0)
-        fit = sums.select(*keys, "n", *[(F.col(f"m{i}") + F.col(f"d{i}")).alias(f"m{i}") for i in range(3)], *[spread_of(i, j).alias(f"c{i}{j}") for i, j in PAIRS])
+        fit = sums.select(*keys, "n", *[(F.col(f"m{i}") + F.col(f"d{i}")).alias(f"m{i}") for i in range(K)], *[spread_of(i, j).alias(f"c{i}{j}") for i, j in PAIRS])
     return cut(fit, "fit")
 
 
@@ -128,7 +136,7 @@ def judge(docs: DataFrame, keep: list[str], cutoff: float = CUTOFF) -> DataFrame
     stats = cut(with_vector(text_statistics(rows, ["_row", *groups])), "statistics")
     points = stats.where("not base_failed")
     own, wide = mcd(points, groups), mcd(points, groups[:1])
-    names = [f"m{i}" for i in range(3)] + [f"c{i}{j}" for i, j in PAIRS]
+    names = [f"m{i}" for i in range(K)] + [f"c{i}{j}" for i, j in PAIRS]
     both = _matched(own, wide.select("_lang", *[F.col(c).alias(f"w_{c}") for c in names]), groups[:1])
     blend = lambda c: ((F.col("n") * F.col(c) + PRIOR_ROWS * F.col(f"w_{c}")) / (F.col("n") + PRIOR_ROWS)).alias(c)
     fit = cut(both.select(*groups, *[blend(c) for c in names]), "blend")

@@ -1,5 +1,6 @@
 import hashlib
 import math
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -44,6 +45,19 @@ def test_quality_verdicts(spark):
     assert all(r["kept"] for r in good) and sum(not r["kept"] for r in bad) >= 0.8 * len(bad)
 
 
+def test_each_quality_statistic_rejects_on_its_own(spark):
+    rng = random.Random(5)
+    draw = lambda n, k=5: [f"{rng.randrange(26**k):x}".rjust(k, "a")[:k] for _ in range(n)]
+    same = draw(145)
+    short = [" ".join(draw(10)) + "\nsame line\n" for _ in range(100)]
+    junk = {"repeats": " ".join(same + draw(355) + same + draw(355)), "lines": "".join(short), "symbols": " ".join(draw(400) + ["$%abc"] * 6), "long words": " ".join(draw(600, 7))}
+    texts = [" ".join(draw(300)) for _ in range(200)] + list(junk.values())
+    df = spark.createDataFrame([(i, t, "en", "a") for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string")
+    got = {r["doc_id"]: r for r in quality_rules.judge(df, keep=["doc_id"]).collect()}
+    assert all(got[i]["kept"] for i in range(200))
+    assert {k: (got[200 + i]["base_failed"], got[200 + i]["kept"]) for i, k in enumerate(junk)} == dict.fromkeys(junk, (False, False))
+
+
 def test_quality_of_empty_and_odd_tables(empty, odd):
     assert quality_rules.judge(empty, keep=["doc_id"]).count() == 0
     assert quality_rules.judge(odd, keep=["doc_id"]).count() == 6
