@@ -1,7 +1,8 @@
 """A compressed FM-index over word sequences, in numpy, for one shard at a time.
 
 The Burrows-Wheeler transform of the shard is held as a wavelet matrix of packed bits with block
-ranks. ``matching`` walks all queries in step: each goes from its last word to its first, extends
+ranks; suffixes and texts aren't kept, the LCP values take a byte each and their intervals 32 bits.
+``matching`` walks queries in step: each goes from its last word to its first, extends
 its match to the left by backward search while the match occurs often enough, and otherwise
 drops to the longest shorter match from the LCP intervals.
 """
@@ -18,7 +19,7 @@ class BitRank:
         padded = np.zeros((len(bits) // 64 + 1) * 64, np.uint8)
         padded[: len(bits)] = bits
         self.words = np.packbits(padded, bitorder="little").view("<u8")
-        self.before = np.zeros(len(self.words), np.int64)
+        self.before = np.zeros(len(self.words), np.int32)
         np.cumsum(np.bitwise_count(self.words[:-1]), out=self.before[1:])
 
     def rank(self, i: np.ndarray) -> np.ndarray:
@@ -28,27 +29,31 @@ class BitRank:
 
 
 class FMIndex:
-    """Index of sequences of words 1.. ; 0 ends each. ``weights`` says how often each sequence counts.
+    """Index of sequences of words 1.. that end with 0. ``weights`` says how often each sequence counts.
 
-    Matches of up to ``depth`` words are exact; sequences are no longer than that.
+    Matches of up to ``depth`` words (120 at most) are exact; sequences are no longer than that.
     """
 
-    def __init__(self, text: np.ndarray, weights: np.ndarray, depth: int) -> None:
-        n = len(text)
-        self.text, self.n = text, n
-        ranks, k = [text.astype(np.int64)], 1
-        order = np.argsort(ranks[0], kind="stable")
+    def __init__(self, sequences: list[np.ndarray], weights: np.ndarray, depth: int) -> None:
+        lengths = np.array([len(s) for s in sequences])
+        text = np.zeros(int(lengths.sum()) + len(sequences), np.int64)
+        inside = np.ones(len(text), bool)
+        inside[np.cumsum(lengths + 1) - 1] = False
+        text[inside] = np.concatenate(sequences)
+        n = self.n = len(text)
+        # ranks of the suffixes by their first 1, 2, 4, .. words
+        ranks, k = [text.astype(np.int32)], 1
+        order = np.argsort(text, kind="stable")
         while k <= depth:
             r = ranks[-1]
-            shifted = np.full(n, -1, np.int64)
-            shifted[: max(0, n - k)] = r[k:]
-            key = r * (n + 2) + shifted + 1
+            shifted = np.zeros(n, np.int64)
+            shifted[: max(0, n - k)] = r[k:] + 1
+            key = r * np.int64(n + 2) + shifted
             order = np.argsort(key, kind="stable")
-            new = np.zeros(n, np.int64)
+            new = np.zeros(n, np.int32)
             new[order[1:]] = np.cumsum(key[order[1:]] != key[order[:-1]])
             ranks.append(new)
             k *= 2
-        self.order = order
         # LCP of neighbours, from the ranks of doubling lengths
         a, b = order[:-1], order[1:]
         lcp = np.zeros(n - 1, np.int64)
@@ -59,16 +64,16 @@ class FMIndex:
             same = np.zeros(n - 1, bool)
             same[inside] = r[ia[inside]] == r[ib[inside]]
             lcp += same.astype(np.int64) << level
-        self.lcp = np.concatenate([[-1], np.minimum(lcp, depth), [-1]])
-        self._intervals(depth)
+        self.lcp = np.concatenate([[-1], np.minimum(lcp, depth), [-1]]).astype(np.int8)
+        self._intervals()
         of = np.cumsum(text == 0) - (text == 0)
         self.weight = np.concatenate([[0], np.cumsum(weights[of[order]])])
         self._wavelet(text[order - 1], int(text.max()) + 1)
 
-    def _intervals(self, depth: int) -> None:
+    def _intervals(self) -> None:
         """For each place the nearest places before and after with a smaller LCP."""
         lcp, n = self.lcp, self.n
-        self.smaller_before, self.smaller_after = np.zeros(n + 1, np.int64), np.full(n + 1, n, np.int64)
+        self.smaller_before, self.smaller_after = np.zeros(n + 1, np.int32), np.full(n + 1, n, np.int32)
         for v in np.unique(lcp):
             own = np.flatnonzero(lcp == v)
             low = np.flatnonzero(lcp < v)
@@ -93,7 +98,7 @@ class FMIndex:
             self.levels.append(rank)
             self.zeros.append(zeros)
             seq = np.concatenate([seq[~bit], seq[bit]])
-        self.base = first - start
+        self.base = (first - start).astype(np.int32)
 
     def extend(self, lo: np.ndarray, hi: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Backward step: the interval of ``c`` followed by what [lo, hi) stands for."""
@@ -104,14 +109,17 @@ class FMIndex:
         both += self.base[symbol]
         return both[: len(lo)], both[len(lo) :]
 
-    def matching(self, starts: np.ndarray, lengths: np.ndarray, least: int = 2) -> np.ndarray:
-        """For each place of the text: words of the longest match beginning there (within its sequence) that counts ``least`` or more."""
-        out = np.zeros(self.n, np.int64)
-        pos, stop = starts + lengths, starts.copy()
-        lo, hi, size = np.zeros(len(starts), np.int64), np.full(len(starts), self.n, np.int64), np.zeros(len(starts), np.int64)
+    def matching(self, queries: list[np.ndarray], least: int = 2) -> list[np.ndarray]:
+        """For each query (words that the index knows) and each of its places: words of the longest match beginning there that counts ``least`` or more."""
+        lengths = np.array([len(q) for q in queries], np.int64)
+        text = np.concatenate(queries) if queries else np.zeros(0, np.int32)
+        ends = np.cumsum(lengths)
+        out = np.zeros(len(text), np.int64)
+        pos, stop = ends.copy(), ends - lengths
+        lo, hi, size = np.zeros(len(queries), np.int64), np.full(len(queries), self.n, np.int64), np.zeros(len(queries), np.int64)
         live = np.flatnonzero(pos > stop)
         while len(live):
-            c = self.text[pos[live] - 1]
+            c = text[pos[live] - 1]
             new_lo, new_hi = self.extend(lo[live], hi[live], c)
             good = (new_hi > new_lo) & (self.weight[np.maximum(new_hi, 0)] - self.weight[np.maximum(new_lo, 0)] >= least)
             yes, no = live[good], live[~good]
@@ -128,4 +136,4 @@ class FMIndex:
             lo[short] = np.where(whole, 0, self.smaller_before[k])
             hi[short] = np.where(whole, self.n, self.smaller_after[k])
             live = live[pos[live] > stop[live]]
-        return out
+        return np.split(out, ends[:-1]) if queries else []

@@ -1,11 +1,14 @@
 import hashlib
+import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
-from cases import words
+from cases import text_of, words
 
 from sievework.llm import substring_dedup
+from sievework.llm import text_arrays as ta
 from sievework.llm.fm_index import FMIndex
 
 
@@ -23,7 +26,7 @@ def brute(rows, window):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("limit", [substring_dedup.SHARD_PASSAGES, 2])
+@pytest.mark.parametrize("limit", [substring_dedup.SHARD_PASSAGES, 2, 0])
 def test_against_brute_force(docs, rows, limit):
     got = sorted((tuple(r) for r in substring_dedup.dedup(docs, shard_passages=limit).collect()), key=str)
     assert got == brute(rows, 35)
@@ -56,15 +59,52 @@ def test_matching_statistics():
     for trial in range(30):
         seqs = [rng.integers(1, 4 + trial % 3, rng.integers(1, 30)) for _ in range(rng.integers(1, 8))]
         weights = rng.integers(1, 3, len(seqs))
-        text = np.concatenate([np.append(s, 0) for s in seqs])
-        lengths = np.array([len(s) for s in seqs])
-        starts = np.concatenate([[0], np.cumsum(lengths + 1)[:-1]])
-        got = FMIndex(text, weights, 32).matching(starts, lengths)
+        got = FMIndex(seqs, weights, 32).matching(seqs)
         count = Counter()
         for s, k in zip(seqs, weights, strict=True):
             for a in range(len(s)):
                 for b in range(a + 1, len(s) + 1):
                     count[tuple(s[a:b])] += int(k)
-        for s, at in zip(seqs, starts, strict=True):
+        for s, own in zip(seqs, got, strict=True):
             for a in range(len(s)):
-                assert got[at + a] == max([b - a for b in range(a + 1, len(s) + 1) if count[tuple(s[a:b])] >= 2], default=0)
+                assert own[a] == max([b - a for b in range(a + 1, len(s) + 1) if count[tuple(s[a:b])] >= 2], default=0)
+
+
+def test_null_ids_count_and_lose_words(spark):
+    rng = random.Random(2)
+    passage = text_of(rng, 60, False)
+    rows = [(None, text_of(rng, 30) + passage + text_of(rng, 9)), (7, passage + text_of(rng, 44)), (None, text_of(rng, 12) + passage), (None, passage), (None, passage), (8, passage + " x"), (8, text_of(rng, 70)), (None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute(rows, 35)
+    assert sorted((tuple(r) for r in substring_dedup.dedup(df).collect()), key=str) == want
+    assert sum(gone > 0 for _, _, gone, _ in want) == 6
+    kept = sorted(hashlib.sha256(" ".join(words(r["text"])).encode()).hexdigest() for r in substring_dedup.without_repeats(df).collect())
+    # rows that lose all their words go
+    assert kept == sorted(sha for _, n, gone, sha in want if not n or gone < n)
+
+
+def test_anchors_do_not_depend_on_the_place_in_the_text():
+    rng = random.Random(3)
+    text = text_of(rng, 90_000, False)
+    w = ta.split(pa.array([text, " ".join(words(text)[70_000:])]))
+    doc, anchor, begin, count, at = substring_dedup.anchors_of(w, 35, 16)
+    ends = np.searchsorted(doc, 1)
+    late = begin[:ends] > 70_000
+    assert late.sum() > 500
+    assert set(zip(anchor[:ends][late], begin[:ends][late] + at[:ends][late])) <= set(zip(anchor[ends:], begin[ends:] + at[ends:] + 70_000))
+
+
+def test_ties_of_anchors_go_to_the_last():
+    w = ta.split(pa.array(["a b " * 30]))
+    _, _, begin, count, at = substring_dedup.anchors_of(w, 35, 16)
+    assert (count == 1).all() or (begin[1:] + at[1:] > begin[:-1] + at[:-1]).all()
+    assert count.sum() == 60 - 34
+
+
+def test_a_line_that_many_texts_share(spark):
+    rng = random.Random(4)
+    line = text_of(rng, 22, False)
+    rows = [(i, text_of(rng, 40, False) + line + text_of(rng, 40, False)) for i in range(120)]
+    rows += [(200 + i, text_of(rng, 3, False) + " ".join(words(rows[i][1])[8:90])) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert sorted((tuple(r) for r in substring_dedup.dedup(df, shard_passages=20).collect()), key=str) == brute(rows, 35)
