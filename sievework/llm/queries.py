@@ -104,7 +104,7 @@ ORACLES = {
         d AS (SELECT page_id, octet_length(body)::BIGINT AS payload_bytes, sha1(body) AS payload_digest FROM p),
         t AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS top FROM d)
         SELECT page_id, payload_bytes, payload_digest,
-               CASE WHEN payload_bytes >= 1000 AND page_id < top THEN 'revisit' ELSE 'response' END AS record_type,
-               CASE WHEN payload_bytes >= 1000 AND page_id < top THEN top END AS refers_to
+               CASE WHEN payload_bytes >= 1000 AND coalesce(page_id < top, top IS NOT NULL) THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 1000 AND coalesce(page_id < top, top IS NOT NULL) THEN top END AS refers_to
         FROM t""",
 }

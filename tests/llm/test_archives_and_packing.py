@@ -41,7 +41,45 @@ def test_roundtrip(spark):
 
 def test_rows_that_stand_twice(spark):
     df = spark.createDataFrame(pages() + pages()[:3], PAGES)
-    assert sorted(tuple(r) for r in warc.roundtrip(df).collect()) == wanted(pages())
+    assert sorted(tuple(r) for r in warc.roundtrip(df).collect()) == wanted(pages() + pages()[:3])
+
+
+def test_null_ids(spark, monkeypatch):
+    long, other = "n" * 1500, "m" * 1500
+    data = [(None, "u", long), (4, "u", long), (None, "u", "short"), (3, "u", "short"), (None, None, other), (None, "v", other), (None, None, None)]
+    df = spark.createDataFrame([(*r, 0, "p", "h") for r in data], PAGES)
+    sha = lambda x: hashlib.sha1(x.encode()).hexdigest()
+    want = [(None, 1500, sha(long), "revisit", 4), (4, 1500, sha(long), "response", None)]
+    want += [(i, 5, sha("short"), "response", None) for i in (None, 3)] + [(None, 1500, sha(other), "response", None)] * 2 + [(None, 0, sha(""), "response", None)]
+    assert sorted((tuple(r) for r in warc.roundtrip(df).collect()), key=str) == sorted(want, key=str)
+    # the one row that holds a payload has no id
+    alone = df.where("page_id is null")
+    assert warc.roundtrip(alone).where("payload_bytes = 1500 and record_type = 'response'").count() == 3
+
+
+def test_files_are_bounded_by_bytes(spark, monkeypatch):
+    monkeypatch.setattr(warc, "CHUNK_BYTES", 1 << 16)
+    monkeypatch.setattr(warc, "FILE_CHUNKS", 2)
+    rng = np.random.default_rng(0)
+    big = [(i, "u", rng.bytes(30_000).hex(), 0, "p", "h") for i in range(40)] + [(99, "u", "x" * (1 << 24), 0, "p", "h")]
+    df = spark.createDataFrame(big, PAGES).repartition(1)
+    path = new_path(spark, "t")
+    warc.store(df, f"{path}/store")
+    warc.write_files(warc.restore(spark, f"{path}/store"), f"{path}/files")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{path}/files").collect()
+    assert len(files) > 5 and max(f["length"] for f in files) < 2 * ((1 << 16) + 60_000)
+    heads = 0
+    for f in files:
+        # members can be unzipped one by one, and each begins a record but those of a very long one
+        rest = bytes(f["content"])
+        while rest:
+            z = zlib.decompressobj(31)
+            heads += z.decompress(rest).startswith(b"WARC/1.1\r\n")
+            assert z.eof
+            rest = z.unused_data
+    assert heads == 41
+    got = {r["page_id"]: bytes(r["payload"]).decode() for r in warc.read_files(spark, f"{path}/files").collect()}
+    assert got == {r[0]: r[2] for r in big}
 
 
 def test_many_copies_use_the_shuffle(spark, monkeypatch):
