@@ -11,7 +11,8 @@ sources by weight. Within a source documents are taken in the order of a hash of
 after pass, to the very word of the target: the last document of the last pass is taken in part.
 
 Defined results: a null source is a source like others, the last. A null text has size 0 and is
-taken 0 times. Repeated rows take part each for itself. An empty table gives an empty result.
+taken 0 times. Repeated rows and rows that share an id or have none take part each for itself; null ids are ordered by
+a hash of their text. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -68,7 +69,8 @@ def mix(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
     added = ["size", "source_size", "target", "taken", "position", "position_again"]
     keep = [c for c in (docs.columns if keep is None else keep) if c not in added]
     size = F.size(words(F.col("text"))).cast("long")
-    rows = docs.select(F.struct(*keep).alias("_row"), F.col("source").alias("_source"), size.alias("size"), F.md5(F.concat(F.lit("42:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).alias("_order"), F.col("doc_id").alias("_id"))
+    name = F.coalesce(F.col("doc_id").cast("string"), F.md5(F.coalesce("text", F.lit("")).cast("binary")))
+    rows = docs.select(F.struct(*keep).alias("_row"), F.col("source").alias("_source"), size.alias("size"), F.md5(F.concat(F.lit("42:"), name)).alias("_order"), F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_tie"))
     rows = cut(rows, "sizes")
     sources = rows.groupBy(F.col("_source").alias("source")).agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs"))
     goal = cut(targets(sources).join(sources.select(F.col("source").alias("_s"), "n_docs"), F.col("source").eqNullSafe(F.col("_s"))).drop("_s"), "targets")
@@ -80,7 +82,7 @@ def mix(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
     sums = rows.groupBy(F.col("_source").alias("_key"), F.col("_run").alias("_at")).agg(F.sum("size").alias("_sum"))
     before = Window.partitionBy("_key").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.withColumn("_before", F.coalesce(F.sum("_sum").over(before), F.lit(0)))
-    inside = Window.partitionBy("_source", "_run").orderBy("_order", "_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("_source", "_run").orderBy("_order", "_id", "size", "_tie").rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("_inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     rows = rows.join(sums.drop("_sum"), F.col("_source").eqNullSafe(F.col("_key")) & (F.col("_run") == F.col("_at"))).withColumn("_from", F.col("_before") + F.col("_inside"))
     whole = F.round("target").cast("long")
@@ -99,13 +101,17 @@ def mixture(docs: DataFrame) -> DataFrame:
 
     A last copy that is taken in part holds the first words of the text, joined by one space.
     """
-    mixed = mix(docs, keep=["doc_id"]).dropDuplicates(["doc_id"]).where("taken > 0")
+    n = docs.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("doc_id").alias("ids")).first()
+    # ids that tell all rows apart are enough for the join; else whole rows go through the mix
+    own = ["_id"] if n["rows"] == n["ids"] else ["_id", "_all"]
+    plain = docs.select("doc_id", "text", "source", F.col("doc_id").alias("_id"), F.struct(*docs.columns).alias("_all"))
+    mixed = mix(plain, keep=own).where("taken > 0")
     copies = F.array(
         F.struct(F.col("position").alias("at"), F.least("taken", "size").alias("n")),
         F.struct(F.col("position_again").alias("at"), (F.col("taken") - F.col("size")).alias("n")),
     )
-    taken = mixed.select(F.col("doc_id").alias("_id"), F.col("size").alias("_size"), F.explode(copies).alias("_copy")).where("_copy.n > 0")
-    rows = docs.join(taken, F.col("doc_id").eqNullSafe(F.col("_id")))
+    taken = mixed.select(*own, F.col("size").alias("_size"), F.explode(copies).alias("_copy")).where("_copy.n > 0")
+    rows = docs.join(taken, F.col("doc_id") == F.col("_id")) if len(own) == 1 else taken.select("_all.*", "_size", "_copy")
     part = F.array_join(F.slice(words(F.col("text")), F.lit(1), F.col("_copy.n").cast("int")), " ")
     text = F.when(F.col("_copy.n") < F.col("_size"), part).otherwise(F.col("text"))
     rows = rows.orderBy("_copy.at", "doc_id").withColumn("text", text)

@@ -84,7 +84,7 @@ ORACLES = {
         SELECT w.doc_id, len(w.w)::BIGINT AS n_words, coalesce(lost.c, 0) AS n_removed, sha256(coalesce(kept.t, '')) AS kept_sha256
         FROM w LEFT JOIN lost USING (doc_id) LEFT JOIN kept USING (doc_id)""",
     "op10_mixing": r"""
-        WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size, md5('42:' || doc_id) AS o FROM documents),
+        WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size, md5('42:' || coalesce(doc_id::VARCHAR, md5(coalesce(text, '')))) AS o FROM documents),
         s AS (SELECT source, sum(size)::BIGINT AS source_size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS k FROM d GROUP BY 1),
         w AS (SELECT *, [5.0, 2.0, 1.0][k + 1]::DOUBLE AS weight, [1.5, 1.0, 0.5][k + 1]::DOUBLE AS a, [0.5, 1.0, 1.5][k + 1]::DOUBLE AS b, source_size * 2::DOUBLE AS most FROM s),
         c AS (SELECT *, most / weight AS ratio, coalesce(sum(most) OVER up, 0) AS capped, coalesce(sum(weight) OVER up, 0) AS gone, sum(source_size) OVER ()::DOUBLE AS whole, sum(weight) OVER () AS weights

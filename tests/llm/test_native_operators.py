@@ -202,3 +202,19 @@ def test_mixture_of_documents(docs, empty, odd):
     assert all(n[i] == r["taken"] for i, r in mixed.items())
     assert mixing.mixture(empty).count() == 0 and mixing.mix(empty).count() == 0
     assert mixing.mix(odd, keep=["doc_id"]).count() == 6 and mixing.mixture(odd).count() > 0
+
+
+def test_rows_that_share_an_id_are_mixed_each_for_itself(spark):
+    rng = random.Random(1)
+    text = lambda n: " ".join(f"w{rng.randrange(1000)}" for _ in range(n))
+    rows = [(1, text(10), "a", "x"), (1, text(100), "a", "x"), (2, text(50), "a", "y"), (None, text(30), "a", "z"), (None, text(31), "a", None), (None, None, "a", "z")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, size string")
+    mixed = mixing.mix(df, keep=["doc_id"]).collect()
+    goal = round(1.5 * sum(len(words(r[1])) for r in rows))
+    assert len(mixed) == 6 and sum(r["taken"] for r in mixed) == goal
+    out = mixing.mixture(df)
+    got = out.collect()
+    assert out.columns == df.columns and sum(len(words(r["text"])) for r in got) == goal
+    # every copy holds words of its own row from the first on
+    assert all(any(r["doc_id"] == i and r["size"] == z and (t or "").startswith(r["text"]) for i, t, _, z in rows) for r in got)
+    assert sorted(map(str, mixing.mixture(df.repartition(4)).collect())) == sorted(map(str, got))
