@@ -132,6 +132,59 @@ def test_anchors_are_context_free(spark):
     assert len(got[3]) == 1 and got[4] == {}
 
 
+def likeness(a, b):
+    at = [dict(sorted(((h, p) for p, h in x), reverse=True)) for x in (a, b)]
+    shift = Counter(at[1][h] - p for h, p in at[0].items() if h in at[1])
+    least = min(map(len, at))
+    common = sum(c for c in shift.values() if c > 1 or least <= 1)
+    every = sum(map(len, at))
+    return common / (every - common) if every else 1.0
+
+
+def test_likeness_against_brute_force(docs, spark):
+    got = fingerprints.compare_edited(docs).collect()
+    read = lambda f: [(int(x[8:], 16), x[:8]) for x in f.split(",") if x]
+    for r in got:
+        assert math.isclose(r["near_edited"], likeness(read(r["fingerprint"]), read(r["edited_fingerprint"])))
+    order = sorted(got, key=lambda r: r["doc_id"])
+    for r, after in zip(order, order[1:] + order[:1], strict=True):
+        assert math.isclose(r["near_next"], likeness(read(r["fingerprint"]), read(after["fingerprint"])))
+    # a passage at another place is found, words in another order aren't
+    rng = random.Random(9)
+    a = [f"w{i}" for i in range(200)]
+    texts = [" ".join(a), " ".join(f"x{i}" for i in range(50)) + " " + " ".join(a), " ".join(rng.sample(a, 200))]
+    df = spark.createDataFrame([(0, *texts)], "k int, a string, b string, c string")
+    for c in "abc":
+        df = fingerprints.with_fingerprint(df, c, f"f{c}")
+    df = fingerprints.with_likeness(fingerprints.with_likeness(df, "fa", "fb", "moved"), "fa", "fc", "mixed")
+    r = df.first()
+    assert r["moved"] > 0.7 and r["mixed"] == 0
+
+
+@pytest.mark.parametrize("quantiles", [fingerprints.QUANTILES, 3])
+def test_successors_of_clustered_and_repeated_ids(spark, monkeypatch, quantiles):
+    monkeypatch.setattr(fingerprints, "RUN", 4)
+    monkeypatch.setattr(fingerprints, "QUANTILES", quantiles)
+    rng = random.Random(6)
+    ids = [rng.choice([5, 10**15]) + rng.randrange(60) for _ in range(60)] + [7] * 40 + [None] * 50 + [-(10**17), 2**62]
+    rng.shuffle(ids)
+    rows = [(i, "ab cd " * rng.randrange(4) + f"t{k} " * rng.randrange(1, 9)) for k, i in enumerate(ids)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    tie = {r["text"]: r["t"] for r in df.select("text", F.xxhash64("text").alias("t")).collect()}
+    order = sorted(rows, key=lambda r: (-(2**63) if r[0] is None else r[0], tie[r[1]]))
+    want = Counter()
+    for (i, t), (_, after) in zip(order, order[1:] + order[:1], strict=True):
+        gone = len(t) // 4
+        want[i, len(t), hashlib.sha256((t[: len(t) - gone] + after[:gone]).encode()).hexdigest()] += 1
+    got = fingerprints.compare_edited(df).collect()
+    assert Counter((r["doc_id"], r["n_chars"], r["edited_sha256"]) for r in got) == want
+    keyed = df.select(F.coalesce("doc_id", F.lit(-(2**63))).alias("k"), F.xxhash64("text").alias("t"))
+    dealt = fingerprints._dealt(keyed, "k", "t", fingerprints._cuts(keyed, "k", "t")).orderBy("k", "t").collect()
+    runs = [(r["_bucket"], r["_run"]) for r in dealt]
+    # in order, and neither the clusters nor the ids that repeat fill one run
+    assert runs == sorted(runs) and max(Counter(runs).values()) <= 30
+
+
 def test_fingerprints_of_empty_and_odd_tables(spark, empty, odd):
     assert fingerprints.compare_edited(empty).count() == 0
     assert fingerprints.compare_edited(odd).count() == 6
