@@ -2,19 +2,20 @@
 
 A small network predicts each token of a text from the ``SIDE`` tokens on either side of it; the
 summed conditional log-probabilities score the document. Tokens are lower-cased words, coded as
-two digits of ``CODE``: the corpus' frequent words have codes of their own, the others
-share codes by hash. The network embeds the context, has one hidden layer and predicts the first
-digit, then the second given the first, so its probabilities over all codes sum to 1.
+``DIGITS`` digits: the corpus' frequent words have codes of their own, the others
+share codes by hash. The network embeds the context, has one hidden layer and predicts each
+digit given those before it, so its probabilities over all codes sum to 1.
 A word that shares its code has the code's probability times its share of the code's occurrences in training;
-all words that training hasn't seen count there as one occurrence. The counts are a written table that
-grows with the corpus and is joined to the scored texts' words.
+all words that training hasn't seen count there as one occurrence, of which each has a part as if there were as many as seen ones.
+The counts are a written table that grows with the corpus and is joined to the scored texts' words. Where the scored documents
+are those of the corpus, a document's own occurrences don't count for it.
 
 Word counts and training cover all documents: every Spark task trains a copy of the network in numpy, and the
-copies are averaged by the positions they saw. Each position of each document is trained on in exactly one
+copies are averaged by the positions they saw. Each document is trained on, at all its positions, in exactly one
 round. Sums are taken in integers, so their order doesn't matter.
 
 Defined results: a text without words, or null, has 0 tokens, log-likelihood 0 and a null
-perplexity. Repeated rows get equal scores. Very long texts are scored whole. With an empty table the
+perplexity and mean. Repeated rows get equal scores. Very long texts are scored whole. With an empty table the
 result is empty.
 """
 
@@ -30,17 +31,22 @@ from pyspark.sql import functions as F
 from sievework.llm import text_arrays as ta
 from sievework.llm.common import cut, small_batches
 
-CODE = 64
-#: Codes of frequent words; the rest of ``CODE`` squared is shared by hash.
+#: Digits of a code and the bits of each.
+DIGITS, BITS = 3, 4
+BASE = 1 << BITS
+CODES = BASE**DIGITS
+#: Codes of frequent words; the rest is shared by hash.
 FREQUENT = 3072
 SIDE = 2
-EMBED, HIDDEN = 8, 24
-#: Rounds of averaging, over which the positions are dealt.
+EMBED, HIDDEN = 8, 16
+#: Rounds of averaging, over which the documents are dealt.
 ROUNDS = 2
-BATCH, RATE = 256, 0.5
+BATCH, RATE = 1024, 1.0
+#: Steps of the embeddings, each of which few positions of a batch move, are longer by this.
+EMBED_RATE = 16.0
 UNIT = float(1 << 24)
-#: Positions that are scored at once; more don't stay in the cache.
-SCORED = 256
+#: Positions that are scored at once; more would not stay in the cache.
+SCORED = 2048
 #: Words that a task gathers before it counts them.
 GATHERED = 1 << 21
 Params = dict[str, np.ndarray]
@@ -90,18 +96,18 @@ def frequent_words(counts: DataFrame, most: int = FREQUENT) -> np.ndarray:
 class Coder:
     """Word hashes to codes."""
 
-    def __init__(self, words: np.ndarray, totals: np.ndarray | None = None, table: str | None = None) -> None:
+    def __init__(self, words: np.ndarray, totals: np.ndarray | None = None, types: np.ndarray | None = None, table: str | None = None) -> None:
         order = np.argsort(words)
         self.words, self.codes = words[order], order.astype(np.int64)
-        #: Log of the occurrences of each shared code, unseen words as one; 0 for codes of one word.
-        self.log_totals = np.zeros(CODE * CODE)
+        #: Logs of the occurrences of each shared code, unseen words as one, and of its words, an unseen one among them; 0 for codes of one word.
+        self.log_totals, self.log_types = np.zeros(CODES), np.zeros(CODES)
         if totals is not None:
-            self.log_totals[FREQUENT:] = np.log(totals + 1.0)
+            self.log_totals[FREQUENT:], self.log_types[FREQUENT:] = np.log(totals + 1.0), np.log(types + 1.0)
         #: Where the words' counts are written.
         self.table = table
 
     def __call__(self, h: np.ndarray) -> np.ndarray:
-        other = FREQUENT + (h % np.uint64(CODE * CODE - FREQUENT)).astype(np.int64)
+        other = FREQUENT + (h % np.uint64(CODES - FREQUENT)).astype(np.int64)
         if not len(self.words):
             return other
         at = np.minimum(np.searchsorted(self.words, h), len(self.words) - 1)
@@ -112,86 +118,99 @@ def coder_of(docs: DataFrame) -> Coder:
     counts = word_counts(docs)
     words = frequent_words(counts)
     # 2^64 is a multiple of the number of shared codes, so signed and unsigned remainders agree
-    shared = F.pmod("word", F.lit(CODE * CODE - FREQUENT)).cast("int")
+    shared = F.pmod("word", F.lit(CODES - FREQUENT)).cast("int")
     own = counts.sparkSession.createDataFrame([(int(w),) for w in words.view(np.int64)], "word long")
-    rows = counts.join(F.broadcast(own), "word", "left_anti").groupBy(shared.alias("code")).agg(F.sum("n").alias("n")).collect()
-    totals = np.zeros(CODE * CODE - FREQUENT)
+    rows = counts.join(F.broadcast(own), "word", "left_anti").groupBy(shared.alias("code")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("c")).collect()
+    totals, types = np.zeros((2, CODES - FREQUENT))
     for r in rows:
-        totals[r["code"]] = r["n"]
-    return Coder(words, totals, counts.written_to)
+        totals[r["code"]], types[r["code"]] = r["n"], r["c"]
+    return Coder(words, totals, types, counts.written_to)
 
 
-def dealt(w: ta.Words, h: np.ndarray, turn: int, rounds: int) -> np.ndarray:
-    """The positions that are trained on in this round: by a hash of the document's words and the place in it."""
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(ta.mix(h), dtype=np.uint64)])
-    text = ta.mix(sums[w.first[1:]] - sums[w.first[:-1]])
-    place = (np.arange(len(h)) - w.first[w.doc]).astype(np.uint64)
-    return np.flatnonzero(ta.mix(place + text[w.doc]) % np.uint64(rounds) == turn)
+def dealt(docs: DataFrame, turn: int, rounds: int) -> DataFrame:
+    """The documents that are trained on in this round: by a hash of their texts."""
+    return docs.where(F.pmod(F.xxhash64("text"), F.lit(rounds)) == turn)
 
 
 def contexts(code: np.ndarray, doc: np.ndarray) -> np.ndarray:
-    """Codes of the ``2 * SIDE`` neighbours of each position; beyond a document's ends an own code."""
-    out = np.full((len(code), 2 * SIDE), CODE * CODE, np.int64)
+    """Codes of the ``2 * SIDE`` neighbours of each position, a column each; beyond a document's ends an own code."""
+    out = np.full((2 * SIDE, len(code)), CODES, np.int64)
     for j, d in enumerate([d for d in range(-SIDE, SIDE + 1) if d]):
         at = np.arange(max(0, -d), len(code) - max(0, d))
         ok = at[doc[at] == doc[at + d]]
-        out[ok, j] = code[ok + d]
+        out[j, ok] = code[ok + d]
     return out
 
 
 def fresh(seed: int = 42) -> Params:
     rng = np.random.default_rng(seed)
-    w = lambda *s: (rng.standard_normal(s) / np.sqrt(s[0])).astype(np.float32)
-    return {
-        "e": (rng.standard_normal((CODE * CODE + 1, EMBED)) * 0.3).astype(np.float32),
-        "h": w(2 * SIDE * EMBED, HIDDEN),
-        "hb": np.zeros(HIDDEN, np.float32),
-        "u": w(HIDDEN, CODE),
-        "ub": np.zeros(CODE, np.float32),
-        "d": (rng.standard_normal((CODE, HIDDEN)) * 0.3).astype(np.float32),
-        "v": w(HIDDEN, CODE),
-        "vb": np.zeros(CODE, np.float32),
-    }
-
-
-def _soft(x: np.ndarray) -> np.ndarray:
-    x = np.exp(x - x.max(axis=1, keepdims=True))
-    return x / x.sum(axis=1, keepdims=True)
-
-
-def forward(p: Params, ctx: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, ...]:
-    x = p["e"][ctx].reshape(len(ctx), -1)
-    h = np.tanh(x @ p["h"] + p["hb"])
-    g = np.tanh(h + p["d"][first])
-    return x, h, g, _soft(h @ p["u"] + p["ub"]), _soft(g @ p["v"] + p["vb"])
+    draw = lambda scale, *s: (rng.standard_normal(s) * scale).astype(np.float32)
+    p = {"e": draw(0.3, EMBED, CODES + 1), "h": draw((2 * SIDE * EMBED) ** -0.5, 2 * SIDE * EMBED, HIDDEN), "hb": np.zeros((HIDDEN, 1), np.float32)}
+    for k in range(DIGITS):
+        p |= {f"u{k}": draw(HIDDEN**-0.5, HIDDEN, BASE), f"b{k}": np.zeros((BASE, 1), np.float32), f"d{k}": draw(0.3, k, BASE, HIDDEN)}
+    return p
+
+
+def digits(code: np.ndarray) -> list[np.ndarray]:
+    return [code >> BITS * (DIGITS - 1 - k) & BASE - 1 for k in range(DIGITS)]
+
+
+def forward(p: Params, ctx: np.ndarray, own: list[np.ndarray]) -> tuple[np.ndarray, list, list]:
+    """Embedded contexts and, for each digit (given those before it), hidden values and scores; a column a position."""
+    x = p["e"].take(ctx, axis=1).reshape(EMBED * 2 * SIDE, -1)
+    z = p["h"].T @ x
+    z += p["hb"]
+    hidden, scores = [], []
+    for k in range(DIGITS):
+        h = z.copy()
+        for j in range(k):
+            h += p[f"d{k}"][j].take(own[j], axis=0).T
+        h /= 1 + np.abs(h)
+        hidden.append(h)
+        scores.append(p[f"u{k}"].T @ h)
+        scores[k] += p[f"b{k}"]
+    return x, hidden, scores
 
 
 def log_probability(p: Params, ctx: np.ndarray, code: np.ndarray) -> np.ndarray:
-    first, second = code // CODE, code % CODE
-    _, _, _, a, b = forward(p, ctx, first)
-    at = np.arange(len(code))
-    return np.log(np.maximum(a[at, first], 1e-12)) + np.log(np.maximum(b[at, second], 1e-12))
+    out, at, own = np.zeros(len(code)), np.arange(len(code)), digits(code)
+    for d, score in zip(own, forward(p, ctx, own)[2], strict=True):
+        score -= score.max(axis=0)
+        out += score[d, at]
+        out -= np.log(np.exp(score, out=score).sum(axis=0))
+    return out
 
 
 def train_step(p: Params, ctx: np.ndarray, code: np.ndarray, rate: float = RATE) -> None:
     """One step of gradient descent on the mean of a batch, in place."""
-    first, second, n = code // CODE, code % CODE, len(code)
-    x, h, g, a, b = forward(p, ctx, first)
-    at = np.arange(n)
-    a[at, first] -= 1
-    b[at, second] -= 1
-    a, b = a / n, b / n
-    dg = (b @ p["v"].T) * (1 - g * g)
-    dh = (a @ p["u"].T + dg) * (1 - h * h)
-    dx = (dh @ p["h"].T).reshape(n, 2 * SIDE, EMBED)
-    p["v"] -= rate * g.T @ b
-    p["vb"] -= rate * b.sum(axis=0)
-    p["u"] -= rate * h.T @ a
-    p["ub"] -= rate * a.sum(axis=0)
-    p["h"] -= rate * x.T @ dh
-    p["hb"] -= rate * dh.sum(axis=0)
-    np.add.at(p["d"], first, -rate * dg)
-    np.add.at(p["e"], ctx.ravel(), -rate * 8 * dx.reshape(-1, EMBED))
+    n, at, own = len(code), np.arange(len(code)), digits(code)
+    x, hidden, scores = forward(p, ctx, own)
+    dz = np.zeros_like(hidden[0])
+    given = np.zeros((DIGITS - 1, BASE, n), x.dtype)
+    for k, d in enumerate(own):
+        g, h = scores[k], hidden[k]
+        g -= g.max(axis=0)
+        np.exp(g, out=g)
+        g *= 1 / (n * g.sum(axis=0))
+        g[d, at] -= 1 / n
+        dh = p[f"u{k}"] @ g
+        slope = 1 - np.abs(h)
+        slope *= slope
+        dh *= slope
+        p[f"u{k}"] -= rate * (h @ g.T)
+        p[f"b{k}"] -= rate * g.sum(axis=1, keepdims=True)
+        if k:
+            p[f"d{k}"] -= rate * (given[:k].reshape(k * BASE, n) @ dh.T).reshape(k, BASE, HIDDEN)
+        if k < DIGITS - 1:
+            given[k, d, at] = 1
+        dz += dh
+    dx = p["h"] @ dz
+    p["h"] -= rate * (x @ dz.T)
+    p["hb"] -= rate * dz.sum(axis=1, keepdims=True)
+    dx *= -rate * EMBED_RATE
+    ctx = ctx.ravel()
+    for row, step in zip(p["e"], dx.reshape(EMBED, -1), strict=True):
+        np.add.at(row, ctx, step)
 
 
 def _pack(p: Params) -> np.ndarray:
@@ -206,25 +225,23 @@ def _unpack(flat: np.ndarray) -> Params:
     return out
 
 
-def train_round(docs: DataFrame, coder: Coder, params: Params, turn: int, rounds: int) -> Params:
+def train_round(docs: DataFrame, coder: Coder, params: Params) -> Params:
     """Average of the copies that the tasks have trained from ``params``, weighted by positions."""
     shared = docs.sparkSession.sparkContext.broadcast((coder, params))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, start = shared.value
         p, seen = {k: v.copy() for k, v in start.items()}, 0
-        left_ctx, left_code = np.zeros((0, 2 * SIDE), np.int64), np.zeros(0, np.int64)
+        left_ctx, left_code = np.zeros((2 * SIDE, 0), np.int64), np.zeros(0, np.int64)
         for b in batches:
             for _, texts in ta.passes(b.column("text")):
                 w = ta.split(texts, lower=True)
-                h = ta.word_hashes(w)
-                code = coder(h)
-                mine = dealt(w, h, turn, rounds)
-                left_ctx = np.concatenate([left_ctx, contexts(code, w.doc)[mine]])
-                left_code = np.concatenate([left_code, code[mine]])
-                while len(left_code) >= BATCH:
-                    train_step(p, left_ctx[:BATCH], left_code[:BATCH])
-                    left_ctx, left_code, seen = left_ctx[BATCH:], left_code[BATCH:], seen + BATCH
+                code = coder(ta.word_hashes(w))
+                ctx, code = np.concatenate([left_ctx, contexts(code, w.doc)], axis=1), np.concatenate([left_code, code])
+                whole = len(code) // BATCH * BATCH
+                for i in range(0, whole, BATCH):
+                    train_step(p, np.ascontiguousarray(ctx[:, i : i + BATCH]), code[i : i + BATCH])
+                left_ctx, left_code, seen = ctx[:, whole:], code[whole:], seen + whole
         if len(left_code):
             train_step(p, left_ctx, left_code, RATE * len(left_code) / BATCH)
             seen += len(left_code)
@@ -246,17 +263,21 @@ def train(docs: DataFrame, rounds: int = ROUNDS) -> tuple[Coder, Params]:
     small_batches(docs.sparkSession)
     coder, params = coder_of(docs), fresh()
     for turn in range(rounds):
-        params = train_round(docs, coder, params, turn, rounds)
+        params = train_round(dealt(docs, turn, rounds), coder, params)
     return coder, params
 
 
-def score(docs: DataFrame, model: tuple[Coder, Params], keep: list[str]) -> DataFrame:
-    """``keep``, ``n_tokens, log_likelihood`` (summed, of the words) and ``perplexity`` (of a token's code)."""
+def score(docs: DataFrame, model: tuple[Coder, Params], keep: list[str], inside: bool = False) -> DataFrame:
+    """``keep``, ``n_tokens, log_likelihood`` (summed, of the words), ``mean_log_likelihood`` (of a token), ``seen_elsewhere``
+    (the share of the words without codes of their own that the corpus holds) and ``perplexity`` (of a token's code).
+
+    ``inside`` says that ``docs`` are the corpus; what counts then is the corpus without the document itself.
+    """
     spark = docs.sparkSession
     small_batches(spark)
     shared = spark.sparkContext.broadcast(model)
-    keep = [c for c in keep if c not in ("n_tokens", "log_likelihood", "perplexity")]
-    rows = docs.select(F.struct(*keep).alias("_row"), F.col("text").alias("_text"))
+    added = ["n_tokens", "log_likelihood", "mean_log_likelihood", "seen_elsewhere", "perplexity"]
+    rows = docs.select(F.struct(*[c for c in keep if c not in added]).alias("_row"), F.col("text").alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, p = shared.value
@@ -268,14 +289,19 @@ def score(docs: DataFrame, model: tuple[Coder, Params], keep: list[str]) -> Data
                 h = ta.word_hashes(w)
                 code = coder(h)
                 ctx = contexts(code, w.doc)
-                logp = np.concatenate([log_probability(p, ctx[i : i + SCORED], code[i : i + SCORED]) for i in range(0, len(code), SCORED)] or [np.zeros(0)])
+                # filled up: in blocks of one shape a position's result doesn't depend on its place
+                rest = -len(code) % SCORED
+                ctx, padded = np.pad(ctx, ((0, 0), (0, rest))), np.pad(code, (0, rest))
+                logp = np.concatenate([log_probability(p, np.ascontiguousarray(ctx[:, i : i + SCORED]), padded[i : i + SCORED]) for i in range(0, len(padded), SCORED)] or [np.zeros(0)])[: len(code)]
                 counts[at : at + len(texts)] = w.counts
                 codes[at : at + len(texts)] = np.bincount(w.doc, weights=logp, minlength=len(texts))
-                sums[at : at + len(texts)] = np.bincount(w.doc, weights=logp - coder.log_totals[code], minlength=len(texts))
+                # as if no other text had the words; what the corpus knows of them is added below
+                sums[at : at + len(texts)] = np.bincount(w.doc, weights=logp - (coder.log_totals + coder.log_types)[code], minlength=len(texts))
                 # the distinct words of each text that share codes, and how often they stand there
                 mine = np.flatnonzero(code >= FREQUENT)
                 doc, word = w.doc[mine], h[mine]
-                order = np.lexsort((word, doc))
+                order = np.argsort(word)
+                order = order[np.argsort(doc[order].astype(np.uint16), kind="stable")]
                 doc, word = doc[order], word[order]
                 new = np.flatnonzero(np.concatenate([np.ones(min(1, len(doc)), bool), (doc[1:] != doc[:-1]) | (word[1:] != word[:-1])]))
                 rare.append(word[new])
@@ -291,11 +317,16 @@ def score(docs: DataFrame, model: tuple[Coder, Params], keep: list[str]) -> Data
     scored = rows.mapInArrow(run, f"_row {kind}, n_tokens long, _sum double, perplexity double, _rare array<long>, _times array<int>")
     # written, so that a row's number is the same wherever it is read
     scored = cut(scored.withColumn("_key", F.monotonically_increasing_id()), "scored")
-    counted = spark.read.schema("word long, n long").parquet(model[0].table).where("n > 1")
+    counted = spark.read.schema("word long, n long").parquet(model[0].table).where("n > 1" if inside else "n > 0")
     pairs = scored.select("_key", F.explode(F.arrays_zip("_rare", "_times")).alias("_x")).select("_key", F.col("_x._rare").alias("word"), F.col("_x._times").alias("_k"))
-    # words seen once, or never, add the log of 1
-    part = F.round(F.col("_k") * F.log("n") * F.lit(UNIT)).cast("long")
-    shares = pairs.join(counted, "word").groupBy("_key").agg(F.sum(part).alias("_part"))
-    out = scored.select("_key", "_row", "n_tokens", "_sum", "perplexity").join(shares, "_key", "left")
+    log_types = F.array(*[F.lit(float(x)) for x in model[0].log_types[FREQUENT:]])
+    known = pairs.join(counted, "word").withColumn("n", F.col("n") - F.col("_k") if inside else F.col("n")).where("n > 0")
+    # each such word: its occurrences in place of an unseen word's part of one
+    part = F.round(F.col("_k") * (F.log("n") + F.element_at(log_types, F.pmod("word", F.lit(CODES - FREQUENT)).cast("int") + 1)) * F.lit(UNIT)).cast("long")
+    shares = known.groupBy("_key").agg(F.sum(part).alias("_part"), F.sum("_k").alias("_seen"))
+    all_rare = F.coalesce(F.aggregate("_times", F.lit(0).cast("long"), lambda a, x: a + x), F.lit(0))
+    out = scored.select("_key", "_row", "n_tokens", "_sum", "perplexity", all_rare.alias("_all")).join(shares, "_key", "left")
     out = out.withColumn("log_likelihood", F.col("_sum") + F.coalesce(F.col("_part") / F.lit(UNIT), F.lit(0.0)))
-    return out.select("_row.*", "n_tokens", "log_likelihood", "perplexity")
+    mean = F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens"))
+    elsewhere = F.when(F.col("_all") > 0, F.coalesce("_seen", F.lit(0)) / F.col("_all"))
+    return out.select("_row.*", "n_tokens", "log_likelihood", mean.alias("mean_log_likelihood"), elsewhere.alias("seen_elsewhere"), "perplexity")

@@ -20,7 +20,7 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return lm_scoring.score(docs, lm_scoring.train(docs), keep=["doc_id"])
+    return lm_scoring.score(docs, lm_scoring.train(docs), keep=["doc_id"], inside=True)
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,5 +1,6 @@
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -53,21 +54,16 @@ def test_the_network_learns_from_both_sides(spark):
         mixed.append(" ".join(w))
     df = spark.createDataFrame([(i, k, t) for k, ts in enumerate((texts, mixed)) for i, t in enumerate(ts)], "i int, shuffled int, text string")
     got = {(r["i"], r["shuffled"]): r["perplexity"] for r in lm_scoring.score(df, model, ["i", "shuffled"]).collect()}
-    assert np.mean([got[i, 0] for i in range(len(texts))]) < lm_scoring.CODE**2 * 0.8
+    assert np.mean([got[i, 0] for i in range(len(texts))]) < lm_scoring.CODES * 0.8
     fresh = {r["i"]: r["perplexity"] for r in lm_scoring.score(df.where("shuffled = 0"), (model[0], lm_scoring.fresh()), ["i"]).collect()}
     assert sum(got[i, 0] < fresh[i] for i in range(len(texts))) >= 0.9 * len(texts)
 
 
-def test_every_position_is_trained_on_once():
-    texts = [" ".join(f"w{i * k % 97}" for i in range(n)) for k, n in enumerate((1, 3, 12, 30, 30, 200), 1)]
-    w = ta.split(pa.array([*texts, None, ""]), lower=True)
-    h = ta.word_hashes(w)
+def test_every_document_is_trained_on_once(docs, rows):
     for rounds in (1, 2, 3):
-        turns = [lm_scoring.dealt(w, h, t, rounds) for t in range(rounds)]
-        assert sorted(np.concatenate(turns).tolist()) == list(range(len(h)))
-    first = set(lm_scoring.dealt(w, h, 0, 2).tolist())
-    a, b = [[int(w.first[d] + i) in first for i in range(30)] for d in (3, 4)]
-    assert a != b
+        turns = [[r["doc_id"] for r in lm_scoring.dealt(docs, t, rounds).collect()] for t in range(rounds)]
+        assert sorted(sum(turns, [])) == sorted(r[0] for r in rows)
+        assert all(len(t) > len(rows) / rounds / 3 for t in turns)
 
 
 def test_real_order_scores_better_and_rare_words_differ(spark):
@@ -102,38 +98,81 @@ def test_real_order_scores_better_and_rare_words_differ(spark):
     assert len(set(seen.values())) > 1 and any(x[0] == "u" for x in each)
     low = min(seen, key=seen.get)
     assert all(abs(each[x] - each[low] - np.log(n / seen[low])) < 1e-5 for x, n in seen.items())
-    assert all(abs(each[x] - each[low] + np.log(seen[low])) < 1e-5 for x in each if x[0] == "u")
+    # unseen words share one occurrence, as many of them as seen ones
+    types = int((code[:6000] == one).sum())
+    assert all(abs(each[x] - each[low] + np.log(seen[low]) + np.log(types + 1)) < 1e-5 for x in each if x[0] == "u")
+
+
+def test_own_occurrences_do_not_count_inside_the_corpus(spark):
+    rng = random.Random(8)
+    common = [f"c{i}" for i in range(40)]
+    own = lambda k: " ".join(x for i in range(100) for x in (rng.choice(common), f"own{k}x{i}"))
+    texts = [own(k) for k in range(60)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(100 + i, t) for i, t in enumerate(texts[:10])] + [(200, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    # more frequent words than have codes of their own
+    docs = docs.union(spark.createDataFrame([(300 + k, " ".join(f"f{i}" for i in range(3200))) for k in range(3)], docs.schema))
+    got = {r["doc_id"]: r for r in lm_scoring.score(docs, lm_scoring.train(docs), ["doc_id"], inside=True).collect()}
+    twice, once = [got[i]["mean_log_likelihood"] for i in (*range(10), *range(100, 110))], [got[i]["mean_log_likelihood"] for i in range(10, 60)]
+    assert min(twice) > max(once)
+    assert all(got[i]["seen_elsewhere"] == 1 for i in range(10)) and all(got[i]["seen_elsewhere"] == 0 for i in range(10, 60))
+    assert got[200]["mean_log_likelihood"] is None and got[200]["seen_elsewhere"] is None
+
+
+def test_scores_against_brute_force(spark):
+    rng = random.Random(4)
+    texts = [" ".join(f"w{int(rng.paretovariate(0.5)) % 9000}" for _ in range(rng.randrange(1, 300))) for _ in range(200)] + [None, "", "one"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    coder, params = lm_scoring.train(docs)
+    counts = Counter(x for t in texts for x in words(t))
+    code = dict(zip(counts, coder(ta.word_hashes(ta.split(pa.array(list(counts))))), strict=True))
+    total, types = Counter(), Counter()
+    for x, n in counts.items():
+        total[code[x]] += n
+        types[code[x]] += 1
+    for inside in (False, True):
+        got = {r["doc_id"]: r for r in lm_scoring.score(docs, (coder, params), ["doc_id"], inside=inside).collect()}
+        for i, t in enumerate(texts):
+            w, want = words(t), 0.0
+            here = Counter(w)
+            for k, x in enumerate(w):
+                ctx = [code[w[j]] if 0 <= j < len(w) else lm_scoring.CODES for j in (k - 2, k - 1, k + 1, k + 2)]
+                want += lm_scoring.log_probability(params, np.array(ctx)[:, None], np.array([code[x]]))[0]
+                if code[x] >= lm_scoring.FREQUENT:
+                    n = counts[x] - (here[x] if inside else 0)
+                    want += np.log(n if n else 1 / (types[code[x]] + 1)) - np.log(total[code[x]] + 1)
+            assert abs(got[i]["log_likelihood"] - want) < 1e-3 * (len(w) + 1)
 
 
 def test_steps_lower_the_loss_and_probabilities_sum_to_one():
     rng = np.random.default_rng(1)
-    seq = np.tile(rng.integers(0, lm_scoring.CODE**2, 50), 40)
+    seq = np.tile(rng.integers(0, lm_scoring.CODES, 50), 40)
     ctx = lm_scoring.contexts(seq, np.zeros(len(seq), np.int64))
     p = lm_scoring.fresh()
     before = lm_scoring.log_probability(p, ctx, seq).mean()
     for _ in range(3):
         for i in range(0, len(seq), 256):
-            lm_scoring.train_step(p, ctx[i : i + 256], seq[i : i + 256])
+            lm_scoring.train_step(p, ctx[:, i : i + 256], seq[i : i + 256])
     assert lm_scoring.log_probability(p, ctx, seq).mean() > before + 0.3
-    every = np.arange(lm_scoring.CODE**2)
-    total = np.exp(lm_scoring.log_probability(p, np.repeat(ctx[5:6], len(every), axis=0), every)).sum()
+    every = np.arange(lm_scoring.CODES)
+    total = np.exp(lm_scoring.log_probability(p, np.repeat(ctx[:, 5:6], len(every), axis=1), every)).sum()
     assert abs(total - 1) < 1e-3
 
 
 def test_context_ends_with_the_document():
     c = lm_scoring.contexts(np.array([1, 2, 3, 9]), np.array([0, 0, 0, 1]))
-    end = lm_scoring.CODE**2
-    assert c.tolist() == [[end, end, 2, 3], [end, 1, 3, end], [1, 2, end, end], [end] * 4]
+    end = lm_scoring.CODES
+    assert c.T.tolist() == [[end, end, 2, 3], [end, 1, 3, end], [1, 2, end, end], [end] * 4]
 
 
 def test_gradients():
     rng = np.random.default_rng(2)
     p = {k: v.astype(np.float64) for k, v in lm_scoring.fresh().items()}
-    ctx, code = rng.integers(0, 4097, (3, 4)), rng.integers(0, 4096, 3)
+    ctx, code = rng.integers(0, 4097, (4, 3)), rng.integers(0, 4096, 3)
     loss = lambda q: -lm_scoring.log_probability(q, ctx, code).mean()
     q = {k: v.copy() for k, v in p.items()}
     lm_scoring.train_step(q, ctx, code, 1.0)
-    for k in ("h", "u", "v", "d", "hb"):
+    for k in ("h", "u0", "u1", "u2", "d1", "d2", "b2", "hb"):
         at = tuple(int(x) for x in np.argwhere(np.abs(q[k] - p[k]) > 1e-9)[0])
         up = {n: v.copy() for n, v in p.items()}
         up[k][at] += 1e-5
