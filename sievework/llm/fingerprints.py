@@ -40,9 +40,11 @@ def with_anchors(rows: DataFrame, text: str, name: str = "anchors") -> DataFrame
     inner = F.when(F.size("_h") >= K, F.transform(F.sequence(F.lit(1), F.size("_h") - S + 1), lambda i: F.xxhash64(F.slice("_h", i, S))))
     rows = rows.select(*old, "_h", inner.alias("_s"))
     last = K - S
-    smallest = lambda i: F.array_min(F.slice("_s", i, last + 1))
-    closed = lambda i: (F.get("_s", i - 1) == smallest(i)) | (F.get("_s", i - 1 + last) == smallest(i))
-    picked = F.filter(F.sequence(F.lit(1), F.size("_h") - K + 1), closed)
+    # the smallest inner run of each run, once
+    least = F.transform(F.sequence(F.lit(1), F.size("_h") - K + 1), lambda i: F.array_min(F.slice("_s", i, last + 1)))
+    rows = rows.select(*old, "_h", "_s", F.when(F.size("_h") >= K, least).alias("_m"))
+    edge = lambda m, i: F.when((F.get("_s", i) == m) | (F.get("_s", i + last) == m), i + 1)
+    picked = F.filter(F.transform("_m", edge), lambda i: i.isNotNull())
     one = lambda i: F.struct((i - 1).alias("pos"), F.xxhash64(F.slice("_h", i, K)).alias("hash"))
     few = F.when(F.size("_h") > 0, F.array(F.struct(F.lit(0).alias("pos"), F.xxhash64("_h").alias("hash"))))
     none = F.array().cast("array<struct<pos:int,hash:bigint>>")
