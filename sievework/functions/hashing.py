@@ -22,8 +22,9 @@ def hamming(a: Column, b: Column) -> Column:
 
 
 def _simhash(text: str, grams: int) -> int:
-    """SimHash of one text whose words are parted by single spaces."""
+    """SimHash of one text whose words are parted by single spaces; a text of fewer words is one gram."""
     words = text.split(" ")
+    grams = min(grams, len(words))
     n, sums = len(words) - grams + 1, np.zeros(64, np.int64)
     for at in range(0, n, HELD_GRAMS):
         part = words[at : at + HELD_GRAMS + grams - 1]
@@ -36,12 +37,12 @@ def _simhash(text: str, grams: int) -> int:
 def text_simhash(df: DataFrame, key: str, text: str, grams: int = 3) -> DataFrame:
     """``key, hash``: SimHash of lower-cased word n-grams, each by the first 64 bits of its MD5.
 
-    A bit is set if more than half of the grams set it. Texts of fewer words have no row. Nothing is
+    A bit is set if more than half of the grams set it. A text of fewer words is one gram, a null text is an empty one. Nothing is
     shuffled; digests and their bits are summed in tasks, since as SQL sums over exploded grams they take
     many times the processor time.
     """
-    norm = F.trim(F.regexp_replace(F.lower(F.col(text)), "[ \\t\\n\\r]+", " "))
-    rows = df.select(F.col(key).alias("_key"), norm.alias("_text")).where(F.size(F.split("_text", " ")) >= grams)
+    norm = F.trim(F.regexp_replace(F.lower(F.coalesce(F.col(text), F.lit(""))), "[ \\t\\n\\r]+", " "))
+    rows = df.select(F.col(key).alias("_key"), norm.alias("_text"))
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -1,4 +1,4 @@
-"""Exact and near duplicates by 64-bit hashes, their clusters, and who is kept."""
+"""Exact and near duplicates by 64-bit hashes, their clusters, and who is kept. In near duplicates and clusters a null label is a label like others."""
 
 from __future__ import annotations
 
@@ -52,7 +52,7 @@ def near_pairs(classes: DataFrame, label: str, most: int, hash_: str = "hash", f
     cols = [c for c in (hash_, flipped) if c]
     a = classes.select(label, F.col("rep").alias("rep_a"), *[F.col(c).alias(f"a_{c}") for c in cols])
     b = classes.select(F.col(label).alias("_l"), F.col("rep").alias("rep_b"), F.col(hash_).alias("b_hash"))
-    on = (F.col(label) == F.col("_l")) & (F.col("rep_a") < F.col("rep_b"))
+    on = F.col(label).eqNullSafe(F.col("_l")) & (F.col("rep_a") < F.col("rep_b"))
     if banded:
         # a mirrored hash looks for its partners too
         probes = F.array_union(*[bands(F.col(f"a_{c}"), most + 1) for c in cols]) if flipped else bands(F.col(f"a_{hash_}"), most + 1)
@@ -71,7 +71,8 @@ def links(classes: DataFrame, label: str, most: int, hash_: str = "hash") -> Dat
     different components are compared further. A large group of near copies so costs a comparison a
     copy, not one a pair.
     """
-    lists = classes.select(F.col(label).alias("_l"), F.col("rep").alias("_rep"), F.col(hash_).alias("_h"), F.explode(bands(F.col(hash_), most + 1)).alias("_x"))
+    named = F.coalesce(F.concat(F.lit("="), F.col(label).cast("string")), F.lit(""))
+    lists = classes.select(named.alias("_l"), F.col("rep").alias("_rep"), F.col(hash_).alias("_h"), F.explode(bands(F.col(hash_), most + 1)).alias("_x"))
     heads = cut(lists.groupBy("_l", "_x").agg(F.min(F.struct("_rep", "_h")).alias("_head"), F.count(F.lit(1)).alias("_c")).where("_c > 1"), "heads")
     met = cut(lists.join(heads, (lists["_l"] == heads["_l"]) & (lists["_x"] == heads["_x"])).select(lists["_l"], lists["_x"], "_rep", "_h", "_head"), "lists")
     star = met.where((F.col("_rep") != F.col("_head._rep")) & (hamming(F.col("_h"), F.col("_head._h")) <= most)).select(F.col("_head._rep").alias("rep_a"), F.col("_rep").alias("rep_b")).distinct()
@@ -98,7 +99,7 @@ def clusters(df: DataFrame, classes: DataFrame, pairs: DataFrame, label: str, or
     firsts = firsts.join(begins, F.col("_fl").eqNullSafe(F.col("_bl")))
     firsts = firsts.select("_c", F.concat_ws("_", F.col("_fl"), (F.col("_at") - F.col("_begin") + 1).cast("string")).alias("cluster_id"))
     named = reps.join(firsts, F.col("component") == F.col("_c")).drop("_c")
-    return df.join(named, (F.col(label) == F.col("_l")) & (F.col(hash_) == F.col("_h"))).drop("_l", "_h")
+    return df.join(named, F.col(label).eqNullSafe(F.col("_l")) & (F.col(hash_) == F.col("_h"))).drop("_l", "_h")
 
 
 def choose(df: DataFrame, cluster: str, order: str, area: str, sharpness: str, cap: int = MAX_AUGMENTED, floor: float = SHARPNESS_FLOOR) -> DataFrame:

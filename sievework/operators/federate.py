@@ -15,13 +15,13 @@ def iid_targets(clusters: DataFrame, label: str, size: str, clients: int) -> Dat
     return total.select(label, F.array(*[F.lit(str(i)) for i in range(clients)]).alias("bins"), F.array_repeat(F.col("_t") / F.lit(clients), clients).alias("goals"))
 
 
-def dirichlet_shares(labels: list[str], clients: int, alpha: float = 0.5, least: float = 0.02, seed: int = 42) -> list[tuple[str, list[float]]]:
-    """Shares of each label in order: a Dirichlet draw, raised to ``least`` and scaled to 1 again.
+def dirichlet_shares(labels: list[str | None], clients: int, alpha: float = 0.5, least: float = 0.02, seed: int = 42) -> list[tuple[str | None, list[float]]]:
+    """Shares of each label in order, null last: a Dirichlet draw, raised to ``least`` and scaled to 1 again.
 
     After scaling a share can be below ``least``.
     """
     rng, out = np.random.default_rng(seed), []
-    for label in sorted(labels):
+    for label in sorted(labels, key=lambda x: (x is None, x)):
         s = np.maximum(rng.dirichlet([alpha] * clients), least)
         out.append((label, (s / s.sum()).tolist()))
     return out
@@ -30,9 +30,9 @@ def dirichlet_shares(labels: list[str], clients: int, alpha: float = 0.5, least:
 def dirichlet_targets(clusters: DataFrame, label: str, size: str, clients: int, alpha: float = 0.5, least: float = 0.02, seed: int = 42) -> DataFrame:
     """Targets from a draw for each label, made on the driver from the distinct labels alone."""
     total = clusters.groupBy(label).agg(F.sum(size).alias("_t"))
-    labels = [r[0] for r in total.select(label).where(F.col(label).isNotNull()).collect()]
-    drawn = clusters.sparkSession.createDataFrame(dirichlet_shares(labels, clients, alpha, least, seed), f"{label} string, _s array<double>")
-    return total.join(drawn, label).select(label, F.array(*[F.lit(str(i)) for i in range(clients)]).alias("bins"), F.transform("_s", lambda s: s * F.col("_t")).alias("goals"))
+    labels = [r[0] for r in total.select(label).collect()]
+    drawn = clusters.sparkSession.createDataFrame(dirichlet_shares(labels, clients, alpha, least, seed), "_label string, _s array<double>")
+    return total.join(drawn, F.col(label).eqNullSafe(F.col("_label"))).select(label, F.array(*[F.lit(str(i)) for i in range(clients)]).alias("bins"), F.transform("_s", lambda s: s * F.col("_t")).alias("goals"))
 
 
 def assign(rows: DataFrame, label: str, cluster: str, targets, seed: int = 42) -> DataFrame:
@@ -40,7 +40,7 @@ def assign(rows: DataFrame, label: str, cluster: str, targets, seed: int = 42) -
     c = rows.groupBy(label, cluster).agg(F.count(F.lit(1)).alias("_n"))
     found = allot(c, [label], cluster, "_n", targets(c, label, "_n"), seed)
     found = found.select(F.col(label).alias("_l"), F.col(cluster).alias("_c"), F.col("bin").cast("int").alias("client_id"))
-    return rows.join(found, F.col(label).eqNullSafe(F.col("_l")) & (F.col(cluster) == F.col("_c"))).drop("_l", "_c")
+    return rows.join(found, F.col(label).eqNullSafe(F.col("_l")) & F.col(cluster).eqNullSafe(F.col("_c"))).drop("_l", "_c")
 
 
 def distribution(assigned: DataFrame, label: str) -> DataFrame:

@@ -45,7 +45,7 @@ def fill(targets: list[float], filled: list[int], size: int, m: int) -> list[int
 
 
 def seeded(key: Column, seed: int) -> Column:
-    return F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")).cast("binary"))
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), F.lit(""))).cast("binary"))
 
 
 def allot(clusters: DataFrame, strata: list[str], key: str, size: str, targets: DataFrame, seed: int = 42) -> DataFrame:

@@ -261,13 +261,13 @@ def tier_pairs_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile.ranked(n, ["tier"], [F.col("pairs").desc(), "label_a", "label_b"], "place").where("place <= 10").withColumn("place", F.col("place").cast("long"))
 
 
-SIMHASH = r"""norm AS (SELECT doc_id AS ord, lang AS label, n_chars AS size, string_split(trim(regexp_replace(lower(text), '[ \t\n\r]+', ' ', 'g')), ' ') AS w FROM documents),
-  grams AS (SELECT ord, label, size, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS g FROM norm WHERE len(w) >= 3),
+SIMHASH = r"""norm AS (SELECT doc_id AS ord, lang AS label, n_chars AS size, string_split(trim(regexp_replace(lower(coalesce(text, '')), '[ \t\n\r]+', ' ', 'g')), ' ') AS w FROM documents),
+  grams AS (SELECT ord, label, size, unnest(CASE WHEN len(w) < 3 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS g FROM norm),
   vals AS (SELECT ord, label, size, ('0x' || substr(md5(g), 1, 16))::UBIGINT AS v FROM grams),
   bits AS (SELECT ord, label, size, b, 2 * sum(((v >> b) & 1)::INT) > count(*) AS one FROM vals, range(64) AS t(b) GROUP BY 1, 2, 3, 4),
   hashed AS (SELECT ord, label, size, sum(CASE WHEN one THEN 1::UBIGINT << b ELSE 0::UBIGINT END)::UBIGINT AS hash FROM bits GROUP BY 1, 2, 3),
   classes AS (SELECT label, hash, min(ord) AS rep, count(*) AS members FROM hashed GROUP BY 1, 2),
-  pairs AS (SELECT a.label, a.rep AS rep_a, b.rep AS rep_b, bit_count(xor(a.hash, b.hash))::INT AS distance FROM classes a JOIN classes b ON a.label = b.label AND a.rep < b.rep
+  pairs AS (SELECT a.label, a.rep AS rep_a, b.rep AS rep_b, bit_count(xor(a.hash, b.hash))::INT AS distance FROM classes a JOIN classes b ON a.label IS NOT DISTINCT FROM b.label AND a.rep < b.rep
     WHERE bit_count(xor(a.hash, b.hash)) <= 8)"""
 
 
@@ -308,8 +308,8 @@ def near_dup_mirror(spark: SparkSession, sf_dir: str) -> DataFrame:
 CLUSTERS = f"""{SIMHASH}, links AS (SELECT rep_a AS a, rep_b AS b FROM pairs WHERE distance <= 4 UNION SELECT rep_b, rep_a FROM pairs WHERE distance <= 4),
   reach AS (SELECT rep AS node, rep AS root FROM classes UNION SELECT l.b, r.root FROM reach r JOIN links l ON r.node = l.a),
   comp AS (SELECT node, min(root) AS component FROM reach GROUP BY 1),
-  clustered AS (SELECT h.ord, h.label, h.size, c.component, h.label || '_' || dense_rank() OVER (PARTITION BY h.label ORDER BY c.component) AS cluster_id
-    FROM hashed h JOIN classes k ON h.label = k.label AND h.hash = k.hash JOIN comp c ON c.node = k.rep)"""
+  clustered AS (SELECT h.ord, h.label, h.size, c.component, concat_ws('_', h.label, dense_rank() OVER (PARTITION BY h.label ORDER BY c.component)) AS cluster_id
+    FROM hashed h JOIN classes k ON h.label IS NOT DISTINCT FROM k.label AND h.hash = k.hash JOIN comp c ON c.node = k.rep)"""
 
 
 def _clustered(spark: SparkSession, sf_dir: str) -> DataFrame:

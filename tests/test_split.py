@@ -56,4 +56,11 @@ def test_clients_get_all_rows(spark):
     assert out.count() == 900
     for _, s in federate.dirichlet_shares(["b", "a"], 10):
         assert abs(sum(s) - 1) < 1e-9 and min(s) > 0.01
-    assert [k for k, _ in federate.dirichlet_shares(["b", "a"], 3)] == ["a", "b"]
+    assert [k for k, _ in federate.dirichlet_shares(["b", None, "a"], 3)] == ["a", "b", None]
+
+
+def test_clients_get_rows_with_null_labels_and_clusters(spark):
+    odd = rows(spark, 90).withColumn("label", F.when(F.col("ord") % 3 > 0, F.col("label"))).withColumn("cluster_key", F.when(F.col("ord") % 5 > 0, F.col("cluster_key")))
+    for targets in (federate.dirichlet_targets, federate.iid_targets):
+        out = federate.assign(odd, "label", "cluster_key", lambda c, label, n, t=targets: t(c, label, n, 5))
+        assert sorted(r["ord"] for r in out.collect()) == list(range(90))
