@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Rows in an Arrow batch of texts.
+#: Rows that an Arrow batch of texts should hold at most, as these can be long; it is for the caller to set while the job runs.
 ARROW_ROWS = 256
 #: Grams of one text whose digests are held at once.
 HELD_GRAMS = 1 << 16
@@ -49,8 +49,6 @@ def text_simhash(df: DataFrame, key: str, text: str, grams: int = 3) -> DataFram
             hashes = [_simhash(t.as_py(), grams) for t in b.column("_text")]
             yield pa.RecordBatch.from_arrays([b.column("_key"), pa.array(hashes, pa.int64())], ["_key", "hash"])
 
-    # texts can be long, so batches stay short
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     kind = rows.schema["_key"].dataType.simpleString()
     return rows.mapInArrow(make, f"_key {kind}, hash long").withColumnRenamed("_key", key)
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from sievework.functions import hashing, names
 from sievework.operators import dedup, federate, quality, reconcile, select, split, stats
 from sievework.sources.schemas import SPLIT_SHARES, STATUSES
-from sievework.sources.shared import cut, table
+from sievework.sources.shared import arrow_rows, cut, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -274,7 +274,8 @@ SIMHASH = r"""norm AS (SELECT doc_id AS ord, lang AS label, n_chars AS size, str
 def _simhashed(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents")
     h = hashing.text_simhash(d, "doc_id", "text")
-    return cut(d.select("doc_id", "lang", "n_chars").join(h, "doc_id").select(F.col("doc_id").alias("ord"), F.col("lang").alias("label"), F.col("n_chars").alias("size"), "hash"), "simhash")
+    with arrow_rows(spark, hashing.ARROW_ROWS):
+        return cut(d.select("doc_id", "lang", "n_chars").join(h, "doc_id").select(F.col("doc_id").alias("ord"), F.col("lang").alias("label"), F.col("n_chars").alias("size"), "hash"), "simhash")
 
 
 @query(f"WITH {SIMHASH} SELECT label, rep_a, rep_b, distance, CASE WHEN distance <= 4 THEN 'tight' ELSE 'loose' END AS kind FROM pairs")

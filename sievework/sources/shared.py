@@ -4,15 +4,20 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; a new one of our own only where that is unset."""
+    """The folder in ``spark.checkpoint.dir``; a new one of our own only in a local session where that is unset."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir is unset; on a cluster it must name a folder that all executors share")
         where = "file://" + tempfile.mkdtemp(prefix="sievework-")
         spark.conf.set("spark.checkpoint.dir", where)
     return where.rstrip("/")
@@ -39,6 +44,18 @@ def drop(*tables: DataFrame) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Bound the rows of Arrow batches for what is run inside; then the setting is what it was."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -1,5 +1,7 @@
+import pytest
 from pyspark.sql import functions as F
 
+from sievework.sources import shared
 from sievework.functions import names
 from sievework.operators import stats
 from sievework.sources import files, schemas
@@ -46,3 +48,30 @@ def test_skew_flags(spark):
     got = {r["label"]: r["flagged"] for r in stats.skew(df, "label", F.col("category") == "small", 1.5, 0.05).collect()}
     assert got == {"p": True, "q": False, "r": False}
     assert "warning: p" in stats.health_report("t", {"largest": "p", "largest_n": 3, "smallest": "q", "smallest_n": 1, "ratio": 3.0}, [], ["p"])
+
+
+class _Conf(dict):
+    def set(self, k, v):
+        self[k] = v
+
+
+class _Session:
+    def __init__(self, **conf):
+        self.conf = _Conf({k.replace("__", "."): v for k, v in conf.items()})
+
+
+def test_the_shared_folder_must_be_named_on_a_cluster():
+    assert shared.shared_dir(_Session(spark__master="spark://h:7077", spark__checkpoint__dir="hdfs://n/x/")) == "hdfs://n/x"
+    for master in ("local", "local[4]"):
+        assert shared.shared_dir(_Session(spark__master=master)).startswith("file://")
+    for master in ("spark://h:7077", "yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="shared"):
+            shared.shared_dir(_Session(spark__master=master))
+
+
+def test_batch_settings_are_put_back(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key)
+    with shared.arrow_rows(spark, 7):
+        assert spark.conf.get(key) == "7"
+    assert spark.conf.get(key) == old
