@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 #: First bytes in hex and format (fixed values).
 MAGIC = (("89504E470D0A1A0A", "PNG"), ("FFD8FF", "JPEG"), ("424D", "BMP"), ("49492A00", "TIFF"), ("4D4D002A", "TIFF"))
+#: Suffix and format, least side, and the mean channel difference below which an image counts as gray (fixed values).
 EXPECTED = {".jpg": "JPEG", ".jpeg": "JPEG", ".png": "PNG", ".bmp": "BMP", ".tif": "TIFF", ".tiff": "TIFF", ".webp": "WEBP"}
 MIN_SIDE = 50
 CHANNEL_DIFF = 8.0

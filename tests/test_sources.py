@@ -1,10 +1,9 @@
 import pytest
 from pyspark.sql import functions as F
 
-from sievework.sources import shared
 from sievework.functions import names
 from sievework.operators import stats
-from sievework.sources import files, schemas
+from sievework.sources import files, schemas, shared
 
 
 def test_csv_keeps_quotes_backslashes_and_blanks(spark, tmp_path):
@@ -65,7 +64,7 @@ def test_the_shared_folder_must_be_named_on_a_cluster():
     for master in ("local", "local[4]"):
         assert shared.shared_dir(_Session(spark__master=master)).startswith("file://")
     for master in ("spark://h:7077", "yarn", "local-cluster[2,1,1024]"):
-        with pytest.raises(ValueError, match="shared"):
+        with pytest.raises(ValueError, match="executors share"):
             shared.shared_dir(_Session(spark__master=master))
 
 
