@@ -181,8 +181,13 @@ def alike(pairs: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFrame:
 
 
 def join(docs: DataFrame, n: int = 5, threshold: tuple[int, int] = (8, 10)) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every row of ``docs``: the smallest id that links reach."""
+    """``doc_id, n_shingles, component_id`` of every row of ``docs``: the smallest id that links reach.
+
+    The threshold must be 1/2 or more: below, sketches of two sets that link can need to be folded more than once.
+    """
     spark, (num, den) = docs.sparkSession, threshold
+    if not den <= 2 * num <= 2 * den:
+        raise ValueError("the threshold must be from 1/2 to 1")
     small_batches(spark)
     base = cut(prefixes(docs, n, num, den, frequent_shingles(docs, n)), "prefixes")
     nodes = cut(base.where("n > 0 and doc_id is not null").groupBy("sig").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("rare").alias("rare"), F.first("prefix").alias("prefix"), F.first("sketch").alias("sketch")), "nodes")
@@ -253,4 +258,8 @@ def one_of_each(docs: DataFrame, n: int = 5, threshold: tuple[int, int] = (8, 10
     drop(*linked.reads)
     rest = without(docs, found.where("doc_id <> component_id"), "doc_id")
     repeated = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).where("c > 1 and doc_id is not null")
-    return rest if repeated.isEmpty() else rest.dropDuplicates()
+    if repeated.isEmpty():
+        return rest
+    # only rows whose ids repeat are held against each other
+    ids = cut(repeated.select("doc_id"), "repeated")
+    return without(rest, ids, "doc_id").unionByName(rest.join(ids, "doc_id", "left_semi").select(*rest.columns).dropDuplicates())

@@ -61,6 +61,11 @@ def test_empty_and_odd_tables(empty, odd):
     assert sorted(str(r["doc_id"]) for r in jaccard_join.one_of_each(odd, 3, (9, 10)).collect()) == ["1", "3", "None"]
 
 
+def test_thresholds_below_a_half_are_refused(docs):
+    with pytest.raises(ValueError, match="threshold"):
+        jaccard_join.join(docs, 3, (49, 100))
+
+
 def test_words_are_split_and_hashed_alike():
     texts = ["A b\tc", None, "", "  x  ", "b A b c", "c" * 5000 + " b"]
     w = ta.split(pa.array(texts), lower=True)

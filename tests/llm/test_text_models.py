@@ -1,4 +1,5 @@
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -23,6 +24,41 @@ def test_held_out_accuracy(spark):
     assert all(0 <= r["score"] <= 1 for r in got)
 
 
+def grams(text):
+    """Buckets of a text's n-grams, one after the other in plain integers."""
+    line = re.sub(r" +", " ", "".join(c if c.isalpha() else " " for c in f" {text.lower()} "))
+    code = [ord(c) for c in line]
+    for n in language_id.ORDERS:
+        for k in range(len(code) - n + 1):
+            h = n
+            for c in code[k : k + n]:
+                h = (h * 0x9E3779B97F4A7C15 + c) % 2**64
+            h = (h ^ h >> 29) * 0xBF58476D1CE4E5B9 % 2**64
+            yield h >> 48
+
+
+def test_naive_bayes_against_brute_force(docs, rows):
+    short = [r for r in rows if r[1] is not None and len(r[1]) < 3000]
+    counts, texts = {"de": Counter(), "en": Counter()}, Counter()
+    for _, t, lang, *_ in short:
+        if lang:
+            counts[lang].update(grams(t))
+            texts[lang] += 1
+    frame = docs.where("text is not null and n_chars < 3000")
+    langs, table = language_id.train(frame)
+    assert langs == ["de", "en"]
+    got = {r["doc_id"]: r for r in language_id.predict(frame, (langs, table), keep=["doc_id"]).collect()}
+    a = language_id.SMOOTHING
+    for i, t, *_ in short:
+        if not any(c.isalpha() for c in t):
+            continue
+        mine = Counter(grams(t))
+        sums = [np.log(texts[k] / sum(texts.values())) + sum(n * np.log((counts[k][x] + a) / (counts[k].total() + a * language_id.BUCKETS)) for x, n in mine.items()) for k in langs]
+        best = int(np.argmax(sums))
+        assert got[i]["lang_pred"] == langs[best] or abs(sums[0] - sums[1]) < 1e-2
+        assert abs(got[i]["score"] - 1 / sum(np.exp(np.array(sums) - max(sums)))) < 1e-2
+
+
 def test_language_of_awkward_texts(docs, empty, odd, rows):
     got = {r["doc_id"]: r for r in language_id.identify(docs, keep=["doc_id", "text"]).collect()}
     for i, t, *_ in rows:
