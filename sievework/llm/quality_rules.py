@@ -2,8 +2,9 @@
 
 Every document has counts of words, symbols, repeated lines and repeated 8-word windows. Four
 transformed statistics of the documents that pass the plain rules are modelled for each language
-and source by minimum-covariance-determinant estimates: concentration steps keep the
-``SUPPORT`` share of points nearest by Mahalanobis distance and refit on them. A group's
+and source by minimum-covariance-determinant estimates: from each of four first estimates,
+concentration steps keep the ``SUPPORT`` share of points nearest by Mahalanobis distance and refit
+on them; the start that comes to the smallest determinant is taken further. A group's
 estimates are blended with its language's by the number of rows, so that a group of a few
 documents isn't its own measure, and a document is rejected where its squared distance is above
 ``CUTOFF``.
@@ -29,7 +30,8 @@ WINDOW = 8
 MAX_REPEAT_PERCENT = 30
 SYMBOLS = "[#*$%&|<>]"
 SUPPORT = 0.75
-STEPS = 2
+#: Concentration steps that every start takes, and further ones of the start with the smallest determinant.
+STEPS, LAST_STEPS = 2, 2
 #: Covariance of the central 75 % of a 4-variate normal, scaled back: 0.75 / P(chi2_6 <= 5.385).
 CONSISTENCY = 1.486
 #: Added to the variances: the least spread that a statistic is taken to have.
@@ -91,38 +93,79 @@ def _matched(points: DataFrame, fit: DataFrame, keys: list[str]) -> DataFrame:
     return points.join(fit, on).drop(*[f"_k_{k}" for k in keys])
 
 
-def distance() -> Column:
-    """Squared Mahalanobis distance of X from ``m*`` under the covariance ``c*``: the inverse by cofactors."""
-    c = lambda i, j: F.col(f"c{min(i, j)}{max(i, j)}")
+def _c(i: int, j: int) -> Column:
+    return F.col(f"c{min(i, j)}{max(i, j)}")
+
+
+def _minor(rows: tuple[int, ...], cols: tuple[int, ...]) -> Column:
+    if len(rows) == 1:
+        return _c(rows[0], cols[0])
+    return reduce(add, [_c(rows[0], j) * _minor(rows[1:], cols[:k] + cols[k + 1 :]) * (-1) ** k for k, j in enumerate(cols)])
+
+
+def determinant() -> Column:
+    """Of the covariance ``c*``."""
+    return _minor(tuple(range(K)), tuple(range(K)))
 
-    def minor(rows: tuple[int, ...], cols: tuple[int, ...]) -> Column:
-        if len(rows) == 1:
-            return c(rows[0], cols[0])
-        return reduce(add, [c(rows[0], j) * minor(rows[1:], cols[:k] + cols[k + 1 :]) * (-1) ** k for k, j in enumerate(cols)])
 
+def distance() -> Column:
+    """Squared Mahalanobis distance of X from ``m*`` under the covariance ``c*``: the inverse by cofactors."""
     but = lambda i: tuple(k for k in range(K) if k != i)
-    cofactor = lambda i, j: minor(but(i), but(j)) * (-1) ** (i + j)
-    det = reduce(add, [c(0, j) * cofactor(0, j) for j in range(K)])
+    cofactor = lambda i, j: _minor(but(i), but(j)) * (-1) ** (i + j)
     d = [F.col(x) - F.col(f"m{i}") for i, x in enumerate(X)]
-    return reduce(add, [d[i] * d[j] * cofactor(i, j) * (1 if i == j else 2) for i, j in PAIRS]) / det
+    return reduce(add, [d[i] * d[j] * cofactor(i, j) * (1 if i == j else 2) for i, j in PAIRS]) / determinant()
+
 
+def _starts(points: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys, start, m0..m3, c00..c33``: four first estimates of each group, all from sums over points scaled by median and quartiles.
 
-def mcd(points: DataFrame, keys: list[str], support: float = SUPPORT, steps: int = STEPS) -> DataFrame:
-    """``keys, n, m0..m3, c00..c33``: a row per group. Rows are only summed by group, copies of a group never meet."""
+    Quartile spreads alone (0), these with the correlations of tanh scores (1) or of directions from
+    the median (2), and mean and covariance weighted by 1 / (1 + squared distance from the median) (3).
+    """
     middle = [F.percentile_approx(x, [0.25, 0.5, 0.75], 1000).alias(f"q{i}") for i, x in enumerate(X)]
-    fit = points.groupBy(*keys).agg(*middle)
-    spread = lambda i: F.pow((F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / 1.349, 2) + RIDGE[i]
-    fit = fit.select(*keys, *[F.col(f"q{i}")[1].alias(f"m{i}") for i in range(K)], *[(spread(i) if i == j else F.lit(0.0)).alias(f"c{i}{j}") for i, j in PAIRS])
+    spread = lambda i: F.sqrt(F.pow((F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / 1.349, 2) + RIDGE[i])
+    scale = points.groupBy(*keys).agg(*middle).select(*keys, *[F.col(f"q{i}")[1].alias(f"m{i}") for i in range(K)], *[spread(i).alias(f"s{i}") for i in range(K)])
+    rows = _matched(points, cut(scale, "scale"), keys)
+    rows = rows.select(*keys, *[f"m{i}" for i in range(K)], *[f"s{i}" for i in range(K)], *[((F.col(x) - F.col(f"m{i}")) / F.col(f"s{i}")).alias(f"z{i}") for i, x in enumerate(X)])
+    far = reduce(add, [F.col(f"z{i}") * F.col(f"z{i}") for i in range(K)])
+    rows = rows.withColumns({"w": 1 / (1 + far), "r": 1 / F.sqrt(far + 1e-9)}).withColumns({f"t{i}": F.tanh(f"z{i}") for i in range(K)})
+    of = lambda form, i: {"t": F.col(f"t{i}"), "u": F.col(f"z{i}") * F.col("r")}[form]
+    sums = [F.avg(of(f, i) * of(f, j)).alias(f"{f}{i}{j}") for f in "tu" for i, j in PAIRS]
+    sums += [(F.sum(F.col("w") * F.col(f"z{i}")) / F.sum("w")).alias(f"a{i}") for i in range(K)]
+    sums += [(F.sum(F.col("w") * F.col(f"z{i}") * F.col(f"z{j}")) / F.sum("w")).alias(f"b{i}{j}") for i, j in PAIRS]
+    both = rows.groupBy(*keys).agg(*[F.first(c).alias(c) for i in range(K) for c in (f"m{i}", f"s{i}")], *sums)
+    s = lambda i, j: F.col(f"s{i}") * F.col(f"s{j}")
+    # drawn a little to 0, so that statistics that are one another's multiples still have an inverse
+    tied = lambda f, i, j: 0.95 * F.col(f"{f}{i}{j}") / F.sqrt((F.col(f"{f}{i}{i}") + 1e-6) * (F.col(f"{f}{j}{j}") + 1e-6))
+    plain = [F.col(f"m{i}").alias(f"m{i}") for i in range(K)]
+    found = [F.struct(*plain, *[(s(i, j) if i == j else F.lit(0.0)).alias(f"c{i}{j}") for i, j in PAIRS])]
+    found += [F.struct(*plain, *[(s(i, j) * (F.lit(1.0) if i == j else tied(f, i, j))).alias(f"c{i}{j}") for i, j in PAIRS]) for f in "tu"]
+    mean = [(F.col(f"m{i}") + F.col(f"s{i}") * F.col(f"a{i}")).alias(f"m{i}") for i in range(K)]
+    found += [F.struct(*mean, *[(s(i, j) * (F.col(f"b{i}{j}") - F.col(f"a{i}") * F.col(f"a{j}")) + (RIDGE[i] if i == j else 0.0)).alias(f"c{i}{j}") for i, j in PAIRS])]
+    return both.select(*keys, F.posexplode(F.array(*found)).alias("start", "_e")).select(*keys, "start", "_e.*")
+
+
+def _concentrated(points: DataFrame, fit: DataFrame, keys: list[str], support: float, steps: int) -> DataFrame:
+    """``fit`` after concentration steps, each start for itself, with ``n`` points kept."""
+    every = [*keys, "start"]
     for _ in range(steps):
         fit = cut(fit, "fit")
         near = _matched(points, fit, keys).withColumn("d2", distance())
-        edge = near.groupBy(*keys).agg(F.percentile_approx("d2", support, 1000).alias("edge"))
-        near = _matched(near, cut(edge, "edge"), keys).where("d2 <= edge")
+        edge = near.groupBy(*every).agg(F.percentile_approx("d2", support, 1000).alias("edge"))
+        near = _matched(near, cut(edge, "edge"), every).where("d2 <= edge")
         d = [F.col(x) - F.col(f"m{i}") for i, x in enumerate(X)]
-        sums = near.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *[F.first(f"m{i}").alias(f"m{i}") for i in range(K)], *[F.avg(d[i]).alias(f"d{i}") for i in range(K)], *[F.avg(d[i] * d[j]).alias(f"e{i}{j}") for i, j in PAIRS])
+        sums = near.groupBy(*every).agg(F.count(F.lit(1)).alias("n"), *[F.first(f"m{i}").alias(f"m{i}") for i in range(K)], *[F.avg(d[i]).alias(f"d{i}") for i in range(K)], *[F.avg(d[i] * d[j]).alias(f"e{i}{j}") for i, j in PAIRS])
         spread_of = lambda i, j: (F.col(f"e{i}{j}") - F.col(f"d{i}") * F.col(f"d{j}")) * CONSISTENCY + (RIDGE[i] if i == j else 0.0)
-        fit = sums.select(*keys, "n", *[(F.col(f"m{i}") + F.col(f"d{i}")).alias(f"m{i}") for i in range(K)], *[spread_of(i, j).alias(f"c{i}{j}") for i, j in PAIRS])
-    return cut(fit, "fit")
+        fit = sums.select(*every, "n", *[(F.col(f"m{i}") + F.col(f"d{i}")).alias(f"m{i}") for i in range(K)], *[spread_of(i, j).alias(f"c{i}{j}") for i, j in PAIRS])
+    return fit
+
+
+def mcd(points: DataFrame, keys: list[str], support: float = SUPPORT, steps: int = STEPS, last_steps: int = LAST_STEPS) -> DataFrame:
+    """``keys, start, n, m0..m3, c00..c33``: a row per group. Rows are only summed by group, copies of a group never meet."""
+    tried = cut(_concentrated(points, _starts(points, keys), keys, support, steps), "fit")
+    own = [c for c in tried.columns if c not in keys]
+    best = tried.groupBy(*keys).agg(F.min_by(F.struct(*own), F.struct(determinant(), "start")).alias("_b")).select(*keys, "_b.*")
+    return cut(_concentrated(points, best, keys, support, last_steps), "fit")
 
 
 def judge(docs: DataFrame, keep: list[str], cutoff: float = CUTOFF) -> DataFrame:
