@@ -99,6 +99,15 @@ def _unfilter(kind: int, line: np.ndarray, above: np.ndarray, step: int) -> np.n
     return out.astype(np.uint8)
 
 
+def encode_png(pixels: np.ndarray) -> bytes:
+    """Height x width x channels (1 or 3) as a PNG of unfiltered lines."""
+    chunk = lambda kind, data: struct.pack(">I", len(data)) + kind + data + struct.pack(">I", zlib.crc32(kind + data))
+    h, w, channels = pixels.shape
+    lines = np.pad(pixels.reshape(h, w * channels).astype(np.uint8), ((0, 0), (1, 0)))
+    head = struct.pack(">IIBBBBB", w, h, 8, {1: 0, 3: 2}[channels], 0, 0, 0)
+    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", head) + chunk(b"IDAT", zlib.compress(lines.tobytes())) + chunk(b"IEND", b"")
+
+
 def gray(pixels: np.ndarray) -> np.ndarray:
     p = pixels.astype(np.float64)
     return p[..., 0] if p.shape[2] < 3 else p[..., :3] @ np.array([0.299, 0.587, 0.114])
@@ -169,8 +178,9 @@ def facts(contents: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
             else:
                 p = gray(got[0])
                 rows.append((p.shape[1], p.shape[0], got[1], phash(p), phash(p[:, ::-1]), sharpness(p), channel_diff(got[0])))
-        frame = pd.DataFrame(rows, columns=FACTS.names)
-        yield frame.astype({"width": "Int32", "height": "Int32", "phash": "Int64", "phash_flipped": "Int64"})
+        # as objects first: beside a null, hashes would be held as doubles and lose their last bits
+        frame = pd.DataFrame(rows, columns=FACTS.names, dtype=object)
+        yield frame.astype({"width": "Int32", "height": "Int32", "phash": "Int64", "phash_flipped": "Int64", "sharpness": "Float64", "channel_diff": "Float64"})
 
 
 @F.pandas_udf(T.DoubleType())

@@ -18,6 +18,12 @@ def accepted(state: Column) -> Column:
     return ~F.coalesce(state, F.lit("ok")).isin(*REJECTED)
 
 
+def attributes(df: DataFrame, state: str, columns: list[str]) -> DataFrame:
+    """Blank ``columns`` of rows that were rejected; the rows stay."""
+    ok = accepted(F.col(state))
+    return df.withColumns({c: F.when(ok, F.col(c)) for c in columns})
+
+
 def histogram(df: DataFrame, column: str, values: tuple[str, ...] = STATUSES, out: str = "n") -> DataFrame:
     """Rows of each value, 0 for those that don't occur. ``values`` is a short fixed list."""
     found = df.groupBy(column).agg(F.count(F.lit(1)).alias("_n"))

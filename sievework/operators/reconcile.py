@@ -64,6 +64,11 @@ def move_log(rows: DataFrame, listing: DataFrame, path: str, new_path: str) -> D
     return out.withColumn(new_path, F.when(F.col("moved"), F.col(new_path)).otherwise(F.lit("")))
 
 
+def move_counts(log: DataFrame, by: list[str]) -> DataFrame:
+    """``by, level, moved, missing`` of a move log, by group and in all."""
+    return log.rollup(*by).agg(F.grouping_id().cast("long").alias("level"), F.count_if("moved").alias("moved"), F.count_if(~F.col("moved")).alias("missing"))
+
+
 def copy_plan(rows: DataFrame, existing: DataFrame, target: str) -> DataFrame:
     """Add ``action``: skip what exists, copy the rest; both stay listed."""
     there = existing.select(F.col(target).alias("_t")).distinct().withColumn("_there", F.lit(True))

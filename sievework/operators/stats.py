@@ -93,9 +93,13 @@ def class_index(df: DataFrame, label: str) -> DataFrame:
     return df.select(label).distinct().withColumn("class_index", (F.row_number().over(Window.orderBy(label)) - 1).cast("long"))
 
 
-def health_report(title: str, imbalance_row: dict, concentrated: list[str], skewed: list[str]) -> str:
-    """Markdown from small collected frames: a warning or an all-clear in each section."""
-    lines = [f"# {title}", "", "## Imbalance", "", f"- largest: {imbalance_row['largest']} ({imbalance_row['largest_n']})", f"- smallest: {imbalance_row['smallest']} ({imbalance_row['smallest_n']})", f"- ratio: {round(imbalance_row['ratio'] or 0, 2)}", "", "## Source concentration", ""]
-    lines += [f"- warning: {x}" for x in concentrated] or ["- no label leans on one source"]
-    lines += ["", "## Skew", ""] + ([f"- warning: {x}" for x in skewed] or ["- no label stands out"])
+def health_report(title: str, imbalance_row: dict, concentrated: list[str], skewed: list[str], flagged: list[str] | None = None, composition: dict | None = None) -> str:
+    """Markdown from small collected frames: a warning or an all-clear in each section; the last two only if given."""
+    section = lambda name, found, clear: ["", f"## {name}", "", *([f"- warning: {x}" for x in found] or [f"- {clear}"])]
+    lines = [f"# {title}", "", "## Imbalance", "", f"- largest: {imbalance_row['largest']} ({imbalance_row['largest_n']})", f"- smallest: {imbalance_row['smallest']} ({imbalance_row['smallest_n']})", f"- ratio: {round(imbalance_row['ratio'] or 0, 2)}"]
+    lines += section("Source concentration", concentrated, "no label leans on one source") + section("Skew", skewed, "no label stands out")
+    if flagged is not None:
+        lines += section("Flagged items", flagged, "no label has many")
+    if composition is not None:
+        lines += ["", "## Composition", "", *[f"- {k}: {v}" for k, v in composition.items()]]
     return "\n".join(lines) + "\n"

@@ -6,15 +6,19 @@ number of characters the size, ``labels.toxic`` the audited flag. Every query re
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from sievework.functions import hashing, names
+from sievework.functions import hashing, images, names
 from sievework.operators import dedup, federate, quality, reconcile, select, split, stats
+from sievework.sources import files
 from sievework.sources.schemas import SPLIT_SHARES, STATUSES
-from sievework.sources.shared import arrow_rows, cut, table
+from sievework.sources.shared import arrow_rows, cut, new_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -497,21 +501,148 @@ def flag_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rechecked(spark, sf_dir).agg(F.count_if("old_flag").alias("old_n"), F.count_if("new_flag").alias("new_n"), F.count_if(F.col("old_flag") != F.col("new_flag")).alias("corrected"), F.count_if(F.col("method") == "unreadable_at_recheck").alias("unreadable"))
 
 
-@query(None)
+@query("""WITH c AS (SELECT coalesce(lang, 'unknown') AS lang, coalesce(source, 'unknown') AS source, count(*) AS n FROM documents GROUP BY 1, 2),
+  p AS (SELECT lang, sum(n)::BIGINT AS t, '{' || string_agg('"' || source || '":' || n, ',' ORDER BY source) || '}' AS s FROM c GROUP BY 1)
+  SELECT '{"total":' || sum(t)::BIGINT || ',"labels":{' || string_agg('"' || lang || '":' || t, ',' ORDER BY lang) || '},"sources":{' || string_agg('"' || lang || '":' || s, ',' ORDER BY lang) || '}}' AS json FROM p""")
 def statistics_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The statistics as one JSON document; built from one row a label and source."""
-    d = table(spark, sf_dir, "documents").groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"))
+    """The statistics as one JSON document; built from one row a label and source. A null label or source is ``unknown``."""
+    d = table(spark, sf_dir, "documents").groupBy(F.coalesce("lang", F.lit("unknown")).alias("lang"), F.coalesce("source", F.lit("unknown")).alias("source")).agg(F.count(F.lit(1)).alias("n"))
     per = d.groupBy("lang").agg(F.sum("n").alias("total"), F.map_from_entries(F.array_sort(F.collect_list(F.struct("source", "n")))).alias("sources"))
     return per.agg(F.to_json(F.struct(F.sum("total").alias("total"), F.map_from_entries(F.array_sort(F.collect_list(F.struct("lang", "total")))).alias("labels"), F.map_from_entries(F.array_sort(F.collect_list(F.struct("lang", "sources")), lambda a, b: F.when(a["lang"] < b["lang"], -1).when(a["lang"] > b["lang"], 1).otherwise(0))).alias("sources"))).alias("json"))
 
 
-@query(None)
+def _warned_sql(name: str, clear: str) -> str:
+    return f"(SELECT coalesce(string_agg('- warning: ' || label, chr(10) ORDER BY label), '- {clear}') FROM ({ORACLES[name]}) WHERE flagged)"
+
+
+@query(f"""SELECT concat_ws(chr(10), '# Collection health', '', '## Imbalance', '', '- largest: ' || i.largest || ' (' || i.largest_n || ')', '- smallest: ' || i.smallest || ' (' || i.smallest_n || ')', '- ratio: ' || round(i.ratio, 2),
+    '', '## Source concentration', '', {_warned_sql('source_concentration', 'no label leans on one source')}, '', '## Skew', '', {_warned_sql('size_skew', 'no label stands out')},
+    '', '## Flagged items', '', {_warned_sql('flag_skew', 'no label has many')}, '', '## Composition', '', '- all: ' || c.n, '- real: ' || c."real", '- synthetic: ' || c.synthetic, '') AS report
+  FROM ({ORACLES['imbalance']}) i, (SELECT sum(n)::BIGINT AS n, sum("real")::BIGINT AS "real", sum(synthetic)::BIGINT AS synthetic FROM ({ORACLES['real_vs_synthetic']})) c""")
 def health_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A Markdown report, formatted on the driver from frames of one row a label."""
     row = imbalance(spark, sf_dir).first().asDict()
-    leaning = [r["label"] for r in source_concentration(spark, sf_dir).where("flagged").collect()]
-    skewed = [r["label"] for r in size_skew(spark, sf_dir).where("flagged").collect()]
-    return spark.createDataFrame([(stats.health_report("Collection health", row, leaning, skewed),)], "report string")
+    warned = [sorted(str(r["label"]) for r in q(spark, sf_dir).where("flagged").select("label").collect()) for q in (source_concentration, size_skew, flag_skew)]
+    whole = real_vs_synthetic(spark, sf_dir).agg(F.sum("n").alias("all"), F.sum("real").alias("real"), F.sum("synthetic").alias("synthetic")).first().asDict()
+    return spark.createDataFrame([(stats.health_report("Collection health", row, *warned, whole),)], "report string")
+
+
+# -- tables at the edges, lookups ------------------------------------------------------------
+
+EDGES = """SELECT doc_id, 'D:\\set ' || doc_id % 3 || '\\a, "b"\\' || doc_id AS path, CASE doc_id % 3 WHEN 1 THEN 'say "x", \\y' WHEN 2 THEN lang END AS note, n_chars FROM documents"""
+
+
+@query(EDGES)
+def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quotes, commas, backslashes and nulls through CSV and back."""
+    k = F.col("doc_id")
+    path = F.concat(F.lit("D:\\set "), (k % 3).cast("string"), F.lit('\\a, "b"\\'), k.cast("string"))
+    d = table(spark, sf_dir, "documents").select("doc_id", path.alias("path"), F.when(k % 3 == 1, 'say "x", \\y').when(k % 3 == 2, F.col("lang")).alias("note"), "n_chars")
+    where = new_path(spark, "csv")
+    files.write_csv(d, where)
+    return files.read_csv(spark, where, d.schema)
+
+
+@query("""WITH seen AS (SELECT doc_id, n_chars AS width, 0 AS turn FROM documents WHERE doc_id % 5 <> 0 UNION ALL SELECT doc_id, n_chars + 1, 1 FROM documents WHERE doc_id % 10 = 1),
+    dims AS (SELECT doc_id, arg_max(width, turn) AS width FROM seen GROUP BY 1), marks AS (SELECT doc_id, max(quality) AS quality FROM labels GROUP BY 1)
+  SELECT d.doc_id, coalesce(w.width * (d.doc_id % 500), 0)::BIGINT AS area, coalesce('quality ' || m.quality, '') AS provenance FROM documents d LEFT JOIN dims w USING (doc_id) LEFT JOIN marks m USING (doc_id)""")
+def attribute_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sizes and provenance looked up by key: the last report counts, a missing one gives an area of 0 or a blank."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "n_chars")
+    seen = d.where("doc_id % 5 <> 0").select("doc_id", F.col("n_chars").alias("width"), F.lit(0).alias("turn"))
+    seen = seen.union(d.where("doc_id % 10 = 1").select("doc_id", F.col("n_chars") + 1, F.lit(1)))
+    marks = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("quality").alias("quality"))
+    both = d.join(reconcile.last_wins(seen, ["doc_id"], "turn"), "doc_id", "left").join(marks, "doc_id", "left")
+    area = F.coalesce(F.col("width") * (F.col("doc_id") % 500), F.lit(0)).cast("long")
+    return both.select("doc_id", area.alias("area"), F.coalesce(F.concat(F.lit("quality "), F.col("quality").cast("string")), F.lit("")).alias("provenance"))
+
+
+@query(f"""WITH {STATUS} SELECT doc_id, label, status, CASE WHEN ok THEN n_chars END AS width, CASE WHEN ok THEN doc_id % 500 + 1 END AS height, CASE WHEN ok THEN round(n_chars::DOUBLE / (doc_id % 500 + 1)::DOUBLE, 3) END AS ratio
+    FROM (SELECT *, status IN ('ok', 'wrong_format') AS ok FROM checked)""")
+def metadata_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Attributes of good items; rejected ones stay with blanks."""
+    h = F.col("doc_id") % 500 + 1
+    rows = _checked(spark, sf_dir).select("doc_id", "label", "status", F.col("n_chars").alias("width"), h.alias("height"), names.aspect_ratio(F.col("n_chars"), h).alias("ratio"))
+    return quality.attributes(rows, "status", ["width", "height", "ratio"])
+
+
+@query(f"""WITH {CHANGES}, q AS (SELECT d.lang AS label, d.doc_id % 7 <> 3 AS moved FROM documents d WHERE doc_id IN (SELECT doc_id FROM changes WHERE change = 'added_discovered_on_disk'))
+  SELECT label, GROUPING(label)::BIGINT AS level, count(*) FILTER (WHERE moved) AS moved, count(*) FILTER (WHERE NOT moved) AS missing FROM q GROUP BY ROLLUP (label)""")
+def move_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reconcile.move_counts(quarantine(spark, sf_dir), ["label"])
+
+
+@query(f"""WITH {CHECK}, v AS (SELECT 'before' AS version, old_flag AS flag FROM k UNION ALL SELECT 'after', new_flag FROM k)
+  SELECT version, count(*) AS n, count(*) FILTER (WHERE flag) AS flagged FROM v GROUP BY 1""")
+def rewritten_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A corrected table is a new version in its own folder; what it replaces stays and can be read."""
+    rows = _rechecked(spark, sf_dir)
+    before = cut(rows.select("doc_id", F.col("old_flag").alias("flag")), "flags-before")
+    after = cut(before.join(rows.select("doc_id", "new_flag"), "doc_id").select("doc_id", F.col("new_flag").alias("flag")), "flags-after")
+    both = before.withColumn("version", F.lit("before")).unionByName(after.withColumn("version", F.lit("after")))
+    return both.groupBy("version").agg(F.count(F.lit(1)).alias("n"), F.count_if("flag").alias("flagged"))
+
+
+# -- images ----------------------------------------------------------------------------------
+
+PICTURES = """pic AS (SELECT vec_id, CASE WHEN vec_id % 4 = 1 THEN 4 ELSE 8 END AS c, vec_id % 10 NOT IN (3, 7) AS ok, vec_id % 3 = 0 AS mono,
+    list_transform(embedding, lambda e: least(255, greatest(0, floor(128 + 240 * e::DOUBLE)))) AS v FROM embeddings WHERE len(embedding) = 64),
+  g AS (SELECT vec_id, c, mono, v, CASE WHEN mono THEN v ELSE list_transform(v, lambda x: 0.299 * x + 0.587 * (255 - x) + 0.114 * x) END AS p FROM pic WHERE ok)"""
+
+
+@F.pandas_udf(T.BinaryType())
+def _drawn(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    for ids, cells in batches:
+        out = []
+        for k, v in zip(ids, cells, strict=True):
+            plane = np.kron(np.asarray(v, np.uint8).reshape(8, 8), np.ones((4, 4) if k % 4 == 1 else (8, 8), np.uint8))
+            data = images.encode_png(plane[..., None] if k % 3 == 0 else np.stack([plane, 255 - plane, plane], axis=-1))
+            out.append(b"\xff\xd8\xff" + data if k % 10 == 3 else data[:60] if k % 10 == 7 else data)
+        yield pd.Series(out)
+
+
+def _pictures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each vector as an image of 8 x 8 cells, gray or in colour; some are cut off or have another format's first bytes."""
+    e = table(spark, sf_dir, "embeddings").where("size(embedding) = 64")
+    cells = F.transform("embedding", lambda x: F.least(F.lit(255), F.greatest(F.lit(0), F.floor(128 + 240 * x.cast("double")))).cast("int"))
+    return e.select("vec_id", _drawn("vec_id", cells).alias("content"))
+
+
+@query(f"""WITH {PICTURES},
+  px AS (SELECT vec_id, c, p, x, y FROM g, range(1, 63) AS a(x), range(1, 63) AS b(y) WHERE x < 8 * c - 1 AND y < 8 * c - 1),
+  sharp AS (SELECT vec_id, var_pop(p[(y - 1) // c * 8 + x // c + 1] + p[(y + 1) // c * 8 + x // c + 1] + p[y // c * 8 + (x - 1) // c + 1] + p[y // c * 8 + (x + 1) // c + 1] - 4 * p[y // c * 8 + x // c + 1]) AS s FROM px GROUP BY 1),
+  k AS (SELECT u, a, sum(cos(pi() / 64 * (2 * (4 * a + t) + 1) * u)) AS w FROM range(8) AS q(u), range(8) AS r(a), range(4) AS s(t) GROUP BY 1, 2),
+  cell AS (SELECT vec_id, f, i // 8 AS y, CASE WHEN f = 1 THEN 7 - i % 8 ELSE i % 8 END AS x, p[i + 1] AS p FROM g, range(64) AS r(i), range(2) AS m(f)),
+  low AS (SELECT vec_id, f, ky.u, kx.u AS v, sum(p * ky.w * kx.w) AS low FROM cell JOIN k ky ON ky.a = y JOIN k kx ON kx.a = x GROUP BY ALL),
+  bits AS (SELECT vec_id, f, string_agg(CASE WHEN low > med THEN '1' ELSE '0' END, '' ORDER BY u, v) AS b FROM (SELECT *, median(low) OVER (PARTITION BY vec_id, f) AS med FROM low) GROUP BY 1, 2),
+  diff AS (SELECT vec_id, CASE WHEN mono THEN 0 ELSE list_avg(list_transform(v, lambda x: abs(2 * x - 255))) * 2 / 3 END AS d FROM g)
+  SELECT pic.vec_id, CASE WHEN vec_id % 10 = 3 THEN 'JPEG' ELSE 'PNG' END AS format, vec_id % 10 = 3 AS wrong_format, CASE WHEN ok THEN (8 * c)::INT END AS width, CASE WHEN ok THEN (8 * c)::INT END AS height,
+    CASE WHEN ok THEN c = 4 END AS too_small, CASE WHEN ok THEN CASE WHEN mono THEN 'L' ELSE 'RGB' END END AS mode, coalesce(round(s, 6), 0) AS sharpness, round(d, 6) AS channel_diff,
+    CASE WHEN ok THEN mono OR d < 8 END AS gray, n.b AS phash, m.b AS phash_flipped
+  FROM pic LEFT JOIN sharp USING (vec_id) LEFT JOIN diff USING (vec_id) LEFT JOIN (SELECT vec_id, b FROM bits WHERE f = 0) n USING (vec_id) LEFT JOIN (SELECT vec_id, b FROM bits WHERE f = 1) m USING (vec_id)""")
+def image_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Formats, sizes, flags, sharpness and hashes (as bits) of images that are decoded in tasks."""
+    p = _pictures(spark, sf_dir)
+    found = images.image_format(F.col("content"))
+    rows = p.select("vec_id", found.alias("format"), images.wrong_format(F.lit(".png"), found).alias("wrong_format"), images.facts("content").alias("f")).select("vec_id", "format", "wrong_format", "f.*")
+    bits = lambda c: F.lpad(F.bin(c), 64, "0")
+    return rows.select(
+        "vec_id", "format", "wrong_format", "width", "height", images.too_small(F.col("width"), F.col("height")).alias("too_small"), "mode", F.round("sharpness", 6).alias("sharpness"), F.round("channel_diff", 6).alias("channel_diff"),
+        images.is_gray(F.col("mode"), F.col("channel_diff")).alias("gray"), bits("phash").alias("phash"), bits("phash_flipped").alias("phash_flipped"),
+    )
+
+
+@query(f"""WITH {PICTURES}, pairs AS (SELECT a.vec_id AS vec_a, b.vec_id AS vec_b, a.p AS p, b.p AS q FROM g a JOIN g b ON b.vec_id = a.vec_id + 1 WHERE a.vec_id % 2 = 0),
+  s AS (SELECT vec_a, avg((2 * p[i + 1] * q[i + 1] + 6.5025) / (p[i + 1] * p[i + 1] + q[i + 1] * q[i + 1] + 6.5025)) AS s FROM pairs, range(64) AS r(i) GROUP BY 1)
+  SELECT a.vec_id AS vec_a, b.vec_id AS vec_b, round(s.s, 6) AS similarity, CASE WHEN s.s IS NULL THEN 'comparison_failed' WHEN s.s >= 0.95 THEN 'high_ssim_match' ELSE 'low_ssim_different' END AS tier
+  FROM pic a JOIN pic b ON b.vec_id = a.vec_id + 1 LEFT JOIN s ON s.vec_a = a.vec_id WHERE a.vec_id % 2 = 0""")
+def image_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Structural similarity of candidate pairs, here of each even id with its successor."""
+    p = _pictures(spark, sf_dir)
+    b = p.select((F.col("vec_id") - 1).alias("_k"), F.col("vec_id").alias("vec_b"), F.col("content").alias("other"))
+    met = p.where("vec_id % 2 = 0").join(b, F.col("vec_id") == F.col("_k"))
+    rows = met.select(F.col("vec_id").alias("vec_a"), "vec_b", F.md5("content") == F.md5("other"), images.structural_similarity("content", "other").alias("s")).toDF("vec_a", "vec_b", "same", "s")
+    return rows.select("vec_a", "vec_b", F.round("s", 6).alias("similarity"), quality.tier(F.col("same"), F.col("s")).alias("tier"))
 
 
 # -- splits and clients ----------------------------------------------------------------------

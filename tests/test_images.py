@@ -37,6 +37,16 @@ def test_facts(spark):
     assert got["jpeg"]["format"] == "JPEG" and got["none"]["format"] is None
 
 
+def test_hashes_keep_their_last_bits_beside_damaged_images(spark):
+    rng = np.random.default_rng(4)
+    planes = [rng.integers(0, 256, (64, 64)) for _ in range(8)]
+    rows = [(k, bytearray(images.encode_png(p[..., None]))) for k, p in enumerate(planes)] + [(8, bytearray(b"bad")), (9, None)]
+    df = spark.createDataFrame(rows, "k int, content binary").coalesce(1)
+    got = {r["k"]: r["f"] for r in df.select("k", images.facts("content").alias("f")).collect()}
+    assert all(got[k]["phash"] == images.phash(p.astype(float)) for k, p in enumerate(planes))
+    assert got[8]["phash"] is None and got[9]["phash"] is None
+
+
 def test_similarity_and_parameters(spark):
     p = pictures()
     df = spark.createDataFrame([(bytearray(p["gray"]), bytearray(p[k])) for k in ("gray", "copy", "color", "bad")], "a binary, b binary")
