@@ -178,7 +178,12 @@ def judge(docs: DataFrame, keep: list[str], cutoff: float = CUTOFF) -> DataFrame
     rows = docs.select(F.struct(*keep).alias("_row"), F.col("lang").alias("_lang"), F.col("source").alias("_source"), "text")
     stats = cut(with_vector(text_statistics(rows, ["_row", *groups])), "statistics")
     points = stats.where("not base_failed")
-    own, wide = mcd(points, groups), mcd(points, groups[:1])
+    # every point counts in its group and in its language; both are fitted by the same jobs
+    level = lambda source, whole: F.struct(source.alias("_source"), F.lit(whole).alias("_whole"))
+    nowhere = F.lit(None).cast(points.schema["_source"].dataType)
+    levels = points.select("_lang", *X, F.inline(F.array(level(F.col("_source"), False), level(nowhere, True))))
+    fits = mcd(levels, [*groups, "_whole"])
+    own, wide = fits.where("not _whole").drop("_whole"), fits.where("_whole")
     names = [f"m{i}" for i in range(K)] + [f"c{i}{j}" for i, j in PAIRS]
     both = _matched(own, wide.select("_lang", *[F.col(c).alias(f"w_{c}") for c in names]), groups[:1])
     blend = lambda c: ((F.col("n") * F.col(c) + PRIOR_ROWS * F.col(f"w_{c}")) / (F.col("n") + PRIOR_ROWS)).alias(c)
