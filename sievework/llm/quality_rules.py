@@ -93,27 +93,29 @@ def _matched(points: DataFrame, fit: DataFrame, keys: list[str]) -> DataFrame:
     return points.join(fit, on).drop(*[f"_k_{k}" for k in keys])
 
 
-def _c(i: int, j: int) -> Column:
-    return F.col(f"c{min(i, j)}{max(i, j)}")
-
-
-def _minor(rows: tuple[int, ...], cols: tuple[int, ...]) -> Column:
-    if len(rows) == 1:
-        return _c(rows[0], cols[0])
-    return reduce(add, [_c(rows[0], j) * _minor(rows[1:], cols[:k] + cols[k + 1 :]) * (-1) ** k for k, j in enumerate(cols)])
+def _minor(rows: tuple[int, ...], cols: tuple[int, ...]) -> str:
+    """SQL of the determinant of these rows and columns of the covariance ``c*``, along its first row."""
+    if not rows:
+        return "1D"
+    terms = [f"{'-' if k % 2 else '+'} c{min(rows[0], j)}{max(rows[0], j)} * ({_minor(rows[1:], cols[:k] + cols[k + 1 :])})" for k, j in enumerate(cols)]
+    return " ".join(terms)
 
 
 def determinant() -> Column:
     """Of the covariance ``c*``."""
-    return _minor(tuple(range(K)), tuple(range(K)))
+    return F.expr(_minor(tuple(range(K)), tuple(range(K))))
 
 
-def distance() -> Column:
-    """Squared Mahalanobis distance of X from ``m*`` under the covariance ``c*``: the inverse by cofactors."""
+def with_inverse(fit: DataFrame) -> DataFrame:
+    """Add ``v*``, the inverse of the covariance ``c*`` by cofactors: once an estimate, not once a point."""
     but = lambda i: tuple(k for k in range(K) if k != i)
-    cofactor = lambda i, j: _minor(but(i), but(j)) * (-1) ** (i + j)
-    d = [F.col(x) - F.col(f"m{i}") for i, x in enumerate(X)]
-    return reduce(add, [d[i] * d[j] * cofactor(i, j) * (1 if i == j else 2) for i, j in PAIRS]) / determinant()
+    cofactors = [f"{(-1) ** (i + j)} * ({_minor(but(i), but(j))}) / _det AS v{i}{j}" for i, j in PAIRS]
+    return fit.withColumn("_det", determinant()).selectExpr("*", *cofactors).drop("_det")
+
+
+def distance() -> Column:
+    """Squared Mahalanobis distance of X from ``m*`` under the inverse covariance ``v*``."""
+    return F.expr(" + ".join(f"{1 if i == j else 2} * v{i}{j} * ({X[i]} - m{i}) * ({X[j]} - m{j})" for i, j in PAIRS))
 
 
 def _starts(points: DataFrame, keys: list[str]) -> DataFrame:
@@ -149,14 +151,15 @@ def _concentrated(points: DataFrame, fit: DataFrame, keys: list[str], support: f
     """``fit`` after concentration steps, each start for itself, with ``n`` points kept."""
     every = [*keys, "start"]
     for _ in range(steps):
-        fit = cut(fit, "fit")
+        fit = cut(with_inverse(fit), "fit")
         near = _matched(points, fit, keys).withColumn("d2", distance())
         edge = near.groupBy(*every).agg(F.percentile_approx("d2", support, 1000).alias("edge"))
         near = _matched(near, cut(edge, "edge"), every).where("d2 <= edge")
-        d = [F.col(x) - F.col(f"m{i}") for i, x in enumerate(X)]
-        sums = near.groupBy(*every).agg(F.count(F.lit(1)).alias("n"), *[F.first(f"m{i}").alias(f"m{i}") for i in range(K)], *[F.avg(d[i]).alias(f"d{i}") for i in range(K)], *[F.avg(d[i] * d[j]).alias(f"e{i}{j}") for i, j in PAIRS])
-        spread_of = lambda i, j: (F.col(f"e{i}{j}") - F.col(f"d{i}") * F.col(f"d{j}")) * CONSISTENCY + (RIDGE[i] if i == j else 0.0)
-        fit = sums.select(*every, "n", *[(F.col(f"m{i}") + F.col(f"d{i}")).alias(f"m{i}") for i in range(K)], *[spread_of(i, j).alias(f"c{i}{j}") for i, j in PAIRS])
+        d = [f"({x} - m{i})" for i, x in enumerate(X)]
+        means = [F.expr(f"avg({d[i]}) AS d{i}") for i in range(K)] + [F.expr(f"avg({d[i]} * {d[j]}) AS e{i}{j}") for i, j in PAIRS]
+        sums = near.groupBy(*every).agg(F.count(F.lit(1)).alias("n"), *[F.first(f"m{i}").alias(f"m{i}") for i in range(K)], *means)
+        spread = [f"(e{i}{j} - d{i} * d{j}) * {CONSISTENCY}D + {RIDGE[i] if i == j else 0.0:.9f}D AS c{i}{j}" for i, j in PAIRS]
+        fit = sums.selectExpr(*every, "n", *[f"m{i} + d{i} AS m{i}" for i in range(K)], *spread)
     return fit
 
 
@@ -187,7 +190,7 @@ def judge(docs: DataFrame, keep: list[str], cutoff: float = CUTOFF) -> DataFrame
     names = [f"m{i}" for i in range(K)] + [f"c{i}{j}" for i, j in PAIRS]
     both = _matched(own, wide.select("_lang", *[F.col(c).alias(f"w_{c}") for c in names]), groups[:1])
     blend = lambda c: ((F.col("n") * F.col(c) + PRIOR_ROWS * F.col(f"w_{c}")) / (F.col("n") + PRIOR_ROWS)).alias(c)
-    fit = cut(both.select(*groups, *[blend(c) for c in names]), "blend")
+    fit = cut(with_inverse(both.select(*groups, *[blend(c) for c in names])), "blend")
     passed = _matched(points, fit, groups).withColumn("distance", distance())
     failed = stats.where("base_failed").withColumn("distance", F.lit(None).cast("double"))
     columns = ["_row.*", *BASE, "distance"]
