@@ -39,6 +39,51 @@ TEMPLATES = {
     "mit-release": ("released under the mit license", "mit license"),
     "mit-text": ("permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", "permission is hereby granted free of charge"),
     "mpl-2.0": ("this source code form is subject to the terms of the mozilla public license v 2 0", "mozilla public license v 2 0"),
+    # parts of whole licence texts and notices
+    "apache-2.0-notice": (
+        "you may not use this file except in compliance with the license you may obtain a copy of the license at http www apache org licenses license 2 0 "
+        "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis "
+        "without warranties or conditions of any kind either express or implied see the license for the specific language governing permissions and limitations under the license",
+        "except in compliance with the license",
+    ),
+    "bsd-3-clause": (
+        "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
+        "endorse or promote products derived from this software",
+    ),
+    "bsd-disclaimer": (
+        "this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to the implied warranties of merchantability "
+        "and fitness for a particular purpose are disclaimed in no event shall the copyright holder or contributors be liable for any direct indirect incidental special exemplary or consequential damages "
+        "including but not limited to procurement of substitute goods or services loss of use data or profits or business interruption however caused and on any theory of liability "
+        "whether in contract strict liability or tort including negligence or otherwise arising in any way out of the use of this software even if advised of the possibility of such damage",
+        "procurement of substitute goods or services",
+    ),
+    "bsl-1.0": (
+        "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license the software "
+        "to use reproduce display distribute execute and transmit the software and to prepare derivative works of the software",
+        "any person or organization obtaining a copy",
+    ),
+    "gpl-notice": (
+        "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation",
+        "under the terms of the gnu general public license",
+    ),
+    "isc": (
+        "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice "
+        "and this permission notice appear in all copies",
+        "with or without fee is hereby granted",
+    ),
+    "mit-conditions": (
+        "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software "
+        "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement "
+        "in no event shall the authors or copyright holders be liable for any claim damages or other liability whether in an action of contract tort or otherwise "
+        "arising from out of or in connection with the software or the use or other dealings in the software",
+        "all copies or substantial portions of the software",
+    ),
+    "wtfpl": ("everyone is permitted to copy and distribute verbatim or modified copies of this license document and changing it is allowed as long as the name is changed", "changing it is allowed as long as the name is changed"),
+    "zlib": (
+        "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from the use of this software "
+        "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely",
+        "alter it and redistribute it freely",
+    ),
     "unlicense": ("this is free and unencumbered software released into the public domain", "free and unencumbered software"),
 }
 #: Share of a template's weight that must agree on one relative position.
@@ -107,8 +152,9 @@ def scan(docs: DataFrame, keep: list[str], idf: dict[str, float] | None = None)
 
     base = [_base_places(p, k) for p, k in BASE_PHRASES.items()]
     rows = rows.select(*keep, "_words", "n_words", "_at", F.concat(*base).alias("_base"))
-    entry = lambda k, i, w: F.struct(F.lit(k).alias("k"), F.lit(i).alias("i"), F.lit(float(max(index[w], 1e-6))).alias("v"))
-    lookup = F.create_map(*[x for w in order for x in (F.lit(w), F.array(*[entry(k, i, w) for k, i in postings[w]]))])
+    entry = lambda k, i, w: f"named_struct('k', {k}, 'i', {i}, 'v', {max(index[w], 1e-6)!r}D)"
+    # as SQL text: the words are letters and digits, and a call for each of the postings would take the driver seconds
+    lookup = F.expr("map(" + ", ".join(f"'{w}', array({', '.join(entry(k, i, w) for k, i in postings[w])})" for w in order) + ")")
     placed = lambda x: F.transform(lookup[x["w"]], lambda e: F.struct(e["k"].alias("k"), (x["i"] - e["i"]).alias("rel"), e["v"].alias("v")))
     agree = F.sort_array(F.flatten(F.transform(F.filter("_at", lambda x: x["w"].isin(order)), placed)))
     rows = rows.select(*keep, "_words", "n_words", "_base", agree.alias("_agree"))
