@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.llm import fingerprints, jaccard_join, language_id, license_scan, lm_scoring, mixing, packing, quality_rules, substring_dedup, warc
+from sievework.llm import centroid_clustering, decontamination, fingerprints, jaccard_join, language_id, license_scan, lm_scoring, mixing, packing, quality_rules, substring_dedup, vector_codes, warc
 from sievework.llm.common import table
 
 
@@ -52,15 +52,68 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.orderBy(F.col("position").asc_nulls_last(), "doc_id")
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"), keep=["vec_id"])
+
+
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroid_clustering.cluster(table(spark, sf_dir, "embeddings"), keep=["vec_id"])
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard, op2_language_id, op3_lm_scoring, op4_packing, op5_substring_dedup, op6_quality_rules, op7_warc, op8_license_scan, op9_fingerprints, op10_mixing, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard, op2_language_id, op3_lm_scoring, op4_packing, op5_substring_dedup, op6_quality_rules, op7_warc, op8_license_scan, op9_fingerprints, op10_mixing, op11_decontamination, op12_vector_codes, op13_centroid_clustering, pipeline)}
+
+#: Lower case for A-Z alone, and the words of the benchmark scans.
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+def _rounds_sql(rows: str, books: str, rounds: int, width: int) -> str:
+    """CTEs of exact clustering: ``rows`` has id, part and v, ``books0`` part, entry and c; ``a`` and a round has part, id, entry and d."""
+    far = f"list_sum(list_transform(range(1, {width + 1}), lambda i: (v[i] - c[i]) * (v[i] - c[i])))::BIGINT"
+    floor = "((s - ((s % n) + n) % n) // n)::BIGINT"
+    out = [f"books0 AS MATERIALIZED ({books})"]
+    for k in range(rounds + 1):
+        out.append(f"a{k} AS MATERIALIZED (SELECT id, part, v, min((d, entry)) AS m FROM (SELECT x.id, part, x.v, b.entry, {far} AS d FROM {rows} x JOIN books{k} b USING (part)) GROUP BY ALL)")
+        if k < rounds:
+            out.append(f"u{k} AS (SELECT part, m[2] AS entry, i, sum(v[i]) AS s, count(*) AS n FROM a{k}, range(1, {width + 1}) AS t(i) GROUP BY ALL)")
+            out.append(f"books{k + 1} AS MATERIALIZED (SELECT b.part, b.entry, coalesce(n.c, b.c) AS c FROM books{k} b LEFT JOIN (SELECT part, entry, list({floor} ORDER BY i) AS c FROM u{k} GROUP BY 1, 2) n USING (part, entry))")
+    return ",\n        ".join(out)
+
 
 ORACLES = {
+    "op11_decontamination": f"""
+        WITH b AS (SELECT item_id::VARCHAR AS item, {_WORDS} AS w FROM benchmark), d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+        win AS (SELECT DISTINCT item, least(len(w), 10) AS n, array_to_string(w[s : s + 9], ' ') AS g FROM (SELECT *, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS s FROM b WHERE len(w) > 0)),
+        v AS (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM d, (SELECT DISTINCT n FROM win) WHERE len(w) >= n),
+        h AS (SELECT v.doc_id, v.s, v.n, win.item FROM v JOIN win ON win.n = v.n AND win.g = array_to_string(v.w[v.s : v.s + v.n - 1], ' ')),
+        hit AS (SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS place FROM h) GROUP BY 1),
+        it AS (SELECT doc_id, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM h GROUP BY 1)
+        SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)""",
+    "op12_vector_codes": f"""
+        WITH e AS MATERIALIZED (SELECT vec_id AS id, label, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v, row_number() OVER (ORDER BY vec_id) - 1 AS k
+          FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        x AS MATERIALIZED (SELECT id, part, v[part * 16 + 1 : part * 16 + 16] AS v FROM e, range(4) AS t(part)),
+        {_rounds_sql("x", "SELECT part, k AS entry, v[part * 16 + 1 : part * 16 + 16] AS c FROM e, range(4) AS t(part) WHERE k < 256", 4, 16)},
+        c AS (SELECT id AS vec_id, string_agg(lpad(to_hex(m[2]), 2, '0'), '' ORDER BY part) AS code, sum(m[1])::BIGINT AS error FROM a4 GROUP BY 1),
+        s AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM books4)
+        SELECT vec_id, lower(code) AS code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM c JOIN e ON e.id = c.vec_id, s""",
+    "op13_centroid_clustering": f"""
+        WITH x AS MATERIALIZED (SELECT vec_id AS id, 0 AS part, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v, row_number() OVER (ORDER BY sha256('1:' || vec_id)) - 1 AS k
+          FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        {_rounds_sql("x", "SELECT part, k AS entry, v AS c FROM x WHERE k < 16", 3, 64)},
+        f AS (SELECT id AS vec_id, m[2] AS cluster, m[1] AS distance FROM a3)
+        SELECT vec_id, cluster::INT AS cluster, distance, (sum(distance) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia, (sum(distance) OVER ())::BIGINT AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+        FROM f JOIN books3 b ON b.entry = f.cluster""",
     "op1_ngram_jaccard": r"""
         WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
         s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
