@@ -20,7 +20,7 @@ lost: pairs that share an index list and may reach the threshold are all decided
 
 Defined results: a text without words, or null, has an empty set and is linked with nothing. A null
 id keeps its row, with a null component. Repeated rows fall into one class; rows with one id and
-different texts are one document with the links of all. Very long texts have sets like others. An empty table gives an empty result.
+different texts are one document with the links of all in ``join``, which answers by id, and documents of their own in ``one_of_each``, which drops rows. Very long texts have sets like others. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievework.llm import text_arrays as ta
-from sievework.llm.common import components, cut, drop, pick, small_batches, without
+from sievework.llm.common import components, cut, drop, numbered, pick, small_batches, without
 
 #: Frequent shingles that the broadcast order holds at most (12 bytes each).
 FREQUENT = 1 << 19
@@ -251,11 +251,15 @@ def join(docs: DataFrame, n: int = 5, threshold: tuple[int, int] = (8, 10)) -> D
 def one_of_each(docs: DataFrame, n: int = 5, threshold: tuple[int, int] = (8, 10)) -> DataFrame:
     """The rows of ``docs`` without near duplicates: of each component the document with the smallest id stays.
 
-    Of equal rows one stays; rows with a null id stay.
+    Of equal rows one stays; rows with a null id stay. Rows with one id and different texts are documents of their own.
     """
     linked = join(docs, n, threshold)
     found = cut(linked, "components")
+    own = linked.reads[0].where("doc_id is not null").groupBy("doc_id").agg(F.min(F.xxhash64("sig")).alias("lo"), F.max(F.xxhash64("sig")).alias("hi"))
+    several = not own.where("lo <> hi").isEmpty()
     drop(*linked.reads)
+    if several:
+        return _one_of_each_row(docs, n, threshold)
     rest = without(docs, found.where("doc_id <> component_id"), "doc_id")
     repeated = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).where("c > 1 and doc_id is not null")
     if repeated.isEmpty():
@@ -263,3 +267,13 @@ def one_of_each(docs: DataFrame, n: int = 5, threshold: tuple[int, int] = (8, 10
     # only rows whose ids repeat are held against each other
     ids = cut(repeated.select("doc_id"), "repeated")
     return without(rest, ids, "doc_id").unionByName(rest.join(ids, "doc_id", "left_semi").select(*rest.columns).dropDuplicates())
+
+
+def _one_of_each_row(docs: DataFrame, n: int, threshold: tuple[int, int]) -> DataFrame:
+    """``one_of_each`` where ids don't tell texts apart: rows are numbered by id and text, and the numbers are linked."""
+    rows = numbered(docs.dropDuplicates().withColumn("_text_key", F.md5(F.col("text").cast("binary"))), ["doc_id", "_text_key"], "_row")
+    rows = cut(rows, "numbered")
+    linked = join(rows.select(F.when(F.col("doc_id").isNotNull(), F.col("_row")).alias("doc_id"), "text"), n, threshold)
+    gone = cut(linked.where("doc_id <> component_id").select(F.col("doc_id").alias("_row")), "near-duplicates")
+    drop(*linked.reads)
+    return without(rows, gone, "_row").select(*docs.columns)

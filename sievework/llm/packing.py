@@ -6,7 +6,8 @@ one length form a bucket; each piece is a sequence of its own, so no sequence cr
 and none needs padding.
 
 Defined results: a null or empty text is the end token alone. Repeated rows are packed each for
-itself. Very long texts are cut as any other, white space of any length included. Other columns are ignored.
+itself. Very long texts are cut as any other, white space of any length included. The
+vocabulary's special token in a text is one id, as the tokenizer has it by default. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ from sievework.llm.common import cut, drop, numbered, small_batches
 
 MAX_LENGTH = 1024
 END_ID = 0
+#: The vocabulary's special token, which the tokenizer takes out of a text before it splits the rest (fixed values).
+SPECIAL, SPECIAL_ID = "<|endoftext|>", 50256
 #: White space in one run that the split pattern is trusted with: it steps back over runs, which overflows near 2^20.
 LONG_GAP = 1 << 19
 #: White space as the split pattern knows it.
@@ -41,7 +44,7 @@ def _encoder(path: str, pattern: str, long_gap: int = LONG_GAP) -> Callable[[str
     plain = tiktoken.Encoding("given", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
     whole = tiktoken.Encoding("unsplit", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
-    def encode(text: str) -> list[int]:
+    def encode_part(text: str) -> list[int]:
         ids, at = [], 0
         for gap in _GAPS.finditer(text) if len(text) > long_gap else ():
             if gap.end() - gap.start() > long_gap:
@@ -51,6 +54,13 @@ def _encoder(path: str, pattern: str, long_gap: int = LONG_GAP) -> Callable[[str
                 at = stop
         return ids + plain(text[at:])
 
+    def encode(text: str) -> list[int]:
+        first, *rest = text.split(SPECIAL)
+        ids = encode_part(first)
+        for part in rest:
+            ids += [SPECIAL_ID, *encode_part(part)]
+        return ids
+
     return encode
 
 

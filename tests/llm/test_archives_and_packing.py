@@ -1,5 +1,6 @@
 import gzip
 import hashlib
+import random
 import zlib
 from collections import defaultdict
 
@@ -122,7 +123,6 @@ def test_ids_are_those_of_the_tokenizer(spark, docs, rows):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     want = {i: [*t.encode(x or "", add_special_tokens=False).ids, 0] for i, x, *_ in rows}
     got = defaultdict(dict)
     seen = set()
@@ -149,6 +149,22 @@ def test_long_white_space_has_the_ids_of_the_tokenizer():
     assert packing._encoder(*packing.default_vocabulary())(long_) == t.encode(long_, add_special_tokens=False).ids
 
 
+def test_special_tokens_in_texts_have_the_ids_of_the_tokenizer(spark):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    rng, end = random.Random(2), "<|endoftext|>"
+    texts = [f"a {end} b", end, end * 2, f"{end}x", f"x{end}", f" {end} ", f"\n{end}\n\n{end}\t", f"<|endoftext{end}|>", "<|endoftext|", "<|ENDOFTEXT|>", f"é{end}é"]
+    parts = [end, end, " ", "  ", "\n", "a", "it's", "12", "é", "<|", "|>", "\x1c", "word"]
+    texts += ["".join(rng.choices(parts, k=rng.randrange(12))) for _ in range(3000)]
+    encode = packing._encoder(*packing.default_vocabulary())
+    for x in texts:
+        assert encode(x) == t.encode(x, add_special_tokens=False).ids
+    df = spark.createDataFrame(list(enumerate(texts[:50])), "doc_id long, text string")
+    got = {r["doc_id"]: r["doc_tokens"] for r in packing.pack(df, with_ids=False).collect()}
+    assert got == {i: len(t.encode(x, add_special_tokens=False).ids) + 1 for i, x in enumerate(texts[:50])}
+
+
 def test_sequences_are_numbered_by_bucket(docs, empty, odd):
     out = packing.pack(docs, with_ids=False).orderBy("sequence_id").collect()
     assert [r["length"] for r in out] == sorted((r["length"] for r in out), reverse=True)

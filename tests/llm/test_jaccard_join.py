@@ -58,7 +58,17 @@ def test_empty_and_odd_tables(empty, odd):
     assert jaccard_join.join(empty).count() == 0 and jaccard_join.one_of_each(empty).count() == 0
     got = sorted(((r["doc_id"], r["component_id"]) for r in jaccard_join.join(odd, 3, (9, 10)).collect()), key=str)
     assert got == sorted([(None, None), (1, 1), (1, 1), (2, 1), (2, 1), (3, 3)], key=str)
-    assert sorted(str(r["doc_id"]) for r in jaccard_join.one_of_each(odd, 3, (9, 10)).collect()) == ["1", "3", "None"]
+    # of id 2 the text that is nobody's copy stays
+    assert sorted((str(r["doc_id"]), r["text"]) for r in jaccard_join.one_of_each(odd, 3, (9, 10)).collect() if r["doc_id"] == 2) == [("2", "other words here")]
+    assert sorted(str(r["doc_id"]) for r in jaccard_join.one_of_each(odd, 3, (9, 10)).collect()) == ["1", "2", "3", "None"]
+
+
+def test_rows_of_one_id_are_held_against_others_one_by_one(spark):
+    a, b, c = (" ".join(f"{k}{i}" for i in range(40)) for k in "abc")
+    data = [(1, a), (2, a), (2, b), (3, b), (4, c), (4, c), (5, ""), (5, None), (None, a), (2, c)]
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    out = sorted(map(tuple, jaccard_join.one_of_each(df).collect()), key=str)
+    assert out == sorted([(1, a), (2, b), (2, c), (5, ""), (5, None), (None, a)], key=str)
 
 
 def test_thresholds_below_a_half_are_refused(docs):
