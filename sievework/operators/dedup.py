@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sievework.functions.hashing import hamming
 from sievework.operators.graph import components
+from sievework.operators.joins import same_keys
 from sievework.sources.shared import cut, numbered
 
 TIGHT, LOOSE = 4, 8
@@ -22,14 +23,6 @@ def collisions(df: DataFrame, hash_: str, label: str) -> DataFrame:
     return df.join(several, hash_, "left_semi")
 
 
-def collision_pairs(df: DataFrame, hash_: str, label: str, order: str) -> DataFrame:
-    """Pairs of rows with one hash and different labels, the earlier first: as many as the members' pairs."""
-    d = collisions(df, hash_, label)
-    b = d.select(F.col(hash_).alias("_h"), F.col(label).alias("label_b"), F.col(order).alias("ord_b"))
-    a = d.select(F.col(hash_), F.col(label).alias("label_a"), F.col(order).alias("ord_a"))
-    return a.join(b, F.col(hash_) == F.col("_h")).where("ord_a < ord_b and label_a <> label_b").drop("_h")
-
-
 def bands(hash_: Column, n: int) -> Column:
     """``n`` slices of 64 bits as (band, value): hashes that differ in fewer than ``n`` bits agree on one (pigeonhole)."""
     edges = [i * 64 // n for i in range(n + 1)]
@@ -106,21 +99,22 @@ def choose(df: DataFrame, cluster: str, order: str, area: str, sharpness: str, c
     """Add ``role``: unique, canonical, augmented or dropped.
 
     The canonical row has the largest area among those at least ``floor`` times as sharp as
-    the sharpest (all, if nothing is sharp), ties to the first; of the others the first ``cap`` in
-    order are augmented.
+    the sharpest (all, if nothing is sharp or no sharpness is known), ties to the first; of the others the
+    first ``cap`` in order are augmented. A null cluster is a cluster like others; no row is lost.
     """
-    best = df.groupBy(cluster).agg(F.max(sharpness).alias("_top"), F.count(F.lit(1)).alias("_n"))
-    d = df.join(best, cluster)
-    fit = (F.col("_top") == 0) | (F.col(sharpness) >= floor * F.col("_top"))
+    best = df.groupBy(cluster).agg(F.coalesce(F.max(sharpness), F.lit(0)).alias("_top"), F.count(F.lit(1)).alias("_n"))
+    d = same_keys(df, best, [cluster])
+    fit = (F.col("_top") <= 0) | F.coalesce(F.col(sharpness) >= floor * F.col("_top"), F.lit(False))
     pick = d.where(fit).groupBy(cluster).agg(F.max(F.struct(F.coalesce(area, F.lit(0)).alias("a"), (-F.col(order)).alias("o"))).alias("_p"))
-    d = d.join(pick.select(cluster, (-F.col("_p.o")).alias("_canon")), cluster)
-    rest = d.where(F.col(order) != F.col("_canon"))
+    d = same_keys(d, pick.select(cluster, (-F.col("_p.o")).alias("_canon")), [cluster])
+    canonical = F.col(order).eqNullSafe(F.col("_canon"))
+    rest = d.where(~canonical)
     # the first rows of each slice of a cluster, then of these: a large cluster never meets in one task
     part = F.pmod(F.xxhash64(order), F.lit(SLICES))
     first = rest.select(F.col(cluster).alias("_fc"), F.col(order).alias("_fo"), part.alias("_part"))
     first = first.withColumn("_r", F.row_number().over(Window.partitionBy("_fc", "_part").orderBy("_fo"))).where(F.col("_r") <= cap)
     first = first.withColumn("_r", F.row_number().over(Window.partitionBy("_fc").orderBy("_fo"))).where(F.col("_r") <= cap)
-    rest = rest.join(first.select("_fc", "_fo"), (F.col(cluster) == F.col("_fc")) & (F.col(order) == F.col("_fo")), "left")
-    rest = rest.withColumn("role", F.when(F.col("_fc").isNotNull(), "augmented").otherwise("dropped")).drop("_fc", "_fo")
-    kept = d.where(F.col(order) == F.col("_canon")).withColumn("role", F.when(F.col("_n") == 1, "unique").otherwise("canonical"))
+    rest = rest.join(first.select("_fc", "_fo"), F.col(cluster).eqNullSafe(F.col("_fc")) & (F.col(order) == F.col("_fo")), "left")
+    rest = rest.withColumn("role", F.when(F.col("_fo").isNotNull(), "augmented").otherwise("dropped")).drop("_fc", "_fo")
+    kept = d.where(canonical).withColumn("role", F.when(F.col("_n") == 1, "unique").otherwise("canonical"))
     return kept.unionByName(rest).drop("_top", "_n", "_canon")

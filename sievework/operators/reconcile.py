@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sievework.operators.joins import same_keys
+
 
 def last_wins(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     """One row a key: that with the largest ``order``."""
@@ -17,11 +19,11 @@ def compare_counts(scripted: DataFrame, manual: DataFrame, keys: list[str], coun
     """``keys, scripted, manual, diff, kind`` of what disagrees.
 
     A count that one side lacks is only reported if the other's isn't 0; two unequal counts are a
-    mismatch, even if one is 0.
+    mismatch, even if one is 0. Null keys are keys like others.
     """
     a = scripted.select(*keys, F.col(count).cast("long").alias("scripted"))
     b = manual.select(*keys, F.col(count).cast("long").alias("manual"))
-    both = a.join(b, keys, "full")
+    both = same_keys(a, b, keys, "full")
     kind = (
         F.when(F.col("scripted").isNull() & (F.col("manual") != 0), "excel_only")
         .when(F.col("manual").isNull() & (F.col("scripted") != 0), "script_only")
@@ -39,13 +41,13 @@ def swapped(differences: DataFrame, manual: DataFrame, dataset: str, label: str,
 
 
 def change_sets(disk: DataFrame, manifest: DataFrame, corrupt: DataFrame, key: str) -> DataFrame:
-    """``key, change``: added on disk, removed from it, or corrupt. A key may be listed for two reasons."""
+    """``key, change``: added on disk, removed from it, or corrupt. A key may be listed for two reasons; null is a key like others."""
     seen = disk.select(key).union(corrupt.select(key)).distinct()
     listed = manifest.select(key).distinct()
     tag = lambda df, what: df.select(key, F.lit(what).alias("change"))
     parts = [
-        tag(seen.join(listed, key, "left_anti"), "added_discovered_on_disk"),
-        tag(listed.join(seen, key, "left_anti"), "removed_missing_from_disk"),
+        tag(same_keys(seen, listed, [key], "left_anti"), "added_discovered_on_disk"),
+        tag(same_keys(listed, seen, [key], "left_anti"), "removed_missing_from_disk"),
         tag(corrupt.select(key).distinct(), "corrupt_kept_in_metadata_excluded_from_manifest"),
     ]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
@@ -54,7 +56,7 @@ def change_sets(disk: DataFrame, manifest: DataFrame, corrupt: DataFrame, key: s
 def quarantine(rows: DataFrame, flagged: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     """(flagged rows, the others)."""
     ids = flagged.select(key).distinct()
-    return rows.join(ids, key, "left_semi"), rows.join(ids, key, "left_anti")
+    return same_keys(rows, ids, [key], "left_semi"), same_keys(rows, ids, [key], "left_anti")
 
 
 def move_log(rows: DataFrame, listing: DataFrame, path: str, new_path: str) -> DataFrame:

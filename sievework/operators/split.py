@@ -16,6 +16,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sievework.functions.names import blank_as_null, parent, stem
+from sievework.operators.joins import same_keys
+from sievework.sources.shared import cut
+
+
+#: More folders than this are joined by a shuffle.
+BROADCAST_FOLDERS = 1 << 16
 
 
 def fill(targets: list[float], filled: list[int], size: int, m: int) -> list[int]:
@@ -113,13 +119,13 @@ def cluster_map(rows: DataFrame, clusters: DataFrame, path: str, order: str) ->
     base = base.withColumns({"_dir": parent(F.col(path)), "_stem": stem(F.col(path))})
     top = base.where(F.col("_stem").contains("__topup")).select(F.col(path).alias("_tp"), "_dir", F.split_part("_stem", F.lit("__topup"), F.lit(1)).alias("_root"))
     plain = base.where(~F.col("_stem").contains("__topup") & ~F.col("_stem").contains("__aug"))
-    plain = plain.select(F.col("_dir").alias("_sd"), F.col("_stem").alias("_ss"), F.col(path).alias("_sp"), F.col("_own").alias("_sc"))
-    # an equal stem is a plain join; only top-ups without one look for longer stems
-    exact = top.join(plain, (F.col("_dir") == F.col("_sd")) & (F.col("_root") == F.col("_ss")))
-    rest = top.join(exact.select("_tp").distinct(), "_tp", "left_anti")
-    near = rest.join(plain, (F.col("_dir") == F.col("_sd")) & (F.substring("_root", 1, 1) == F.substring("_ss", 1, 1)) & F.col("_ss").startswith(F.col("_root")))
-    found = exact.select("_tp", "_sp", "_sc", F.length("_ss").alias("_l")).unionByName(near.select("_tp", "_sp", "_sc", F.length("_ss").alias("_l")))
-    found = found.groupBy("_tp").agg(F.min(F.struct("_l", "_sp", "_sc")).alias("_b")).select("_tp", F.col("_b._sp").alias("_source"), F.col("_b._sc").alias("_scluster"))
+    # each plain stem is cut at the lengths that roots of its folder have: a join on equal prefixes, of which only the best source is kept
+    lengths = cut(top.groupBy(F.col("_dir").alias("_ld")).agg(F.collect_set(F.length("_root")).alias("_lengths")), "root-lengths")
+    lengths = F.broadcast(lengths) if lengths.count() <= BROADCAST_FOLDERS else lengths
+    fits = F.filter("_lengths", lambda n: n <= F.length("_stem"))
+    plain = plain.join(lengths, F.col("_dir") == F.col("_ld")).select("_dir", "_stem", F.col(path).alias("_sp"), F.col("_own").alias("_sc"), F.explode(fits).alias("_n"))
+    best = plain.groupBy(F.col("_dir").alias("_sd"), F.substring("_stem", F.lit(1), F.col("_n")).alias("_prefix")).agg(F.min(F.struct(F.length("_stem").alias("_l"), "_sp", "_sc")).alias("_b"))
+    found = top.join(best, (F.col("_dir") == F.col("_sd")) & (F.col("_root") == F.col("_prefix"))).select("_tp", F.col("_b._sp").alias("_source"), F.col("_b._sc").alias("_scluster"))
     out = base.join(found, F.col(path) == F.col("_tp"), "left").drop("_tp")
     made = F.concat(F.lit("topup_"), F.col("_source"))
     sources = found.where("_scluster is null").select(F.col("_source").alias("_used")).distinct()
@@ -135,7 +141,7 @@ def violations(rows: DataFrame, cluster: str, split_: str = "split") -> DataFram
 
 
 def repair(rows: DataFrame, cluster: str, split_: str = "split") -> DataFrame:
-    """Add ``new_split``: a split cluster goes where most of its rows are; ties to train, then by name."""
+    """Add ``new_split``: a split cluster goes where most of its rows are; ties to train, then by name. A null cluster is one like others."""
     votes = rows.groupBy(cluster, split_).agg(F.count(F.lit(1)).alias("_n"))
     best = votes.groupBy(cluster).agg(F.min(F.struct((-F.col("_n")).alias("n"), (F.col(split_) != "train").alias("t"), F.col(split_).alias("s"))).alias("_b"))
-    return rows.join(best.select(cluster, F.col("_b.s").alias("new_split")), cluster)
+    return same_keys(rows, best.select(cluster, F.col("_b.s").alias("new_split")), [cluster])

@@ -86,7 +86,7 @@ COUNTS = """base AS (SELECT source, lang AS label, count(*) AS n, min(doc_id) AS
     UNION ALL SELECT DISTINCT source, 'it', (length(source) - 4)::BIGINT FROM base),
   diffs AS (SELECT * FROM (SELECT coalesce(a.source, b.source) AS source, coalesce(a.label, b.label) AS label, a.n AS scripted, b.n AS manual, a.n - b.n AS diff,
       CASE WHEN a.n IS NULL AND b.n <> 0 THEN 'excel_only' WHEN b.n IS NULL AND a.n <> 0 THEN 'script_only' WHEN a.n <> b.n THEN 'mismatch' END AS kind
-    FROM base a FULL JOIN manual b ON a.source = b.source AND a.label = b.label) WHERE kind IS NOT NULL)"""
+    FROM base a FULL JOIN manual b ON a.source IS NOT DISTINCT FROM b.source AND a.label IS NOT DISTINCT FROM b.label) WHERE kind IS NOT NULL)"""
 
 
 def _differences(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -671,13 +671,13 @@ def cluster_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split.cluster_map(files, marks, "path", "ord").select("path", "cluster_key")
 
 
-def _fold_sql(rows: str, strata: str, bins: list[tuple[str, str]]) -> str:
-    """CTEs that replay the fold cluster by cluster: ``dealt`` has a bin for each cluster. ``bins``: name and target."""
+def _fold_sql(rows: str, strata: str, bins: list[tuple[str, str]], shares: str = "") -> str:
+    """CTEs that replay the fold cluster by cluster: ``dealt`` has a bin for each cluster. ``bins``: name and target; ``shares``: a join that targets need."""
     n, s = len(bins), [x.strip() for x in strata.split(",")]
     on = lambda a, b: " AND ".join(f"{a}.{x} IS NOT DISTINCT FROM {b}.{x}" for x in s)
     best = "CASE " + " ".join(f"WHEN {' AND '.join(f'a{i} / t{i} <= a{j} / t{j}' for j in range(n) if j != i)} THEN {i}" for i in range(n)) + " END"
     return f"""cl AS (SELECT {strata}, cluster_key, count(*) AS size FROM {rows} GROUP BY ALL),
-  tot AS (SELECT {strata}, {', '.join(f'{t} AS t{i}' for i, (_, t) in enumerate(bins))} FROM (SELECT {strata}, sum(size)::DOUBLE AS total FROM cl GROUP BY ALL)),
+  tot AS (SELECT {', '.join(f'totals.{x}' for x in s)}, {', '.join(f'{t} AS t{i}' for i, (_, t) in enumerate(bins))} FROM (SELECT {strata}, sum(size)::DOUBLE AS total FROM cl GROUP BY ALL) AS totals {shares}),
   seq AS (SELECT *, row_number() OVER (PARTITION BY {strata} ORDER BY size, md5('42:' || cluster_key), cluster_key) AS k FROM cl),
   fold AS (SELECT {', '.join(f'tot.{x}' for x in s)}, 0::BIGINT AS k, 0::BIGINT AS size, -1 AS bin, {', '.join(f'0::DOUBLE AS a{i}' for i in range(n))} FROM tot
     UNION ALL SELECT {', '.join(f'p.{x}' for x in s)}, p.k, p.size, p.bin, {', '.join(f'p.a{i} + CASE WHEN p.bin = {i} THEN p.size ELSE 0 END' for i in range(n))} FROM
@@ -760,10 +760,40 @@ def client_crosstab(spark: SparkSession, sf_dir: str) -> DataFrame:
     return federate.distribution(_iid(spark, sf_dir), "label")
 
 
-@query(None)
+def _uniform_sql(key: str) -> str:
+    return f"((('0x' || substr(md5('42:' || coalesce(label, '\\N') || ':' || i || ':' || {key}), 1, 13))::UBIGINT::DOUBLE + 0.5) / 4503599627370496.0)"
+
+
+DIRICHLET_CLIENTS = 10
+#: Shape 0.5 by way of 1.5: d = 1.5 - 1/3, c = 1 / sqrt(9 d).
+DIRICHLET = f"""{CLUSTERS}, rows AS (SELECT ord, label, cluster_id AS cluster_key FROM clustered WHERE ord % 10 < 8),
+  ends AS (SELECT label, i FROM (SELECT DISTINCT label FROM rows), range({DIRICHLET_CLIENTS}) AS t(i)), d AS (SELECT 1.5::DOUBLE - 1::DOUBLE / 3 AS d),
+  tries AS (SELECT label, i, k, d, sqrt(-2 * ln({_uniform_sql("k || ':r'")})) * cos(2 * pi() * {_uniform_sql("k || ':t'")}) AS z, {_uniform_sql("k || ':u'")} AS u FROM ends, range(1, {federate.TRIES + 1}) AS t(k), d),
+  tried AS (SELECT *, root * root * root AS v FROM (SELECT *, 1 + 1 / sqrt(9 * d) * z AS root FROM tries)),
+  taken AS (SELECT label, i, arg_min(d * v, k) AS g FROM tried WHERE root > 0 AND ln(u) < 0.5 * z * z + d - d * v + d * ln(greatest(v, 1e-300)) GROUP BY 1, 2),
+  drawn AS (SELECT e.label, e.i, round(coalesce(t.g, d) * pow({_uniform_sql("'p'").replace("label", "e.label").replace("|| i ||", "|| e.i ||")}, 2), 9) AS g FROM ends e CROSS JOIN d LEFT JOIN taken t ON t.label IS NOT DISTINCT FROM e.label AND t.i = e.i),
+  raised AS (SELECT label, i, greatest(coalesce(g / nullif(sum(g) OVER (PARTITION BY label), 0), 1), 0.02::DOUBLE) AS r FROM drawn),
+  shares AS (SELECT label, list(r ORDER BY i) AS r, sum(r) AS whole FROM raised GROUP BY 1),
+  {_fold_sql('rows', 'label', [(str(i), f'total * (r[{i + 1}] / whole)') for i in range(DIRICHLET_CLIENTS)], 'JOIN shares ON shares.label IS NOT DISTINCT FROM totals.label')},
+  assigned AS (SELECT r.ord, r.label, r.cluster_key, d.bin::INT AS client_id FROM rows r JOIN dealt d ON d.label IS NOT DISTINCT FROM r.label AND d.cluster_key = r.cluster_key)"""
+
+
+@query(f"WITH RECURSIVE {DIRICHLET} SELECT ord, label, cluster_key, client_id FROM assigned")
 def dirichlet_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Skewed shares, drawn by a seeded generator that SQL lacks."""
-    return federate.assign(_train(spark, sf_dir), "label", "cluster_key", lambda c, label, n: federate.dirichlet_targets(c, label, n, 10)).select("ord", "label", "cluster_key", "client_id")
+    """Skewed shares, drawn for each label and client from the hash of their names."""
+    return federate.assign(_train(spark, sf_dir), "label", "cluster_key", lambda c, label, n: federate.dirichlet_targets(c, label, n, DIRICHLET_CLIENTS)).select("ord", "label", "cluster_key", "client_id")
+
+
+@query(f"WITH RECURSIVE {TRAIN} SELECT c.client_id::INT AS client_id, count(a.ord) AS copied, count(a.ord) AS found, count(a.ord) AS in_place FROM range({CLIENTS}) AS c(client_id) LEFT JOIN assigned a USING (client_id) GROUP BY 1")
+def written_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Client folders with counts taken while they were written, beside what a second look at the folders finds."""
+    where = new_path(spark, "clients")
+    rows = _iid(spark, sf_dir).withColumn("path", F.concat(F.lit("D:\\train\\"), F.col("cluster_key"), F.lit("\\doc"), F.col("ord").cast("string"), F.lit(".png")))
+    copied = federate.write_clients(rows, "label", where, CLIENTS, "path")
+    there = spark.read.parquet(where).groupBy("client_id")
+    mine = F.concat(F.lit("client_"), F.col("client_id"), F.lit("/"), F.coalesce("label", F.lit("unknown")), F.lit("/doc"), F.col("ord"), F.lit(".png"))
+    there = there.agg(F.count(F.lit(1)).alias("found"), F.count_if(F.col("path") == mine).alias("in_place"))
+    return copied.join(there, "client_id", "left").select("client_id", "copied", F.coalesce("found", F.lit(0)).cast("long").alias("found"), F.coalesce("in_place", F.lit(0)).cast("long").alias("in_place"))
 
 
 @query("""WITH l AS (SELECT 'train/' || lang || '/' || doc_id AS path FROM documents WHERE doc_id % 3 = 0 UNION ALL SELECT 'raw/' || doc_id FROM documents WHERE doc_id % 3 = 1)
