@@ -15,10 +15,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sievework.functions import hashing, images, names
-from sievework.operators import dedup, federate, quality, reconcile, select, split, stats
-from sievework.sources import files
-from sievework.sources.schemas import SPLIT_SHARES, STATUSES
+from sievework.operators import access, dedup, federate, quality, reconcile, select, split, stats
+from sievework.sources import files, infer
+from sievework.sources.schemas import SPLIT_SHARES, STATUSES, SUFFIXES
 from sievework.sources.shared import arrow_rows, cut, new_path, table
+from sievework.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -583,6 +584,100 @@ def rewritten_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.groupBy("version").agg(F.count(F.lit(1)).alias("n"), F.count_if("flag").alias("flagged"))
 
 
+# -- files, types and batches ----------------------------------------------------------------
+
+
+@query("""SELECT coalesce(source, 'unknown') AS dataset, coalesce(lang, 'unknown') AS folder, count(*) FILTER (WHERE doc_id % 3 <> 2) AS n,
+    coalesce(string_agg(DISTINCT CASE doc_id % 3 WHEN 0 THEN '.jpg' WHEN 1 THEN '.png' END, '|' ORDER BY CASE doc_id % 3 WHEN 0 THEN '.jpg' WHEN 1 THEN '.png' END), '') AS formats,
+    count(*) FILTER (WHERE doc_id % 3 <> 2 AND (doc_id % 5 = 0 OR coalesce(text, '') = '')) AS empty,
+    coalesce(sum(octet_length(encode(text))) FILTER (WHERE doc_id % 3 <> 2 AND doc_id % 5 <> 0), 0)::BIGINT AS bytes FROM documents GROUP BY 1, 2""")
+def folder_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files laid out by source and label, some of no bytes and some of another kind, and counted by a listing."""
+    root, k = new_path(spark, "files"), F.col("doc_id")
+    d = table(spark, sf_dir, "documents").select(F.coalesce("source", F.lit("unknown")).alias("source"), F.coalesce("lang", F.lit("unknown")).alias("lang"), "doc_id", "text")
+    name = F.concat(F.lit("doc"), k.cast("string"), F.when(k % 3 == 0, ".JPG").when(k % 3 == 1, ".png").otherwise(".txt"))
+    files.write_files(d.select(F.concat_ws("/", F.lit(root), "source", "lang", name).alias("path"), F.when(k % 5 != 0, F.col("text")).alias("content")), "path", "content")
+    roots = {r["source"]: f"{root}/{r['source']}" for r in d.select("source").distinct().collect()}
+    found = files.list_folders(spark, roots, SUFFIXES)
+    kinds = F.array_join(F.array_sort(F.collect_set(names.suffix(F.col("name")))), "|")
+    there = F.col("name").isNotNull()
+    return found.groupBy("dataset", "folder").agg(F.count("name").alias("n"), kinds.alias("formats"), F.count_if(there & (F.coalesce("size", F.lit(0)) == 0)).alias("empty"), F.coalesce(F.sum("size"), F.lit(0)).alias("bytes"))
+
+
+SHEET = """sheet AS (SELECT doc_id::VARCHAR AS doc_id, CASE WHEN doc_id % 4 = 0 THEN (n_chars // 10)::VARCHAR ELSE (n_chars // 10) || '.25' END AS ratio,
+    CASE doc_id % 3 WHEN 0 THEN 'True' WHEN 1 THEN 'false' ELSE '' END AS flag, '2024-02-' || lpad((1 + doc_id % 28)::VARCHAR, 2, '0') AS day,
+    CASE WHEN doc_id % 50 = 7 THEN 'n/a' ELSE n_chars::VARCHAR END AS mixed, lang, ''::VARCHAR AS nothing FROM documents)"""
+
+
+def _sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts of several types, through CSV."""
+    k, n = F.col("doc_id"), F.col("n_chars")
+    tens = F.floor(n / 10).cast("string")
+    d = table(spark, sf_dir, "documents").select(
+        k.cast("string").alias("doc_id"), F.when(k % 4 == 0, tens).otherwise(F.concat(tens, F.lit(".25"))).alias("ratio"), F.when(k % 3 == 0, "True").when(k % 3 == 1, "false").otherwise("").alias("flag"),
+        F.concat(F.lit("2024-02-"), F.lpad((1 + k % 28).cast("string"), 2, "0")).alias("day"), F.when(k % 50 == 7, "n/a").otherwise(n.cast("string")).alias("mixed"), "lang", F.lit("").alias("nothing"),
+    )
+    where = new_path(spark, "sheet")
+    files.write_csv(d, where)
+    return files.read_csv(spark, where, T.StructType([T.StructField(c, T.StringType()) for c in d.columns]))
+
+
+@query(f"""WITH {SHEET}, v AS (UNPIVOT (SELECT coalesce(doc_id, '') AS doc_id, coalesce(ratio, '') AS ratio, coalesce(flag, '') AS flag, coalesce(day, '') AS day, coalesce(mixed, '') AS mixed, coalesce(lang, '') AS lang, nothing FROM sheet) ON COLUMNS(*) INTO NAME name VALUE v)
+  SELECT name, CASE WHEN count(*) FILTER (WHERE v <> '') = 0 THEN 'string' WHEN bool_and(lower(v) IN ('true', 'false')) FILTER (WHERE v <> '') THEN 'boolean' WHEN bool_and(TRY_CAST(v AS BIGINT) IS NOT NULL AND NOT contains(v, '.')) FILTER (WHERE v <> '') THEN 'long'
+      WHEN bool_and(TRY_CAST(v AS DOUBLE) IS NOT NULL) FILTER (WHERE v <> '') THEN 'double' WHEN bool_and(TRY_CAST(v AS DATE) IS NOT NULL) FILTER (WHERE v <> '') THEN 'date' ELSE 'string' END AS type,
+    count(*) FILTER (WHERE v <> '') AS filled, count(*) FILTER (WHERE v = '') AS blank FROM v GROUP BY 1""")
+def csv_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infer.column_types(_sheet(spark, sf_dir))
+
+
+@query(f"WITH {SHEET} SELECT doc_id::BIGINT AS doc_id, ratio::DOUBLE AS ratio, nullif(flag, '')::BOOLEAN AS flag, dayofyear(day::DATE)::INT AS day, mixed, nullif(lang, '') AS lang, NULL::VARCHAR AS nothing FROM sheet")
+def csv_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table read without a schema, in the types that its values have."""
+    return infer.typed(_sheet(spark, sf_dir)).withColumn("day", F.dayofyear("day"))
+
+
+LINES = """lines AS (SELECT doc_id, n_chars, lang, CASE doc_id % 9 WHEN 0 THEN doc_id || ',' || n_chars WHEN 1 THEN doc_id || ',x' || n_chars || ',a' WHEN 2 THEN doc_id || ',' || n_chars || ',a,b' WHEN 3 THEN doc_id || ',"' || n_chars || ',a'
+    WHEN 4 THEN doc_id || ',' || n_chars || ',"a, ""b"" c"' ELSE doc_id || ',' || n_chars || ',' || coalesce(lang, '') END AS line FROM documents)"""
+
+
+@query(f"""WITH {LINES} SELECT CASE WHEN doc_id % 9 > 3 THEN 'kept' ELSE 'quarantined' END AS state, CASE WHEN doc_id % 9 > 3 THEN doc_id || '|' || n_chars || '|' || CASE WHEN doc_id % 9 = 4 THEN 'a, "b" c' ELSE coalesce(lang, '') END ELSE line END AS line FROM lines""")
+def csv_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that don't fit the schema are kept apart as they stand; nothing fails."""
+    k, n = F.col("doc_id").cast("string"), F.col("n_chars").cast("string")
+    nine, c = F.col("doc_id") % 9, lambda *x: F.concat(*[F.lit(v) if isinstance(v, str) else v for v in x])
+    good = c(k, ",", n, ",", F.coalesce("lang", F.lit("")))
+    line = F.when(nine == 0, c(k, ",", n)).when(nine == 1, c(k, ",x", n, ",a")).when(nine == 2, c(k, ",", n, ",a,b")).when(nine == 3, c(k, ',"', n, ",a")).when(nine == 4, c(k, ",", n, ',"a, ""b"" c"')).otherwise(good)
+    where = new_path(spark, "lines")
+    table(spark, sf_dir, "documents").select(line.alias("value")).write.text(where)
+    kept, bad = files.read_csv_apart(spark, where, T.StructType().add("doc_id", "long").add("n_chars", "long").add("note", "string"), header=False)
+    kept = kept.select(F.lit("kept").alias("state"), c(F.col("doc_id").cast("string"), "|", F.col("n_chars").cast("string"), "|", F.coalesce("note", F.lit(""))).alias("line"))
+    return kept.union(bad.select(F.lit("quarantined"), "line"))
+
+
+@query("SELECT doc_id, lang, content_hash FROM (SELECT doc_id, lang, sha256(coalesce(text, '')) AS content_hash, row_number() OVER (PARTITION BY sha256(coalesce(text, '')) ORDER BY doc_id) AS place FROM documents) WHERE place = 1")
+def stream_first_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that arrive in several batches, the later half of their ids first; the stream is stopped in between and goes on."""
+    source, out = new_path(spark, "arrivals"), new_path(spark, "ingested")
+    d = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    for odd in (1, 0):
+        d.where(F.pmod("doc_id", F.lit(2)) == odd).repartition(4).write.mode("append").parquet(source)
+        arrivals = ingest.stream(spark, source, d.schema, files_per_batch=3)
+        ingest.keep_first(arrivals, out, f"{out}/checkpoint", "text", "doc_id").awaitTermination()
+    return ingest.first_rows(spark, out, "doc_id").select("doc_id", "lang", "content_hash")
+
+
+@query("""WITH i AS (SELECT row_number() OVER (ORDER BY lang, doc_id) - 1 AS position, doc_id, lang AS label, dense_rank() OVER (ORDER BY lang) - 1 AS class_index FROM documents WHERE lang IS NOT NULL AND doc_id % 10 < 8)
+  SELECT * FROM i WHERE position % 40 = 3""")
+def item_access(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A training part's items with their class index, numbered and written, and read back by position."""
+    d = table(spark, sf_dir, "documents").select("doc_id", F.col("lang").alias("label"), F.when(F.col("doc_id") % 10 < 8, "train").otherwise("test").alias("split")).where("label is not null")
+    d = access.subset(d, split="Train")
+    where = new_path(spark, "items")
+    access.write_index(d.join(stats.class_index(d, "label"), "label").select("doc_id", "label", "class_index"), ["label", "doc_id"], where, per_file=1 << 10)
+    asked = spark.range(3, d.count(), 40).select(F.col("id").alias("position"))
+    return access.items_of(spark, where, asked, "position")
+
+
 # -- images ----------------------------------------------------------------------------------
 
 PICTURES = """pic AS (SELECT vec_id, CASE WHEN vec_id % 4 = 1 THEN 4 ELSE 8 END AS c, vec_id % 10 NOT IN (3, 7) AS ok, vec_id % 3 = 0 AS mono,

@@ -36,6 +36,11 @@ def cut(df: DataFrame, tag: str) -> DataFrame:
     return out
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
 def drop(*tables: DataFrame) -> None:
     """Delete tables that ``cut`` wrote, once nothing that is still to run reads them."""
     for t in tables:

@@ -1,4 +1,7 @@
-"""Incremental ingestion: new files are read as a stream and copies of known content are left out."""
+"""Incremental ingestion: new files are read as a stream and copies of known content are left out.
+
+A null content is an empty one.
+"""
 
 from __future__ import annotations
 
@@ -7,6 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from sievework.operators.joins import same_keys
+from sievework.sources.shared import exists
+
 
 def stream(spark: SparkSession, path: str, schema: StructType | str, files_per_batch: int = 100) -> DataFrame:
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
@@ -26,3 +32,43 @@ def counts_by_window(rows: DataFrame, time: str, by: str, length: str, delay: st
 def append_to(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Append to Parquet once for each input, with what is there now; a restart goes on after the last batch."""
     return rows.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
+
+
+def commit_batch(rows: DataFrame, batch: int, path: str, content: str, order: str) -> None:
+    """Add one batch to the table of first rows below ``path``; the same batch again gives the same files.
+
+    Digests that earlier batches have committed are a table of their own, with the smallest order seen; it
+    has no watermark and holds no texts. Of this batch, rows whose content is new, or stands before the
+    row that is known, are written; then their digests; then the mark that makes both visible. A batch that was cut off before
+    its mark is written over when the stream hands it out again.
+    """
+    spark = rows.sparkSession
+    digest = F.sha2(F.coalesce(F.col(content).cast("string"), F.lit("")), 256)
+    keyed = rows.withColumn("content_hash", digest)
+    first = keyed.groupBy("content_hash").agg(F.min(order).alias(order))
+    if exists(spark, f"{path}/digests"):
+        known = spark.read.parquet(f"{path}/digests").where(F.col("batch") < batch).select(F.col("content_hash").alias("_hash"), F.col(order).alias("_known"))
+        known = known.join(first.select("content_hash"), F.col("_hash") == F.col("content_hash"), "left_semi").groupBy("_hash").agg(F.min("_known").alias("_known"))
+        earlier = F.col(order).isNotNull() & (F.col("_known").isNull() | (F.col(order) < F.col("_known")))
+        first = first.join(known, F.col("content_hash") == F.col("_hash"), "left").where(F.col("_hash").isNull() | earlier).select("content_hash", order)
+    at = f"batch={batch}"
+    fresh = f"{path}/fresh/{at}"
+    first.write.mode("overwrite").parquet(fresh)
+    first = spark.read.parquet(fresh)
+    same_keys(keyed, first, ["content_hash", order]).dropDuplicates(["content_hash", order]).write.mode("overwrite").parquet(f"{path}/rows/{at}")
+    first.write.mode("overwrite").option("parquet.bloom.filter.enabled#content_hash", "true").parquet(f"{path}/digests/{at}")
+    first.agg(F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(f"{path}/commits/{at}")
+
+
+def keep_first(rows: DataFrame, path: str, checkpoint: str, content: str, order: str) -> StreamingQuery:
+    """Ingest what a stream has now into the table of first rows below ``path``; a restart goes on after the last committed batch."""
+    put = lambda batch_rows, batch: commit_batch(batch_rows, batch, path, content, order)
+    return rows.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def first_rows(spark: SparkSession, path: str, order: str) -> DataFrame:
+    """The first row of each content, by ``order``, of all committed batches, whatever the order of arrival; null orders come last."""
+    done = spark.read.parquet(f"{path}/commits").select("batch").distinct()
+    rows = spark.read.parquet(f"{path}/rows").join(F.broadcast(done), "batch", "left_semi").drop("batch")
+    digests = spark.read.parquet(f"{path}/digests").join(F.broadcast(done), "batch", "left_semi")
+    return same_keys(rows, digests.groupBy("content_hash").agg(F.min(order).alias(order)), ["content_hash", order])

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from sievework.functions import names
 from sievework.operators import stats
-from sievework.sources import files, schemas, shared
+from sievework.sources import files, infer, schemas, shared
 
 
 def test_csv_keeps_quotes_backslashes_and_blanks(spark, tmp_path):
@@ -27,6 +27,43 @@ def test_listing_keeps_empty_files_and_folders(spark, tmp_path):
     assert [tuple(r) for r in got] == [("s", "cats", 2, ".jpg|.png", 1), ("s", "none", 0, "", 0)]
 
 
+def test_listing_is_filtered_by_suffix_and_takes_odd_names(spark, tmp_path):
+    root = f"file://{tmp_path}/my set"
+    rows = [(f"{root}/a b/x %20.JPG", b"12"), (f"{root}/a b/y.png", None), (f"{root}/a b/z.txt", b"1"), (f"{root}/c/q.tar.gz", b"12345")]
+    assert files.write_files(spark.createDataFrame(rows, "path string, content binary"), "path", "content") == 4
+    (tmp_path / "my set/a b/deep.png").mkdir()
+    got = files.list_folders(spark, {"s": root, "t": f"{tmp_path}/my set", "gone": "file:///no/such"}, (".jpg", ".png")).collect()
+    want = [("a b", None, None), ("a b", "x %20.JPG", 2), ("a b", "y.png", 0), ("c", None, None)]
+    for d in "st":
+        assert sorted(((r["folder"], r["name"], r["size"]) for r in got if r["dataset"] == d), key=str) == sorted(want, key=str)
+    assert len(got) == 8 and files.list_folders(spark, {"s": root}).count() == 6
+    assert files.write_files(spark.createDataFrame([], "path string, content binary"), "path", "content") == 0
+
+
+def test_types_in_any_partitioning(spark):
+    data = [("1", "1.5", "TRUE", "2024-02-29", "1", None, " "), ("-2", "7", "false", " 2023-01-01 ", "x", None, ""), (None, "1e3", "", None, "2", None, None)]
+    df = spark.createDataFrame(data, "a string, b string, c string, d string, e string, f string, `g.h` string")
+    want = {"a": ("long", 2, 1), "b": ("double", 3, 0), "c": ("boolean", 2, 1), "d": ("date", 2, 1), "e": ("string", 3, 0), "f": ("string", 0, 3), "g.h": ("string", 0, 3)}
+    for n in (1, 3, 7):
+        assert {r["name"]: (r["type"], r["filled"], r["blank"]) for r in infer.column_types(df.repartition(n)).collect()} == want
+    out = infer.typed(df)
+    assert [t for _, t in out.dtypes] == ["bigint", "double", "boolean", "date", "string", "string", "string"]
+    assert [r["b"] for r in out.orderBy("b").collect()] == [1.5, 7.0, 1000.0]
+    # no such day, a number too long, and numbers that only look like one
+    odd = spark.createDataFrame([("2023-02-29", "1" * 25, "NaN", "0x1"), ("2023-02-28", "2", "1", "2")], "a string, b string, c string, d string")
+    assert {r["name"]: r["type"] for r in infer.column_types(odd).collect()} == {"a": "string", "b": "double", "c": "string", "d": "string"}
+    assert {r["type"] for r in infer.column_types(df.where("false")).collect()} == {"string"} and infer.typed(df.where("false")).count() == 0
+
+
+def test_malformed_lines_are_kept_apart(spark, tmp_path):
+    (tmp_path / "t.csv").write_text('k,v\n1,a\n2\n3,b,c\nx,d\n4,"e, ""f"""\n"5,g\n,\n')
+    good, bad = files.read_csv_apart(spark, f"file://{tmp_path}/t.csv", schemas._of(k=schemas._L, v=schemas._S))
+    assert sorted(map(tuple, good.collect()), key=str) == [(1, "a"), (4, 'e, "f"'), (None, None)]
+    assert sorted(r["line"] for r in bad.collect()) == ['"5,g', "2", "3,b,c", "x,d"]
+    (tmp_path / "none.csv").write_text("k,v\n")
+    assert [x.count() for x in files.read_csv_apart(spark, f"file://{tmp_path}/none.csv", schemas._of(k=schemas._L, v=schemas._S))] == [0, 0]
+
+
 def test_names(spark):
     df = spark.createDataFrame([("a\\b/c.d.JPEG",), (".x",), ("DS7__q__aug1_c.png",), ("ds__q",)], "n string")
     n = F.col("n")
