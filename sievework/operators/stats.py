@@ -93,13 +93,28 @@ def class_index(df: DataFrame, label: str) -> DataFrame:
     return df.select(label).distinct().withColumn("class_index", (F.row_number().over(Window.orderBy(label)) - 1).cast("long"))
 
 
-def health_report(title: str, imbalance_row: dict, concentrated: list[str], skewed: list[str], flagged: list[str] | None = None, composition: dict | None = None) -> str:
-    """Markdown from small collected frames: a warning or an all-clear in each section; the last two only if given."""
+def tenths(a: int, b: int) -> str:
+    """a / b to one decimal, halves up, in integers; 0.0 if there is nothing."""
+    t = (20 * a + b) // (2 * b) if b else 0
+    return f"{t // 10}.{t % 10}"
+
+
+def percent(a: int, b: int) -> str:
+    return f"{tenths(100 * a, b)} %"
+
+
+def health_report(title: str, imbalance_row: dict, concentrated: list[str], skewed: list[str], flagged: list[str] | None = None, labels: list[tuple[str, int, int, int]] | None = None) -> str:
+    """Markdown from small collected frames: a warning or an all-clear in each section; the last ones only if given.
+
+    ``labels`` has label, rows, real and synthetic ones; total, mean, shares and a table by label come from it.
+    """
     section = lambda name, found, clear: ["", f"## {name}", "", *([f"- warning: {x}" for x in found] or [f"- {clear}"])]
     lines = [f"# {title}", "", "## Imbalance", "", f"- largest: {imbalance_row['largest']} ({imbalance_row['largest_n']})", f"- smallest: {imbalance_row['smallest']} ({imbalance_row['smallest_n']})", f"- ratio: {round(imbalance_row['ratio'] or 0, 2)}"]
     lines += section("Source concentration", concentrated, "no label leans on one source") + section("Skew", skewed, "no label stands out")
     if flagged is not None:
         lines += section("Flagged items", flagged, "no label has many")
-    if composition is not None:
-        lines += ["", "## Composition", "", *[f"- {k}: {v}" for k, v in composition.items()]]
+    if labels is not None:
+        total, real, synthetic = (sum(r[i] for r in labels) for i in (1, 2, 3))
+        lines += ["", "## Composition", "", f"- all: {total}", f"- mean per label: {tenths(total, len(labels))}", f"- real: {real} ({percent(real, total)})", f"- synthetic: {synthetic} ({percent(synthetic, total)})"]
+        lines += ["", "## Labels", "", "| label | items | share | real | synthetic |", "|-|-|-|-|-|", *[f"| {k} | {n} | {percent(n, total)} | {percent(r, n)} | {percent(s, n)} |" for k, n, r, s in sorted(labels)]]
     return "\n".join(lines) + "\n"

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from sievework.functions import hashing, images, names
 from sievework.operators import access, dedup, federate, quality, reconcile, select, split, stats
-from sievework.sources import files, infer
+from sievework.sources import chunks, files, infer, sheets, versions
 from sievework.sources.schemas import SPLIT_SHARES, STATUSES, SUFFIXES
 from sievework.sources.shared import arrow_rows, cut, new_path, table
 from sievework.streaming import ingest
@@ -516,16 +516,24 @@ def _warned_sql(name: str, clear: str) -> str:
     return f"(SELECT coalesce(string_agg('- warning: ' || label, chr(10) ORDER BY label), '- {clear}') FROM ({ORACLES[name]}) WHERE flagged)"
 
 
+def _tenths_sql(a: str, b: str) -> str:
+    t = f"((20 * {a} + {b}) // (2 * {b}))::BIGINT"
+    return f"({t} // 10 || '.' || {t} % 10)"
+
+
 @query(f"""SELECT concat_ws(chr(10), '# Collection health', '', '## Imbalance', '', '- largest: ' || i.largest || ' (' || i.largest_n || ')', '- smallest: ' || i.smallest || ' (' || i.smallest_n || ')', '- ratio: ' || round(i.ratio, 2),
     '', '## Source concentration', '', {_warned_sql('source_concentration', 'no label leans on one source')}, '', '## Skew', '', {_warned_sql('size_skew', 'no label stands out')},
-    '', '## Flagged items', '', {_warned_sql('flag_skew', 'no label has many')}, '', '## Composition', '', '- all: ' || c.n, '- real: ' || c."real", '- synthetic: ' || c.synthetic, '') AS report
-  FROM ({ORACLES['imbalance']}) i, (SELECT sum(n)::BIGINT AS n, sum("real")::BIGINT AS "real", sum(synthetic)::BIGINT AS synthetic FROM ({ORACLES['real_vs_synthetic']})) c""")
+    '', '## Flagged items', '', {_warned_sql('flag_skew', 'no label has many')}, '', '## Composition', '', '- all: ' || c.n, '- mean per label: ' || {_tenths_sql('c.n', 'c.k')}, '- real: ' || c."real" || ' (' || {_tenths_sql('100 * c."real"', 'c.n')} || ' %)',
+    '- synthetic: ' || c.synthetic || ' (' || {_tenths_sql('100 * c.synthetic', 'c.n')} || ' %)', '', '## Labels', '', '| label | items | share | real | synthetic |', '|-|-|-|-|-|', t.lines, '') AS report
+  FROM ({ORACLES['imbalance']}) i, (SELECT count(*) AS k, sum(n)::BIGINT AS n, sum("real")::BIGINT AS "real", sum(synthetic)::BIGINT AS synthetic FROM ({ORACLES['real_vs_synthetic']})) c,
+    (SELECT string_agg('| ' || coalesce(label, 'unknown') || ' | ' || n || ' | ' || {_tenths_sql('100 * n', 'whole')} || ' % | ' || {_tenths_sql('100 * "real"', 'n')} || ' % | ' || {_tenths_sql('100 * synthetic', 'n')} || ' % |', chr(10) ORDER BY coalesce(label, 'unknown')) AS lines
+      FROM (SELECT *, (sum(n) OVER ())::BIGINT AS whole FROM ({ORACLES['real_vs_synthetic']}))) t""")
 def health_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A Markdown report, formatted on the driver from frames of one row a label."""
     row = imbalance(spark, sf_dir).first().asDict()
     warned = [sorted(str(r["label"]) for r in q(spark, sf_dir).where("flagged").select("label").collect()) for q in (source_concentration, size_skew, flag_skew)]
-    whole = real_vs_synthetic(spark, sf_dir).agg(F.sum("n").alias("all"), F.sum("real").alias("real"), F.sum("synthetic").alias("synthetic")).first().asDict()
-    return spark.createDataFrame([(stats.health_report("Collection health", row, *warned, whole),)], "report string")
+    labels = [(r["label"] or "unknown", r["n"], r["real"], r["synthetic"]) for r in real_vs_synthetic(spark, sf_dir).collect()]
+    return spark.createDataFrame([(stats.health_report("Collection health", row, *warned, labels),)], "report string")
 
 
 # -- tables at the edges, lookups ------------------------------------------------------------
@@ -576,11 +584,12 @@ def move_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {CHECK}, v AS (SELECT 'before' AS version, old_flag AS flag FROM k UNION ALL SELECT 'after', new_flag FROM k)
   SELECT version, count(*) AS n, count(*) FILTER (WHERE flag) AS flagged FROM v GROUP BY 1""")
 def rewritten_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A corrected table is a new version in its own folder; what it replaces stays and can be read."""
-    rows = _rechecked(spark, sf_dir)
-    before = cut(rows.select("doc_id", F.col("old_flag").alias("flag")), "flags-before")
-    after = cut(before.join(rows.select("doc_id", "new_flag"), "doc_id").select("doc_id", F.col("new_flag").alias("flag")), "flags-after")
-    both = before.withColumn("version", F.lit("before")).unionByName(after.withColumn("version", F.lit("after")))
+    """A corrected table is published as a whole; what it replaces stays and can be read."""
+    rows, where = _rechecked(spark, sf_dir), new_path(spark, "flags")
+    first = versions.publish(rows.select("doc_id", F.col("old_flag").alias("flag")), where)
+    before = versions.read(spark, where)
+    versions.publish(before.join(rows.select("doc_id", "new_flag"), "doc_id").select("doc_id", F.col("new_flag").alias("flag")), where, replaces=first)
+    both = versions.read(spark, where, first).withColumn("version", F.lit("before")).unionByName(versions.read(spark, where).withColumn("version", F.lit("after")))
     return both.groupBy("version").agg(F.count(F.lit(1)).alias("n"), F.count_if("flag").alias("flagged"))
 
 
@@ -636,6 +645,35 @@ def csv_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return infer.typed(_sheet(spark, sf_dir)).withColumn("day", F.dayofyear("day"))
 
 
+@query("""WITH s AS (SELECT DISTINCT source FROM documents WHERE source IS NOT NULL), l AS (SELECT DISTINCT lang FROM documents WHERE lang IS NOT NULL), c AS (SELECT source, lang, count(*) AS n FROM documents GROUP BY 1, 2)
+  SELECT s.source AS dataset, l.lang AS label, CASE WHEN coalesce(c.n, 0) % 7 = 0 THEN 0 ELSE coalesce(c.n, 0) END AS n FROM s CROSS JOIN l LEFT JOIN c ON c.source = s.source AND c.lang = l.lang""")
+def sheet_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of a sheet with lines before its header, a blank column, ragged lines and unreadable cells."""
+    c = table(spark, sf_dir, "documents").where("source is not null and lang is not null").groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"))
+    sources = sorted(r["source"] for r in c.select("source").distinct().collect())
+    cell = lambda s: F.when(F.col(s) % 7 == 0, "_").otherwise(F.coalesce(F.col(s).cast("string"), F.lit("")))
+    quoted = F.concat(F.lit('"'), F.replace("lang", F.lit('"'), F.lit('""')), F.lit('"'))
+    body = c.groupBy("lang").pivot("source", sources).agg(F.first("n")).select(F.lit(2).alias("k"), F.concat_ws(",", F.lit(""), quoted, cell(sources[0]), F.lit("99"), *[cell(s) for s in sources[1:]]).alias("value")) if sources else c.select(F.lit(2), "lang").limit(0)
+    first = [(0, "Images per set"), (0, ",,"), (0, "src0,Names,of Breed"), (1, ",".join(["", sheets.MARK, *sources[:1], "  ", *sources[1:]])), (3, ",,5,5"), (3, "")]
+    where = new_path(spark, "matrix")
+    spark.createDataFrame(first, "k int, value string").union(body).coalesce(1).sortWithinPartitions("k").select("value").write.text(where)
+    return sheets.matrix_counts(spark, where).select("dataset", "label", "n")
+
+
+@query("""WITH f AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents), b AS (SELECT doc_id, k, sha256(unhex(substr(h, k * 2000 + 1, 2000))) AS d FROM (SELECT *, unnest(range(greatest(1, (length(h) + 1999) // 2000))) AS k FROM f)),
+    p AS (SELECT doc_id, k // 8 AS k, count(*) AS n, sha256(unhex(string_agg(d, '' ORDER BY k))) AS d FROM b GROUP BY 1, k // 8), q AS (SELECT doc_id, k // 8 AS k, sum(n) AS n, sha256(unhex(string_agg(d, '' ORDER BY k))) AS d FROM p GROUP BY 1, k // 8),
+    r AS (SELECT doc_id, k // 8 AS k, sum(n) AS n, sha256(unhex(string_agg(d, '' ORDER BY k))) AS d FROM q GROUP BY 1, k // 8)
+  SELECT doc_id, w::BIGINT AS blocks, d AS digest FROM (SELECT *, sum(n) OVER (PARTITION BY doc_id, lev) AS w FROM (SELECT *, 0 AS lev FROM p UNION ALL SELECT *, 1 FROM q UNION ALL SELECT *, 2 FROM r)) WHERE lev = CASE WHEN w <= 8 THEN 0 WHEN w <= 64 THEN 1 ELSE 2 END""")
+def chunk_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of files that are read by byte ranges, here of small blocks and a small fan."""
+    root = new_path(spark, "bytes")
+    d = table(spark, sf_dir, "documents").select(F.concat(F.lit(f"{root}/"), (F.col("doc_id") % 13).cast("string"), F.lit("/"), F.col("doc_id").cast("string")).alias("path"), F.coalesce("text", F.lit("")).alias("content"))
+    files.write_files(d, "path", "content")
+    listed = files.list_folders(spark, {"bytes": root}).where("name is not null").select(F.concat_ws("/", "root", "folder", "name").alias("path"), "size")
+    found = chunks.file_digests(cut(listed, "listed"), "path", "size", block=1000, at_once=3, fan=8)
+    return found.select(F.element_at(F.split("path", "/"), -1).cast("long").alias("doc_id"), "blocks", "digest")
+
+
 LINES = """lines AS (SELECT doc_id, n_chars, lang, CASE doc_id % 9 WHEN 0 THEN doc_id || ',' || n_chars WHEN 1 THEN doc_id || ',x' || n_chars || ',a' WHEN 2 THEN doc_id || ',' || n_chars || ',a,b' WHEN 3 THEN doc_id || ',"' || n_chars || ',a'
     WHEN 4 THEN doc_id || ',' || n_chars || ',"a, ""b"" c"' ELSE doc_id || ',' || n_chars || ',' || coalesce(lang, '') END AS line FROM documents)"""
 
