@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,11 +26,35 @@ def collisions(df: DataFrame, hash_: str, label: str) -> DataFrame:
     return df.join(several, hash_, "left_semi")
 
 
-def bands(hash_: Column, n: int) -> Column:
-    """``n`` slices of 64 bits as (band, value): hashes that differ in fewer than ``n`` bits agree on one (pigeonhole)."""
+#: Ways to cut a hash, as (slices, bits that may differ in a slice).
+CUTS = ((9, 0), (5, 0), (5, 1), (3, 1), (3, 2), (2, 2))
+
+
+def cut_for(most: int, rows: int) -> tuple[int, int]:
+    """The cheapest of ``CUTS`` that loses no pair at most ``most`` bits apart.
+
+    ``n`` slices with ``r`` differing bits hold all pairs up to n (r + 1) - 1 bits apart (pigeonhole). Wide slices with
+    near values looked up cost more rows but hold ever fewer pairs that aren't near, so they win as rows grow.
+    """
+
+    def cost(n: int, r: int) -> float:
+        width = 64 // n
+        values = n * sum(math.comb(width, k) for k in range(r + 1))
+        return rows * values + rows * rows * values / 2**width / 2
+
+    return min(((n, r) for n, r in CUTS if n * (r + 1) > most), key=lambda c: cost(*c), default=(most + 1, 0))
+
+
+def bands(hash_: Column, n: int, near: int = 0) -> Column:
+    """``n`` slices of 64 bits as (band, value), with all values at most ``near`` bits from the slice's own."""
     edges = [i * 64 // n for i in range(n + 1)]
     part = lambda i: F.shiftrightunsigned(F.shiftleft(hash_, 64 - edges[i + 1]), 64 - edges[i + 1] + edges[i])
-    return F.array(*[F.struct(F.lit(i).alias("band"), part(i).alias("value")) for i in range(n)])
+    if not near:
+        return F.array(*[F.struct(F.lit(i).alias("band"), part(i).alias("value")) for i in range(n)])
+    flips = lambda width: [sum(1 << k for k in c) for r in range(near + 1) for c in combinations(range(width), r)]
+    masks = lambda i: F.expr("array(" + ", ".join(f"{m}L" for m in flips(edges[i + 1] - edges[i])) + ")")
+    around = lambda i: F.transform(masks(i), lambda m: F.struct(F.lit(i).alias("band"), part(i).bitwiseXOR(m).alias("value")))
+    return F.concat(*[around(i) for i in range(n)])
 
 
 def hash_classes(df: DataFrame, hashes: list[str], label: str, order: str) -> DataFrame:
@@ -35,29 +62,38 @@ def hash_classes(df: DataFrame, hashes: list[str], label: str, order: str) -> Da
     return df.groupBy(label, *hashes).agg(F.min(order).alias("rep"), F.count(F.lit(1)).alias("members"))
 
 
-def near_pairs(classes: DataFrame, label: str, most: int, hash_: str = "hash", flipped: str | None = None, banded: bool = True) -> DataFrame:
+def near_pairs(classes: DataFrame, label: str, most: int, hash_: str = "hash", flipped: str | None = None, banded: bool = True, cut_by: tuple[int, int] | None = None) -> DataFrame:
     """``label, rep_a, rep_b, distance`` of classes of one label at most ``most`` bits apart, the earlier first.
 
     With ``flipped`` the distance is the smaller of the plain one and that of a's mirrored hash to
-    b's plain one. Classes meet on bands, so a label's pairs are not all compared; with
-    ``banded`` off they are, for thresholds where bands would hold almost nothing apart.
+    b's plain one. Classes meet on bands, cut as their number asks for (or by ``cut_by``), so a label's pairs are not all
+    compared; with ``banded`` off they are, for thresholds where bands would hold almost nothing apart.
     """
     cols = [c for c in (hash_, flipped) if c]
     a = classes.select(label, F.col("rep").alias("rep_a"), *[F.col(c).alias(f"a_{c}") for c in cols])
     b = classes.select(F.col(label).alias("_l"), F.col("rep").alias("rep_b"), F.col(hash_).alias("b_hash"))
     on = F.col(label).eqNullSafe(F.col("_l")) & (F.col("rep_a") < F.col("rep_b"))
     if banded:
+        n, near = cut_by or cut_for(most, classes.count())
         # a mirrored hash looks for its partners too
-        probes = F.array_union(*[bands(F.col(f"a_{c}"), most + 1) for c in cols]) if flipped else bands(F.col(f"a_{hash_}"), most + 1)
+        probes = F.array_union(*[bands(F.col(f"a_{c}"), n, near) for c in cols]) if flipped else bands(F.col(f"a_{hash_}"), n, near)
         a = a.select("*", F.explode(probes).alias("_x"))
-        b = b.select("*", F.explode(bands(F.col("b_hash"), most + 1)).alias("_y"))
+        b = b.select("*", F.explode(bands(F.col("b_hash"), n)).alias("_y"))
         on &= F.col("_x") == F.col("_y")
     d = F.least(*[hamming(F.col(f"a_{c}"), F.col("b_hash")) for c in cols]) if flipped else hamming(F.col(f"a_{hash_}"), F.col("b_hash"))
     met = a.join(b, on).select(label, "rep_a", "rep_b", d.alias("distance")).where(F.col("distance") <= most)
     return met.distinct() if banded else met
 
 
-def links(classes: DataFrame, label: str, most: int, hash_: str = "hash") -> DataFrame:
+def degrees(classes: DataFrame, pairs: DataFrame, members: str = "members") -> DataFrame:
+    """``rep, links``: how many rows of other classes each class' rows are linked with, for every class."""
+    size = classes.select(F.col("rep").alias("_r"), F.col(members).alias("_m"))
+    ends = pairs.select(F.col("rep_a").alias("rep"), F.col("rep_b").alias("_other")).union(pairs.select("rep_b", "rep_a"))
+    linked = ends.join(size, F.col("_other") == F.col("_r")).groupBy("rep").agg(F.sum("_m").alias("links"))
+    return classes.select("rep").join(linked, "rep", "left").select("rep", F.coalesce("links", F.lit(0)).cast("long").alias("links"))
+
+
+def links(classes: DataFrame, label: str, most: int, hash_: str = "hash", cut_by: tuple[int, int] | None = None) -> DataFrame:
     """``rep_a, rep_b``: near pairs enough to give the components of all of them.
 
     Each class is compared with the first of its bands' lists; only pairs of a list that this has left in
@@ -65,7 +101,8 @@ def links(classes: DataFrame, label: str, most: int, hash_: str = "hash") -> Dat
     copy, not one a pair.
     """
     named = F.coalesce(F.concat(F.lit("="), F.col(label).cast("string")), F.lit(""))
-    lists = classes.select(named.alias("_l"), F.col("rep").alias("_rep"), F.col(hash_).alias("_h"), F.explode(bands(F.col(hash_), most + 1)).alias("_x"))
+    n, near = cut_by or cut_for(most, classes.count())
+    lists = classes.select(named.alias("_l"), F.col("rep").alias("_rep"), F.col(hash_).alias("_h"), F.explode(bands(F.col(hash_), n, near)).alias("_x"))
     heads = cut(lists.groupBy("_l", "_x").agg(F.min(F.struct("_rep", "_h")).alias("_head"), F.count(F.lit(1)).alias("_c")).where("_c > 1"), "heads")
     met = cut(lists.join(heads, (lists["_l"] == heads["_l"]) & (lists["_x"] == heads["_x"])).select(lists["_l"], lists["_x"], "_rep", "_h", "_head"), "lists")
     star = met.where((F.col("_rep") != F.col("_head._rep")) & (hamming(F.col("_h"), F.col("_head._h")) <= most)).select(F.col("_head._rep").alias("rep_a"), F.col("_rep").alias("rep_b")).distinct()

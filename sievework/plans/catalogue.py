@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from sievework.functions import hashing, images, names
 from sievework.operators import access, dedup, federate, quality, reconcile, select, split, stats
+from sievework.operators.joins import same_keys
 from sievework.sources import chunks, files, infer, sheets, versions
 from sievework.sources.schemas import SPLIT_SHARES, STATUSES, SUFFIXES
 from sievework.sources.shared import arrow_rows, cut, new_path, table
@@ -290,6 +291,20 @@ def near_dup_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("kind", F.when(F.col("distance") <= dedup.TIGHT, "tight").otherwise("loose"))
 
 
+@query(f"""WITH {SIMHASH}, ends AS (SELECT rep_a AS rep, rep_b AS other, distance FROM pairs UNION ALL SELECT rep_b, rep_a, distance FROM pairs),
+  n AS (SELECT e.rep, coalesce(sum(k.members) FILTER (WHERE distance <= 4), 0)::BIGINT AS tight, coalesce(sum(k.members) FILTER (WHERE distance > 4), 0)::BIGINT AS loose FROM ends e JOIN classes k ON k.rep = e.other GROUP BY 1)
+  SELECT h.ord, h.label, k.rep AS class_id, k.members, coalesce(n.tight, 0) AS tight, coalesce(n.loose, 0) AS loose FROM hashed h JOIN classes k ON k.label IS NOT DISTINCT FROM h.label AND k.hash = h.hash LEFT JOIN n ON n.rep = k.rep""")
+def near_dup_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document with its class of equal hashes and how many documents of other classes it is linked with: a row a document, however many are alike."""
+    d = _simhashed(spark, sf_dir)
+    classes = cut(dedup.hash_classes(d, ["hash"], "label", "ord"), "classes")
+    found = cut(dedup.near_pairs(classes, "label", dedup.LOOSE), "near")
+    tight = dedup.degrees(classes, found.where(F.col("distance") <= dedup.TIGHT)).withColumnRenamed("links", "tight")
+    loose = dedup.degrees(classes, found.where(F.col("distance") > dedup.TIGHT)).withColumnRenamed("links", "loose")
+    facts = classes.join(tight, "rep").join(loose, "rep").select("label", "hash", F.col("rep").alias("class_id"), "members", "tight", "loose")
+    return same_keys(d.select("ord", "label", "hash"), facts, ["label", "hash"]).drop("hash")
+
+
 @query(f"WITH {SIMHASH} SELECT label, rep_a, rep_b, distance FROM pairs WHERE distance > 4")
 def loose_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup_pairs(spark, sf_dir).where("kind = 'loose'").drop("kind")

@@ -56,3 +56,36 @@ def test_simhash_of_short_and_null_texts(spark):
     assert set(got) == {1, 2, 3, 4, 5} and got[4] == got[5] and got[1] == got[2]
     # a text of fewer words is one gram
     assert got[3] == signed(int.from_bytes(md5(b"a b").digest()[:8])) and got[4] == signed(int.from_bytes(md5(b"a b c").digest()[:8]))
+
+
+def test_wide_slices_with_near_values_lose_no_pair(spark):
+    rng = random.Random(4)
+    base = [rng.getrandbits(64) for _ in range(40)]
+    hashes = base + [b ^ sum(1 << k for k in rng.sample(range(64), rng.randrange(1, 11))) for b in base for _ in range(6)]
+    signed = [h - (1 << 64) if h >> 63 else h for h in dict.fromkeys(hashes)]
+    rows = [(i, "a" if i % 5 else None, h, 1) for i, h in enumerate(signed)]
+    classes = spark.createDataFrame(rows, "rep long, label string, hash long, members long")
+    apart = {(i, j): bin((h ^ g) & (1 << 64) - 1).count("1") for i, k, h, _ in rows for j, m, g, _ in rows if i < j and k == m}
+    for most in (4, 8):
+        want = {p: d for p, d in apart.items() if d <= most}
+        for n, r in dedup.CUTS:
+            if n * (r + 1) > most and r < 3:
+                got = {(x["rep_a"], x["rep_b"]): x["distance"] for x in dedup.near_pairs(classes, "label", most, cut_by=(n, r)).collect()}
+                assert got == want
+
+    def joined(pairs):
+        root = {i: i for i, *_ in rows}
+        for _ in rows:
+            for i, j in pairs:
+                root[i] = root[j] = min(root[i], root[j])
+        return root
+
+    tight = [p for p, d in apart.items() if d <= 4]
+    for way in ((5, 0), (3, 1)):
+        found = [(x["rep_a"], x["rep_b"]) for x in dedup.links(classes, "label", 4, cut_by=way).collect()]
+        assert set(found) <= set(tight) and joined(found) == joined(tight)
+    # few rows are cut narrowly, very many widely
+    assert dedup.cut_for(4, 1000) == (5, 0) and dedup.cut_for(8, 1000)[1] == 0
+    assert dedup.cut_for(4, 10**9)[1] > 0 and dedup.cut_for(8, 10**9)[1] > 0 and dedup.cut_for(20, 10) == (21, 0)
+    got = {r["rep"]: r["links"] for r in dedup.degrees(classes.where("rep < 3"), spark.createDataFrame([(0, 1)], "rep_a long, rep_b long")).collect()}
+    assert got == {0: 1, 1: 1, 2: 0}
