@@ -819,21 +819,22 @@ def cluster_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split.cluster_map(files, marks, "path", "ord").select("path", "cluster_key")
 
 
-def _fold_sql(rows: str, strata: str, bins: list[tuple[str, str]], shares: str = "") -> str:
-    """CTEs that replay the fold cluster by cluster: ``dealt`` has a bin for each cluster. ``bins``: name and target; ``shares``: a join that targets need."""
+def _fold_sql(rows: str, strata: str, bins: list[tuple[str, str]], shares: str = "", tag: str = "") -> str:
+    """CTEs that replay the fold cluster by cluster: ``dealt`` has a bin for each cluster. ``bins``: name and target; ``shares``: a join that targets need; ``tag``
+    ends the CTEs' names, of which one statement may hold two sets."""
     n, s = len(bins), [x.strip() for x in strata.split(",")]
     on = lambda a, b: " AND ".join(f"{a}.{x} IS NOT DISTINCT FROM {b}.{x}" for x in s)
     best = "CASE " + " ".join(f"WHEN {' AND '.join(f'a{i} / t{i} <= a{j} / t{j}' for j in range(n) if j != i)} THEN {i}" for i in range(n)) + " END"
-    return f"""cl AS (SELECT {strata}, cluster_key, count(*) AS size FROM {rows} GROUP BY ALL),
-  tot AS (SELECT {', '.join(f'totals.{x}' for x in s)}, {', '.join(f'{t} AS t{i}' for i, (_, t) in enumerate(bins))} FROM (SELECT {strata}, sum(size)::DOUBLE AS total FROM cl GROUP BY ALL) AS totals {shares}),
-  seq AS (SELECT *, row_number() OVER (PARTITION BY {strata} ORDER BY size, md5('42:' || cluster_key), cluster_key) AS k FROM cl),
-  fold AS (SELECT {', '.join(f'tot.{x}' for x in s)}, 0::BIGINT AS k, 0::BIGINT AS size, -1 AS bin, {', '.join(f'0::DOUBLE AS a{i}' for i in range(n))} FROM tot
+    return f"""cl{tag} AS (SELECT {strata}, cluster_key, count(*) AS size FROM {rows} GROUP BY ALL),
+  tot{tag} AS (SELECT {', '.join(f'totals.{x}' for x in s)}, {', '.join(f'{t} AS t{i}' for i, (_, t) in enumerate(bins))} FROM (SELECT {strata}, sum(size)::DOUBLE AS total FROM cl{tag} GROUP BY ALL) AS totals {shares}),
+  seq{tag} AS (SELECT *, row_number() OVER (PARTITION BY {strata} ORDER BY size, md5('42:' || cluster_key), cluster_key) AS k FROM cl{tag}),
+  fold{tag} AS (SELECT {', '.join(f'tot{tag}.{x}' for x in s)}, 0::BIGINT AS k, 0::BIGINT AS size, -1 AS bin, {', '.join(f'0::DOUBLE AS a{i}' for i in range(n))} FROM tot{tag}
     UNION ALL SELECT {', '.join(f'p.{x}' for x in s)}, p.k, p.size, p.bin, {', '.join(f'p.a{i} + CASE WHEN p.bin = {i} THEN p.size ELSE 0 END' for i in range(n))} FROM
-      (SELECT {', '.join(f'f.{x}' for x in s)}, q.k, q.size, {', '.join(f'f.a{i}' for i in range(n))}, {best} AS bin FROM fold f JOIN seq q ON {on('q', 'f')} AND q.k = f.k + 1 JOIN tot ON {on('tot', 'f')}) p),
-  took AS (SELECT {strata}, size, bin, count(*) AS c FROM fold WHERE k > 0 GROUP BY ALL),
-  upto AS (SELECT *, sum(c) OVER (PARTITION BY {strata}, size ORDER BY bin) AS hi FROM took),
-  spot AS (SELECT *, row_number() OVER (PARTITION BY {strata}, size ORDER BY md5('42:' || cluster_key), cluster_key) AS r FROM cl),
-  dealt AS (SELECT {', '.join(f'x.{c}' for c in s)}, x.cluster_key, x.size, u.bin FROM spot x JOIN upto u ON {on('u', 'x')} AND u.size = x.size AND x.r <= u.hi AND x.r > u.hi - u.c)"""
+      (SELECT {', '.join(f'f.{x}' for x in s)}, q.k, q.size, {', '.join(f'f.a{i}' for i in range(n))}, {best} AS bin FROM fold{tag} f JOIN seq{tag} q ON {on('q', 'f')} AND q.k = f.k + 1 JOIN tot{tag} ON {on('tot' + tag, 'f')}) p),
+  took{tag} AS (SELECT {strata}, size, bin, count(*) AS c FROM fold{tag} WHERE k > 0 GROUP BY ALL),
+  upto{tag} AS (SELECT *, sum(c) OVER (PARTITION BY {strata}, size ORDER BY bin) AS hi FROM took{tag}),
+  spot{tag} AS (SELECT *, row_number() OVER (PARTITION BY {strata}, size ORDER BY md5('42:' || cluster_key), cluster_key) AS r FROM cl{tag}),
+  dealt{tag} AS (SELECT {', '.join(f'x.{c}' for c in s)}, x.cluster_key, x.size, u.bin FROM spot{tag} x JOIN upto{tag} u ON {on('u', 'x')} AND u.size = x.size AND x.r <= u.hi AND x.r > u.hi - u.c)"""
 
 
 SPLIT = f"""{CLUSTERS}, rows AS (SELECT c.ord, c.label, coalesce(l.toxic, 0) = 1 AS flag, c.cluster_id AS cluster_key FROM clustered c LEFT JOIN labels l ON l.doc_id = c.ord),
@@ -908,6 +909,21 @@ def client_crosstab(spark: SparkSession, sf_dir: str) -> DataFrame:
     return federate.distribution(_iid(spark, sf_dir), "label")
 
 
+HANDED = f"""{SPLIT}, train AS (SELECT ord, label, cluster_key FROM parted WHERE split = 'train'),
+  {_fold_sql('train', 'label', [(str(i), f'total / {CLIENTS}') for i in range(CLIENTS)], tag='2')},
+  handed AS (SELECT r.ord, r.label, r.cluster_key, d.bin::INT AS client_id FROM train r JOIN dealt2 d ON d.label IS NOT DISTINCT FROM r.label AND d.cluster_key = r.cluster_key)"""
+
+
+@query(f"WITH RECURSIVE {HANDED} SELECT position, ord, label, cluster_key FROM (SELECT row_number() OVER (ORDER BY ord) - 1 AS position, ord, label, cluster_key FROM handed WHERE client_id = 1) WHERE position % 3 = 1")
+def client_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A client's items of the training part that the split itself gives, read back by position."""
+    train = access.subset(_parted(spark, sf_dir), split="Train").select("ord", "label", "cluster_key")
+    handed = federate.assign(train, "label", "cluster_key", lambda c, label, n: federate.iid_targets(c, label, n, CLIENTS))
+    mine, where = cut(access.subset(handed, client=1).drop("client_id"), "handed"), new_path(spark, "items")
+    access.write_index(mine, ["ord"], where, per_file=1 << 10)
+    return access.items_of(spark, where, spark.range(1, mine.count(), 3).select(F.col("id").alias("position")), "position")
+
+
 def _uniform_sql(key: str) -> str:
     return f"((('0x' || substr(md5('42:' || coalesce(label, '\\N') || ':' || i || ':' || {key}), 1, 13))::UBIGINT::DOUBLE + 0.5) / 4503599627370496.0)"
 
