@@ -78,6 +78,25 @@ TEMPLATES = {
         "arising from out of or in connection with the software or the use or other dealings in the software",
         "all copies or substantial portions of the software",
     ),
+    # how the licence texts themselves begin
+    "agpl": ("under the terms of the gnu affero general public license as published by the free software foundation", "gnu affero general public license"),
+    "agpl-3.0-text": ("gnu affero general public license version 3 19 november 2007 copyright c 2007 free software foundation inc", "gnu affero general public license version 3"),
+    "apache-2.0-text": (
+        "apache license version 2 0 january 2004 http www apache org licenses terms and conditions for use reproduction and distribution 1 definitions "
+        "license shall mean the terms and conditions for use reproduction and distribution as defined by sections 1 through 9 of this document",
+        "terms and conditions for use reproduction and distribution",
+    ),
+    "cc-by-4.0-text": ("creative commons attribution 4 0 international public license by exercising the licensed rights defined below", "attribution 4 0 international public license"),
+    "cc-by-nc-4.0-text": ("creative commons attribution noncommercial 4 0 international public license by exercising the licensed rights defined below", "attribution noncommercial 4 0 international public license"),
+    "cc-by-sa-4.0-text": ("creative commons attribution sharealike 4 0 international public license by exercising the licensed rights defined below", "attribution sharealike 4 0 international public license"),
+    "gpl-2.0-text": ("gnu general public license version 2 june 1991 copyright c 1989 1991 free software foundation inc", "gnu general public license version 2 june 1991"),
+    "gpl-3.0-text": ("gnu general public license version 3 29 june 2007 copyright c 2007 free software foundation inc", "gnu general public license version 3 29 june 2007"),
+    "lgpl-2.1-text": ("gnu lesser general public license version 2 1 february 1999 copyright c 1991 1999 free software foundation inc", "gnu lesser general public license version 2 1"),
+    "lgpl-3.0-text": ("gnu lesser general public license version 3 29 june 2007 copyright c 2007 free software foundation inc", "gnu lesser general public license version 3"),
+    "mpl-2.0-text": (
+        "mozilla public license version 2 0 1 definitions 1 1 contributor means each individual or legal entity that creates contributes to the creation of or owns covered software",
+        "contributes to the creation of or owns covered software",
+    ),
     "wtfpl": ("everyone is permitted to copy and distribute verbatim or modified copies of this license document and changing it is allowed as long as the name is changed", "changing it is allowed as long as the name is changed"),
     "zlib": (
         "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from the use of this software "

@@ -340,3 +340,21 @@ def test_rows_that_share_an_id_are_mixed_each_for_itself(spark):
     # every copy holds words of its own row from the first on
     assert all(any(r["doc_id"] == i and r["size"] == z and (t or "").startswith(r["text"]) for i, t, _, z in rows) for r in got)
     assert sorted(map(str, mixing.mixture(df.repartition(4)).collect())) == sorted(map(str, got))
+
+
+def test_the_heads_of_licence_texts_are_known(spark):
+    heads = {
+        "mpl-2.0-text": "Mozilla Public License Version 2.0\n==================================\n\n1. Definitions\n--------------\n\n1.1. \"Contributor\"\n    means each individual or legal entity that creates, contributes to\n    the creation of, or owns Covered Software.",
+        "cc-by-sa-4.0-text": "Creative Commons Attribution-ShareAlike 4.0 International Public License\n\nBy exercising the Licensed Rights (defined below), You accept and agree to be bound by the terms",
+        "agpl": "it under the terms of the GNU Affero General Public License as published by\nthe Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+        "gpl-3.0-text": "                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n Copyright (C) 2007 Free Software Foundation, Inc. <https://fsf.org/>",
+        "lgpl-3.0-text": "                   GNU LESSER GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n Copyright (C) 2007 Free Software Foundation, Inc.",
+        "apache-2.0-text": "Apache License\nVersion 2.0, January 2004\nhttp://www.apache.org/licenses/\n\nTERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION\n\n1. Definitions.\n\n\"License\" shall mean the terms and conditions for use, reproduction,\nand distribution as defined by Sections 1 through 9 of this document.",
+    }
+    rng = random.Random(8)
+    plain = [" ".join(rng.choices(["river", "stone", "the", "of", "walks", "public", "license", "version"], k=60)) for _ in range(40)]
+    texts = [*heads.values(), *plain]
+    got = {r["doc_id"]: r["labels"].split(",") for r in license_scan.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), ["doc_id"]).collect()}
+    for i, label in enumerate(heads):
+        assert label in got[i], (label, got[i])
+    assert not any(x for i in range(len(heads), len(texts)) for x in got[i] if x)
