@@ -3,11 +3,12 @@
 Over a text's words, a run of ``K`` words is an anchor if, among its inner runs of ``S`` words, the
 one with the smallest hash stands first or last. Whether a run is an anchor depends on that run
 alone, so equal passages have equal anchors wherever they stand. A fingerprint lists all of a text's anchors:
-each 32-bit hash with the place of its first word, in order of places; of anchors with equal hashes the first.
+each 32-bit hash with the place of its first word, in order of places. An anchor that repeats is listed each time.
 
-The likeness of two fingerprints matches anchors by position: an anchor counts as common if both have its hash and
-another common one stands at the same relative position (so a passage must agree in two anchors at least; one is enough if
-either text has no more). The likeness is the share of common anchors among all of both.
+The likeness of two fingerprints matches anchors by position, as multisets: the first place of a hash in one text meets its first
+place in the other, the second meets the second, and so on. Such a pair is common if another pair stands at the same relative
+position (so a passage must agree in two anchors at least; one is enough if either text has no more). The likeness is the
+number of common pairs over that of all anchors of both less the common pairs, so content that stands more often in one text lowers it.
 
 Defined results: a null text is empty; a text without words has an empty fingerprint, alike
 only to another empty one. A text of fewer than ``K`` words has one anchor, its whole word
@@ -52,12 +53,17 @@ def with_anchors(rows: DataFrame, text: str, name: str = "anchors") -> DataFrame
 
 
 def with_fingerprint(rows: DataFrame, text: str, name: str) -> DataFrame:
-    """Add ``name``: an array of (h, p), the distinct 32-bit anchor hashes in their order with their first places."""
+    """Add ``name``: an array of (h, o, p), all anchors in order of 32-bit hash and place; ``o`` counts the places of each hash from 0."""
     old = rows.columns
     rows = with_anchors(rows, text, "_anchors")
     low = F.transform("_anchors", lambda x: F.struct(x["hash"].bitwiseAND(F.lit(0xFFFFFFFF)).alias("h"), x["pos"].alias("p")))
     rows = rows.select(*old, F.sort_array(low).alias("_sorted"))
-    return rows.select(*old, F.filter("_sorted", lambda x, i: F.coalesce(F.get("_sorted", i - 1)["h"] != x["h"], F.lit(True))).alias(name))
+    first = F.transform("_sorted", lambda x, i: F.when(F.coalesce(F.get("_sorted", i - 1)["h"] != x["h"], F.lit(True)), i))
+    rows = rows.select(*old, "_sorted", F.filter(first, lambda i: i.isNotNull()).alias("_starts"))
+    # the runs of equal hashes, each counted through
+    run = lambda i, j: F.slice("_sorted", i + 1, F.coalesce(F.get("_starts", j + 1), F.size("_sorted")) - i)
+    counted = lambda i, j: F.transform(run(i, j), lambda x, o: F.struct(x["h"].alias("h"), o.alias("o"), x["p"].alias("p")))
+    return rows.select(*old, F.flatten(F.transform("_starts", counted)).alias(name))
 
 
 def as_text(fingerprint: str) -> Column:
@@ -69,12 +75,13 @@ def as_text(fingerprint: str) -> Column:
 def with_likeness(rows: DataFrame, a: str, b: str, name: str) -> DataFrame:
     """Add ``name``: the share of anchors of two fingerprints that are common in hash and relative position.
 
-    Both lists are sorted into one, in which equal hashes are neighbours.
+    Both lists are sorted into one, in which the places of equal hashes and counts are neighbours.
     """
     old = rows.columns
-    side = lambda c, k: F.transform(c, lambda x: F.struct(x["h"].alias("h"), F.lit(k).alias("k"), x["p"].alias("p")))
+    side = lambda c, k: F.transform(c, lambda x: F.struct(x["h"].alias("h"), x["o"].alias("o"), F.lit(k).alias("k"), x["p"].alias("p")))
     rows = rows.select(*old, F.sort_array(F.concat(side(a, 0), side(b, 1))).alias("_both"))
-    pair = lambda x, i: F.when(F.get("_both", i - 1)["h"] == x["h"], x["p"] - F.get("_both", i - 1)["p"])
+    before = lambda i: F.get("_both", i - 1)
+    pair = lambda x, i: F.when((before(i)["h"] == x["h"]) & (before(i)["o"] == x["o"]), x["p"] - before(i)["p"])
     rows = rows.select(*old, F.sort_array(F.filter(F.transform("_both", pair), lambda d: d.isNotNull())).alias("_shift"))
     agrees = lambda d, i: F.coalesce((F.get("_shift", i - 1) == d) | (F.get("_shift", i + 1) == d), F.get("_shift", i - 1) == d, F.get("_shift", i + 1) == d, F.lit(False))
     common = F.when(F.least(F.size(a), F.size(b)) <= 1, F.size("_shift")).otherwise(F.size(F.filter("_shift", agrees)))

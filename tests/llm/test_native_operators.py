@@ -3,10 +3,12 @@ import itertools
 import math
 import random
 import re
+import struct
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import xxhash
 from cases import words
 from pyspark.sql import functions as F
 
@@ -201,15 +203,67 @@ def test_anchors_are_context_free(spark):
     assert len(got[3]) == 1 and got[4] == {}
 
 
+def closed_syncmers(words):
+    """Anchors by the definition, a run at a time: (place, hash)."""
+
+    def fold(run):
+        h = 42
+        for x in run:
+            h = xxhash.xxh64_intdigest(struct.pack("<q", x), h)
+        return h - 2**64 if h >= 2**63 else h
+
+    h = [struct.unpack("<q", struct.pack("<Q", xxhash.xxh64_intdigest(w.encode(), 42)))[0] for w in words]
+    if len(h) < fingerprints.K:
+        return [(0, fold(h))] if h else []
+    out = []
+    for i in range(len(h) - fingerprints.K + 1):
+        run = h[i : i + fingerprints.K]
+        inner = [fold(run[j : j + fingerprints.S]) for j in range(fingerprints.K - fingerprints.S + 1)]
+        if min(inner) in (inner[0], inner[-1]):
+            out.append((i, fold(run)))
+    return out
+
+
+def test_anchors_are_closed_syncmers(spark):
+    rng = random.Random(12)
+    texts = [" ".join(rng.choice(["é", "b", "cc", "d d", "longer"][:k]) for _ in range(n)) for k in (1, 2, 5) for n in (0, 1, 7, 8, 9, 60, 400)]
+    df = spark.createDataFrame([*enumerate(texts), (len(texts), None)], "k int, text string")
+    got = {r["k"]: r for r in fingerprints.with_fingerprint(fingerprints.with_anchors(df, "text"), "text", "own").collect()}
+    for k, t in enumerate([*texts, None]):
+        want = closed_syncmers(words(t))
+        assert [(x["pos"], x["hash"]) for x in got[k]["anchors"]] == want
+        assert sorted((x["h"], x["p"]) for x in got[k]["own"]) == sorted((h & 0xFFFFFFFF, p) for p, h in want)
+
+
 def likeness(a, b):
-    at = [dict(sorted(((h, p) for p, h in x), reverse=True)) for x in (a, b)]
-    shift = Counter(at[1][h] - p for h, p in at[0].items() if h in at[1])
-    least = min(map(len, at))
+    at = [defaultdict(list), defaultdict(list)]
+    for x, places in zip((a, b), at, strict=True):
+        for p, h in sorted(x):
+            places[h].append(p)
+    shift = Counter(q - p for h in at[0] for p, q in zip(at[0][h], at[1].get(h, []), strict=False))
+    least = min(len(a), len(b))
     common = sum(c for c in shift.values() if c > 1 or least <= 1)
-    every = sum(map(len, at))
+    every = len(a) + len(b)
     return common / (every - common) if every else 1.0
 
 
+def test_likeness_counts_repeated_content(spark):
+    passage = " ".join(f"p{i}" for i in range(60))
+    pairs = {
+        "long run": ("x " * 3000, "x " * 40),
+        "copies": ((passage + " ") * 50, passage),
+        "three quarters": ("x " * 3000, "x " * 2250 + " ".join(f"y{i}" for i in range(750))),
+        "equal": ((passage + " ") * 50, (passage + " ") * 50),
+    }
+    df = spark.createDataFrame([(k, *v) for k, v in pairs.items()], "k string, a string, b string")
+    df = fingerprints.with_fingerprint(fingerprints.with_fingerprint(df, "a", "fa"), "b", "fb")
+    got = {r["k"]: r["near"] for r in fingerprints.with_likeness(df, "fa", "fb", "near").collect()}
+    assert 0.01 < got["long run"] < 0.02 and got["copies"] < 0.03 and 0.6 < got["three quarters"] < 0.8 and got["equal"] == 1
+    for k, (a, b) in pairs.items():
+        cut = lambda t: [(p, h & 0xFFFFFFFF) for p, h in closed_syncmers(words(t))]
+        assert math.isclose(got[k], likeness(cut(a), cut(b)))
+
+
 def test_likeness_against_brute_force(docs, spark):
     got = fingerprints.compare_edited(docs).collect()
     read = lambda f: [(int(x[8:], 16), x[:8]) for x in f.split(",") if x]
