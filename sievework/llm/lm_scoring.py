@@ -10,12 +10,14 @@ all words that training hasn't seen count there as one occurrence, of which each
 The counts are a written table that grows with the corpus and is joined to the scored texts' words. Where the scored documents
 are those of the corpus, a document's own occurrences don't count for it.
 
-Word counts and training cover all documents: every Spark task trains a copy of the network in numpy, and the
+Word counts and training cover all documents: hashes deal the documents of a round into parts, whose number follows from the
+corpus' words alone. Each part trains a copy of the network in numpy, in the order of the hashes, and the
 copies are averaged by the positions they saw. Each document is trained on, at all its positions, in exactly one
-round. Sums are taken in integers, so their order doesn't matter.
+round. Sums are taken in integers, so neither their order nor Spark's partitions matter to the network; a score can differ
+by the rounding of single precision (about 1e-7 of it), since a matrix product rounds by a position's place in its block.
 
 Defined results: a text without words, or null, has 0 tokens, log-likelihood 0 and a null
-perplexity and mean. Repeated rows get equal scores. Very long texts are scored whole. With an empty table the
+perplexity and mean. Repeated rows get equal scores up to that rounding. Very long texts are scored whole. With an empty table the
 result is empty.
 """
 
@@ -41,6 +43,8 @@ SIDE = 2
 EMBED, HIDDEN = 8, 16
 #: Rounds of averaging, over which the documents are dealt.
 ROUNDS = 2
+#: Words of a part, whose copy is trained in one task, as long as a round has at most ``PARTS`` of them; beyond that parts grow.
+PART_WORDS, PARTS = 1 << 20, 4096
 BATCH, RATE = 1024, 1.0
 #: Steps of the embeddings, each of which few positions of a batch move, are longer by this.
 EMBED_RATE = 16.0
@@ -225,32 +229,54 @@ def _unpack(flat: np.ndarray) -> Params:
     return out
 
 
-def train_round(docs: DataFrame, coder: Coder, params: Params) -> Params:
-    """Average of the copies that the tasks have trained from ``params``, weighted by positions."""
+def parted(docs: DataFrame, parts: int) -> DataFrame:
+    """``part``, ``text``: dealt by a hash of text and id, so that copies spread too, and sorted by it within a part."""
+    key = F.xxhash64("text", *[c for c in docs.columns if c == "doc_id"])
+    rows = docs.select(F.pmod(key, F.lit(parts)).cast("int").alias("part"), key.alias("_key"), "text")
+    return rows.repartitionById(parts, "part").sortWithinPartitions("part", "_key").select("part", "text")
+
+
+def train_round(docs: DataFrame, coder: Coder, params: Params, parts: int) -> Params:
+    """Average of the copies that ``parts`` parts of the documents have trained from ``params``, weighted by positions."""
     shared = docs.sparkSession.sparkContext.broadcast((coder, params))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, start = shared.value
-        p, seen = {k: v.copy() for k, v in start.items()}, 0
-        left_ctx, left_code = np.zeros((2 * SIDE, 0), np.int64), np.zeros(0, np.int64)
+        total, seen_by_all, part = 0, 0, None
+
+        def finish() -> None:
+            nonlocal total, seen_by_all, seen
+            if len(left_code):
+                train_step(p, left_ctx, left_code, RATE * len(left_code) / BATCH)
+                seen += len(left_code)
+            if seen:
+                total = total + np.round(_pack(p).astype(np.float64) * UNIT).astype(np.int64) * seen // 256
+                seen_by_all += seen
+
         for b in batches:
-            for _, texts in ta.passes(b.column("text")):
-                w = ta.split(texts, lower=True)
-                code = coder(ta.word_hashes(w))
-                ctx, code = np.concatenate([left_ctx, contexts(code, w.doc)], axis=1), np.concatenate([left_code, code])
-                whole = len(code) // BATCH * BATCH
-                for i in range(0, whole, BATCH):
-                    train_step(p, np.ascontiguousarray(ctx[:, i : i + BATCH]), code[i : i + BATCH])
-                left_ctx, left_code, seen = ctx[:, whole:], code[whole:], seen + whole
-        if len(left_code):
-            train_step(p, left_ctx, left_code, RATE * len(left_code) / BATCH)
-            seen += len(left_code)
-        if seen:
-            flat = _pack(p).astype(np.float64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat), dtype=np.int32)), pa.array(np.round(flat * UNIT).astype(np.int64) * seen // 256), pa.array(np.full(len(flat), seen, np.int64))], ["at", "v", "n"])
+            of = b.column("part").to_numpy()
+            starts = np.flatnonzero(np.append(True, of[1:] != of[:-1])) if len(of) else []
+            for first, end in zip(starts, [*starts[1:], len(of)], strict=True) if len(of) else []:
+                if of[first] != part:
+                    if part is not None:
+                        finish()
+                    part, p, seen = of[first], {k: v.copy() for k, v in start.items()}, 0
+                    left_ctx, left_code = np.zeros((2 * SIDE, 0), np.int64), np.zeros(0, np.int64)
+                for _, texts in ta.passes(b.column("text").slice(first, end - first)):
+                    w = ta.split(texts, lower=True)
+                    code = coder(ta.word_hashes(w))
+                    ctx, code = np.concatenate([left_ctx, contexts(code, w.doc)], axis=1), np.concatenate([left_code, code])
+                    whole = len(code) // BATCH * BATCH
+                    for i in range(0, whole, BATCH):
+                        train_step(p, np.ascontiguousarray(ctx[:, i : i + BATCH]), code[i : i + BATCH])
+                    left_ctx, left_code, seen = np.ascontiguousarray(ctx[:, whole:]), code[whole:], seen + whole
+        if part is not None:
+            finish()
+        if seen_by_all:
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total), dtype=np.int32)), pa.array(total), pa.array(np.full(len(total), seen_by_all, np.int64))], ["at", "v", "n"])
 
     small_batches(docs.sparkSession)
-    sums = docs.select("text").mapInArrow(run, "at int, v long, n long").groupBy("at").agg(F.sum("v").alias("v"), F.sum("n").alias("n"))
+    sums = parted(docs, parts).mapInArrow(run, "at int, v long, n long").groupBy("at").agg(F.sum("v").alias("v"), F.sum("n").alias("n"))
     got = sums.toArrow()
     if not got.num_rows:
         return params
@@ -260,10 +286,13 @@ def train_round(docs: DataFrame, coder: Coder, params: Params) -> Params:
 
 
 def train(docs: DataFrame, rounds: int = ROUNDS) -> tuple[Coder, Params]:
-    small_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    small_batches(spark)
     coder, params = coder_of(docs), fresh()
+    positions = spark.read.schema("word long, n long").parquet(coder.table).agg(F.sum("n")).first()[0] or 0
+    parts = max(1, min(PARTS, -(-positions // (rounds * PART_WORDS))))
     for turn in range(rounds):
-        params = train_round(dealt(docs, turn, rounds), coder, params)
+        params = train_round(dealt(docs, turn, rounds), coder, params, parts)
     return coder, params
 
 
@@ -289,7 +318,7 @@ def score(docs: DataFrame, model: tuple[Coder, Params], keep: list[str], inside:
                 h = ta.word_hashes(w)
                 code = coder(h)
                 ctx = contexts(code, w.doc)
-                # filled up: in blocks of one shape a position's result doesn't depend on its place
+                # filled up: blocks of one shape
                 rest = -len(code) % SCORED
                 ctx, padded = np.pad(ctx, ((0, 0), (0, rest))), np.pad(code, (0, rest))
                 logp = np.concatenate([log_probability(p, np.ascontiguousarray(ctx[:, i : i + SCORED]), padded[i : i + SCORED]) for i in range(0, len(padded), SCORED)] or [np.zeros(0)])[: len(code)]

@@ -102,6 +102,30 @@ def test_every_document_is_trained_on_once(docs, rows):
         assert all(len(t) > len(rows) / rounds / 3 for t in turns)
 
 
+def test_scores_do_not_depend_on_partitions(docs, spark, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "PART_WORDS", 3000)
+    got = []
+    for n, rows, shuffles in ((1, 256, "3"), (9, 7, "11")):
+        spark.conf.set("spark.sql.shuffle.partitions", shuffles)
+        monkeypatch.setattr(lm_scoring, "small_batches", lambda s, rows=rows: s.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows)))
+        frame = docs.orderBy(F.rand(n)).repartition(n)
+        model = lm_scoring.train(frame)
+        got.append((model, {r["doc_id"]: tuple(r) for r in lm_scoring.score(frame, model, ["doc_id"], inside=True).collect()}))
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    (a, one), (b, other) = got
+    # the network to the bit, scores up to the rounding of single precision
+    assert all(np.array_equal(a[1][k], b[1][k]) for k in a[1]) and one.keys() == other.keys()
+    flat = lambda x: np.array([[np.nan if v is None else v for v in x[i]] for i in sorted(x)], float)
+    assert np.allclose(flat(one), flat(other), rtol=1e-6, atol=0, equal_nan=True)
+    # several parts in one partition are trained as if each had its own
+    own = lm_scoring.train_round(docs, a[0], lm_scoring.fresh(), 5)
+    parted = lm_scoring.parted
+    assert parted(docs, 5).count() == docs.count() and parted(docs, 5).select("part").distinct().count() == 5
+    monkeypatch.setattr(lm_scoring, "parted", lambda d, n: parted(d, n).coalesce(1))
+    together = lm_scoring.train_round(docs, a[0], lm_scoring.fresh(), 5)
+    assert all(np.array_equal(own[k], together[k]) for k in own)
+
+
 def test_real_order_scores_better_and_rare_words_differ(spark):
     rng = random.Random(3)
     after = {i: rng.sample(range(60), 2) for i in range(60)}
