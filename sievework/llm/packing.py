@@ -12,10 +12,10 @@ vocabulary's special token in a text is one id, as the tokenizer has it by defau
 
 from __future__ import annotations
 
-import base64
+import os
 import re
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -23,52 +23,60 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievework.llm.common import cut, drop, numbered, small_batches
+from sievework.llm.common import ARROW_ROWS, cut, drop, numbered
+from sievework.sources.shared import arrow_rows
 
 MAX_LENGTH = 1024
 END_ID = 0
-#: The vocabulary's special token, which the tokenizer takes out of a text before it splits the rest (fixed values).
-SPECIAL, SPECIAL_ID = "<|endoftext|>", 50256
-#: White space in one run that the split pattern is trusted with: it steps back over runs, which overflows near 2^20.
-LONG_GAP = 1 << 19
-#: White space as the split pattern knows it.
-_GAPS = re.compile(r"[^\S\x1c-\x1f]+")
+#: Code points of words that an encoder remembers, and words that it takes at once.
+STORED, AT_ONCE = 1 << 23, 1 << 16
+#: A space between two printed characters: the split pattern always starts a word with it, whatever stands around.
+_CUT = re.compile(r" (?<=[\w!-~] )(?=[\w!-~])")
+
+
+class Encoder:
+    """Ids of whole texts as little-endian unsigned 32-bit integers, by the given tokenizer.
+
+    Texts are cut where the tokenizer cuts in any case, so ids of the parts are ids of the text. Parts
+    that were met before are taken from a store, which starts anew when it is full.
+    """
+
+    def __init__(self, path: str, stored: int = STORED, at_once: int = AT_ONCE):
+        # a task has one core
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.store, self.size, self.stored, self.at_once = {}, 0, stored, at_once
+
+    def _ids(self, parts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
+
+    def __call__(self, text: str) -> bytes:
+        first, *rest = _CUT.split(text)
+        out = self._ids([first])
+        for at in range(0, len(rest), self.at_once):
+            words = rest[at : at + self.at_once]
+            new = list(set(words).difference(self.store))
+            if new:
+                if self.size > self.stored:
+                    self.store, self.size, new = {}, 0, list(set(words))
+                self.store.update(zip(new, self._ids([" " + w for w in new]), strict=True))
+                self.size += sum(map(len, new))
+            out += map(self.store.__getitem__, words)
+        return b"".join(out)
 
 
 @lru_cache(maxsize=2)
-def _encoder(path: str, pattern: str, long_gap: int = LONG_GAP) -> Callable[[str], list[int]]:
-    import tiktoken
-
-    with open(path, "rb") as f:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    plain = tiktoken.Encoding("given", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-    whole = tiktoken.Encoding("unsplit", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-
-    def encode_part(text: str) -> list[int]:
-        ids, at = [], 0
-        for gap in _GAPS.finditer(text) if len(text) > long_gap else ():
-            if gap.end() - gap.start() > long_gap:
-                # one piece, but for its last character if a word follows
-                stop = gap.end() - (gap.end() < len(text))
-                ids += plain(text[at : gap.start()]) + whole(text[gap.start() : stop])
-                at = stop
-        return ids + plain(text[at:])
-
-    def encode(text: str) -> list[int]:
-        first, *rest = text.split(SPECIAL)
-        ids = encode_part(first)
-        for part in rest:
-            ids += [SPECIAL_ID, *encode_part(part)]
-        return ids
-
-    return encode
-
-
-def default_vocabulary() -> tuple[str, str]:
-    """Path and split pattern of the byte-level vocabulary; the ids are those of its ``.json`` form."""
+def _encoder(path: str) -> Encoder:
+    return Encoder(path)
+
+
+def default_vocabulary() -> str:
+    """Path of the tokenizer whose ids count."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    return public_tokenizers.path("byte_bpe_50k.json")
 
 
 def piece_lengths(n: int, longest: int = MAX_LENGTH) -> list[int]:
@@ -78,21 +86,20 @@ def piece_lengths(n: int, longest: int = MAX_LENGTH) -> list[int]:
     return out + [1 << k for k in range(rest.bit_length() - 1, -1, -1) if rest >> k & 1]
 
 
-def pieces(docs: DataFrame, vocabulary: tuple[str, str] | None = None, longest: int = MAX_LENGTH, with_ids: bool = True) -> DataFrame:
+def pieces(docs: DataFrame, vocabulary: str | None = None, longest: int = MAX_LENGTH, with_ids: bool = True) -> DataFrame:
     """A row per piece: ``doc_id, start, length, ids_crc32, doc_tokens`` and, if asked for, ``ids``."""
-    path, pattern = vocabulary or default_vocabulary()
-    small_batches(docs.sparkSession)
+    path = vocabulary or default_vocabulary()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(path, pattern)
+        encoder, end = _encoder(path), np.array([END_ID], "<u4").tobytes()
         for b in batches:
             keys, out = b.column("doc_id").to_pylist(), []
             for key, text in zip(keys, b.column("text"), strict=True):
-                ids = np.array([*encoder(text.as_py() or ""), END_ID], "<u4")
-                at = 0
-                for n in piece_lengths(len(ids), longest):
-                    part = ids[at : at + n]
-                    out.append((key, at, n, zlib.crc32(part.tobytes()), len(ids), part.tobytes() if with_ids else None))
+                ids = encoder(text.as_py() or "") + end
+                at, total = 0, len(ids) // 4
+                for n in piece_lengths(total, longest):
+                    part = ids[4 * at : 4 * (at + n)]
+                    out.append((key, at, n, zlib.crc32(part), total, part if with_ids else None))
                     at += n
             cols = list(zip(*out, strict=True)) or [[]] * 6
             arrays = [pa.array(c, pa.int64()) for c in cols[:5]] + ([pa.array(cols[5], pa.binary())] if with_ids else [])
@@ -102,13 +109,14 @@ def pieces(docs: DataFrame, vocabulary: tuple[str, str] | None = None, longest:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(encode, schema)
 
 
-def pack(docs: DataFrame, vocabulary: tuple[str, str] | None = None, longest: int = MAX_LENGTH, with_ids: bool = True) -> DataFrame:
+def pack(docs: DataFrame, vocabulary: str | None = None, longest: int = MAX_LENGTH, with_ids: bool = True) -> DataFrame:
     """Pieces with ``sequence_id`` and ``offset``; sequences are numbered bucket by bucket, longest first.
 
     ``ids`` (if asked for) holds the piece's ids as little-endian unsigned 32-bit integers.
     """
     # written once: dealing rows by range reads them twice
-    written = cut(pieces(docs, vocabulary, longest, with_ids), "pieces")
+    with arrow_rows(docs.sparkSession, ARROW_ROWS):
+        written = cut(pieces(docs, vocabulary, longest, with_ids), "pieces")
     out = numbered(written.withColumn("_bucket", -F.col("length")), ["_bucket", "doc_id", "start", "ids_crc32"], "sequence_id")
     drop(written)
     return out.drop("_bucket").withColumn("offset", F.lit(0).cast("long"))

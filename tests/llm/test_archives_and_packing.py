@@ -140,13 +140,17 @@ def test_long_white_space_has_the_ids_of_the_tokenizer():
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    texts = [f"{a}{gap * 9}{b}" for a in ("", "a", "it's", "\x1c") for gap in (" ", "\n", " \t", "\u3000", "\x1c") for b in ("", "b", " c", "\u00e9", "\x1c")]
-    short = packing._encoder(*packing.default_vocabulary(), 4)
-    for x in [*texts, " ".join(texts)]:
-        assert short(x) == t.encode(x, add_special_tokens=False).ids
-    # beyond what the split pattern can step back over
-    long_ = "a" + " " * 1_200_000 + "b"
-    assert packing._encoder(*packing.default_vocabulary())(long_) == t.encode(long_, add_special_tokens=False).ids
+    texts = [f"{a}{gap * k}{b}" for a in ("", "a", "it's", "\x1c", ".", "\u4e2d") for gap in (" ", "\n", " \t", "\u3000", "\x1c", "\x85", "\u200b") for k in (1, 2, 9) for b in ("", "b", " c", "\u00e9", "\x1c", "'s", "_1", "\u0301")]
+    encode = packing.Encoder(packing.default_vocabulary())
+    for x in [*texts, " ".join(texts), "a" + " " * 1_200_000 + "b", "a b " * 100_000]:
+        assert encode(x) == np.array(t.encode(x, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+def test_a_full_store_changes_no_ids(rows):
+    small, large = packing.Encoder(packing.default_vocabulary(), stored=40, at_once=7), packing.Encoder(packing.default_vocabulary())
+    for _, x, *_ in rows:
+        assert small(x or "") == large(x or "")
+        assert small.size <= 40 + 7 * max(map(len, (x or "").split(" ")), default=0)
 
 
 def test_special_tokens_in_texts_have_the_ids_of_the_tokenizer(spark):
@@ -157,9 +161,9 @@ def test_special_tokens_in_texts_have_the_ids_of_the_tokenizer(spark):
     texts = [f"a {end} b", end, end * 2, f"{end}x", f"x{end}", f" {end} ", f"\n{end}\n\n{end}\t", f"<|endoftext{end}|>", "<|endoftext|", "<|ENDOFTEXT|>", f"é{end}é"]
     parts = [end, end, " ", "  ", "\n", "a", "it's", "12", "é", "<|", "|>", "\x1c", "word"]
     texts += ["".join(rng.choices(parts, k=rng.randrange(12))) for _ in range(3000)]
-    encode = packing._encoder(*packing.default_vocabulary())
+    encode = packing.Encoder(packing.default_vocabulary())
     for x in texts:
-        assert encode(x) == t.encode(x, add_special_tokens=False).ids
+        assert encode(x) == np.array(t.encode(x, add_special_tokens=False).ids, "<u4").tobytes()
     df = spark.createDataFrame(list(enumerate(texts[:50])), "doc_id long, text string")
     got = {r["doc_id"]: r["doc_tokens"] for r in packing.pack(df, with_ids=False).collect()}
     assert got == {i: len(t.encode(x, add_special_tokens=False).ids) + 1 for i, x in enumerate(texts[:50])}
