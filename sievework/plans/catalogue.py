@@ -749,11 +749,11 @@ def _drawn(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series
         yield pd.Series(out)
 
 
-def _pictures(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _pictures(spark: SparkSession, sf_dir: str, draw: Callable = _drawn) -> DataFrame:
     """Each vector as an image of 8 x 8 cells, gray or in colour; some are cut off or have another format's first bytes."""
     e = table(spark, sf_dir, "embeddings").where("size(embedding) = 64")
     cells = F.transform("embedding", lambda x: F.least(F.lit(255), F.greatest(F.lit(0), F.floor(128 + 240 * x.cast("double")))).cast("int"))
-    return e.select("vec_id", _drawn("vec_id", cells).alias("content"))
+    return e.select("vec_id", draw("vec_id", cells).alias("content"))
 
 
 @query(f"""WITH {PICTURES},
@@ -780,13 +780,34 @@ def image_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(f"""WITH {PICTURES}, pairs AS (SELECT a.vec_id AS vec_a, b.vec_id AS vec_b, a.p AS p, b.p AS q FROM g a JOIN g b ON b.vec_id = a.vec_id + 1 WHERE a.vec_id % 2 = 0),
-  s AS (SELECT vec_a, avg((2 * p[i + 1] * q[i + 1] + 6.5025) / (p[i + 1] * p[i + 1] + q[i + 1] * q[i + 1] + 6.5025)) AS s FROM pairs, range(64) AS r(i) GROUP BY 1)
+#: As PICTURES, with a checkerboard of its own strength and sign in each cell: of two-pixel fields where a cell has 8 x 8, of one-pixel fields where it has 4 x 4.
+DETAILED = f"""{PICTURES}, fine AS (SELECT vec_id, c, unnest(range(64)) AS i, unnest(list_transform(range(64), lambda i: greatest(12, least(243, v[i + 1])))) AS x, unnest(list_transform(range(64), lambda i: (vec_id * 7 + i * 3) % 25 - 12)) AS d, mono FROM g),
+  f AS (SELECT vec_id, c, i, CASE WHEN mono THEN x ELSE 0.413 * x + 0.587 * (255 - x) END AS p, CASE WHEN mono THEN d ELSE -0.174 * d END AS d FROM fine)"""
+
+
+@F.pandas_udf(T.BinaryType())
+def _drawn_finely(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    for ids, cells in batches:
+        out = []
+        for k, v in zip(ids, cells, strict=True):
+            side = 4 if k % 4 == 1 else 8
+            sign = 1 - 2 * (np.add.outer(np.arange(side), np.arange(side)) % 2)
+            detail = (k * 7 + np.arange(64) * 3) % 25 - 12
+            plane = np.kron(np.clip(np.asarray(v, np.int64), 12, 243).reshape(8, 8), np.ones((side, side), np.int64)) + np.kron(detail.reshape(8, 8), sign)
+            plane = plane.astype(np.uint8)
+            data = images.encode_png(plane[..., None] if k % 3 == 0 else np.stack([plane, 255 - plane, plane], axis=-1))
+            out.append(b"\xff\xd8\xff" + data if k % 10 == 3 else data[:60] if k % 10 == 7 else data)
+        yield pd.Series(out)
+
+
+@query(f"""WITH {DETAILED}, pairs AS (SELECT a.vec_id AS vec_a, a.p AS x, a.d AS dx, b.p AS y, b.d AS dy, b.c AS c FROM f a JOIN f b ON b.vec_id = a.vec_id + 1 AND b.i = a.i WHERE a.vec_id % 2 = 0),
+  blocks AS (SELECT vec_a, x, y, dx * dx AS vx, dy * dy AS vy, dx * dy AS cov FROM pairs WHERE c = 8 UNION ALL SELECT vec_a, x, y + t * dy, dx * dx, 0, 0 FROM pairs, (VALUES (1), (-1)) AS signs(t) WHERE c = 4),
+  s AS (SELECT vec_a, avg((2 * x * y + 6.5025) * (2 * cov + 58.5225) / ((x * x + y * y + 6.5025) * (vx + vy + 58.5225))) AS s FROM blocks GROUP BY 1)
   SELECT a.vec_id AS vec_a, b.vec_id AS vec_b, round(s.s, 6) AS similarity, CASE WHEN s.s IS NULL THEN 'comparison_failed' WHEN s.s >= 0.95 THEN 'high_ssim_match' ELSE 'low_ssim_different' END AS tier
   FROM pic a JOIN pic b ON b.vec_id = a.vec_id + 1 LEFT JOIN s ON s.vec_a = a.vec_id WHERE a.vec_id % 2 = 0""")
 def image_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Structural similarity of candidate pairs, here of each even id with its successor."""
-    p = _pictures(spark, sf_dir)
+    """Structural similarity of candidate pairs, here of each even id with its successor; variance and covariance count, since blocks have detail."""
+    p = _pictures(spark, sf_dir, _drawn_finely)
     b = p.select((F.col("vec_id") - 1).alias("_k"), F.col("vec_id").alias("vec_b"), F.col("content").alias("other"))
     met = p.where("vec_id % 2 = 0").join(b, F.col("vec_id") == F.col("_k"))
     rows = met.select(F.col("vec_id").alias("vec_a"), "vec_b", F.md5("content") == F.md5("other"), images.structural_similarity("content", "other").alias("s")).toDF("vec_a", "vec_b", "same", "s")
