@@ -311,19 +311,20 @@ def loose_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""WITH s AS (SELECT vec_id, label, list_sum(list_transform(range(1, 65), lambda i: CASE WHEN embedding[i] > 0 THEN 1::HUGEINT << (64 - i) ELSE 0::HUGEINT END))::UBIGINT AS h,
-      list_sum(list_transform(range(1, 65), lambda i: CASE WHEN embedding[65 - i] > 0 THEN 1::HUGEINT << (64 - i) ELSE 0::HUGEINT END))::UBIGINT AS f FROM embeddings)
+      list_sum(list_transform(range(1, 65), lambda i: CASE WHEN list_reverse(embedding)[i] > 0 THEN 1::HUGEINT << (64 - i) ELSE 0::HUGEINT END))::UBIGINT AS f FROM embeddings WHERE embedding IS NOT NULL)
   SELECT a.label, a.vec_id AS query_id, b.vec_id AS found_id, least(bit_count(xor(a.h, b.h)), bit_count(xor(a.f, b.h)))::INT AS distance
-  FROM s a JOIN s b ON a.label = b.label AND a.vec_id <> b.vec_id WHERE a.vec_id % 20 = 0 AND least(bit_count(xor(a.h, b.h)), bit_count(xor(a.f, b.h))) <= 24""")
+  FROM s a JOIN s b ON a.label IS NOT DISTINCT FROM b.label AND a.vec_id <> b.vec_id WHERE a.vec_id % 20 = 0 AND least(bit_count(xor(a.h, b.h)), bit_count(xor(a.f, b.h))) <= 24""")
 def near_dup_mirror(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stated query set (ids divisible by 20) against all vectors of the label, mirrored or not.
 
-    Bands hold nothing apart at such a distance, so each query meets its label's vectors.
+    Bands hold nothing apart at such a distance, so each query meets its label's vectors. Vectors of any width have a
+    hash (values that aren't there count as not positive); a null vector has none. A null label is one like others.
     """
-    e = table(spark, sf_dir, "embeddings").where("size(embedding) = 64")
+    e = table(spark, sf_dir, "embeddings").where("embedding is not null")
     s = e.select("vec_id", "label", hashing.sign_hash(F.col("embedding")).alias("h"), hashing.sign_hash(F.col("embedding"), True).alias("f"))
-    q = s.where("vec_id % 20 = 0").select("label", F.col("vec_id").alias("query_id"), F.col("h").alias("qh"), F.col("f").alias("qf"))
+    q = s.where("vec_id % 20 = 0").select(F.col("label").alias("ql"), F.col("vec_id").alias("query_id"), F.col("h").alias("qh"), F.col("f").alias("qf"))
     d = F.least(hashing.hamming(F.col("qh"), F.col("h")), hashing.hamming(F.col("qf"), F.col("h")))
-    return q.join(s, "label").where("query_id <> vec_id").select("label", "query_id", F.col("vec_id").alias("found_id"), d.alias("distance")).where("distance <= 24")
+    return q.join(s, F.col("ql").eqNullSafe(F.col("label"))).where("query_id <> vec_id").select("label", "query_id", F.col("vec_id").alias("found_id"), d.alias("distance")).where("distance <= 24")
 
 
 CLUSTERS = f"""{SIMHASH}, links AS (SELECT rep_a AS a, rep_b AS b FROM pairs WHERE distance <= 4 UNION SELECT rep_b, rep_a FROM pairs WHERE distance <= 4),

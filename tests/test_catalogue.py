@@ -47,6 +47,21 @@ def test_null_labels_and_short_texts_against_sql(spark, tmp_path):
     assert QUERIES["dirichlet_clients"](spark, f"file://{tmp_path}").count() == sum(i % 10 < 8 for i in range(len(rows)))
 
 
+def test_vectors_of_any_width_against_sql(spark, tmp_path):
+    rng = random.Random(2)
+    base = [rng.uniform(-1, 1) for _ in range(100)]
+    near = lambda n: [-x if rng.random() < 0.15 else x for x in base[:n]]
+    rows = [(i, [None, "x", "y"][i % 3], near((64, 64, 64, 100, 3)[i % 5])) for i in range(120)]
+    rows += [(120, "x", None), (140, None, []), (121, None, near(64)[::-1]), (160, "y", [None] * 64), (160, "y", near(64)), (None, "y", near(64))]
+    spark.createDataFrame(rows, "vec_id long, label string, embedding array<double>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    df, rel = QUERIES["near_dup_mirror"](spark, f"file://{tmp_path}"), con.sql(ORACLES["near_dup_mirror"])
+    got = sorted((tuple(plain(r[c]) for c in rel.columns) for r in df.collect()), key=str)
+    assert got == sorted((tuple(map(plain, r)) for r in rel.fetchall()), key=str)
+    assert {r[0] for r in got} == {None, "x", "y"} and any(r[1] == 140 for r in got)
+
+
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_without_sql(spark, name):
     assert QUERIES[name](spark, SF).count() > 0
