@@ -89,3 +89,31 @@ def test_wide_slices_with_near_values_lose_no_pair(spark):
     assert dedup.cut_for(4, 10**9)[1] > 0 and dedup.cut_for(8, 10**9)[1] > 0 and dedup.cut_for(20, 10) == (21, 0)
     got = {r["rep"]: r["links"] for r in dedup.degrees(classes.where("rep < 3"), spark.createDataFrame([(0, 1)], "rep_a long, rep_b long")).collect()}
     assert got == {0: 1, 1: 1, 2: 0}
+
+
+def test_exploded_lists_are_never_broadcast(spark, monkeypatch):
+    # 66 lists a class, while Spark takes the size of the classes for theirs
+    rng = random.Random(8)
+    rows = [(i, "a", signed(rng.getrandbits(64)), 1) for i in range(3000)]
+    classes = dedup.cut(spark.createDataFrame(rows, "rep long, label string, hash long, members long"), "classes")
+    plans = {}
+
+    def kept(df, tag, cut=dedup.cut):
+        plans[tag] = df._jdf.queryExecution().executedPlan().toString()
+        return cut(df, tag)
+
+    monkeypatch.setattr(dedup, "cut", kept)
+    more = dedup.links(classes, "label", 4, cut_by=(3, 1))
+    assert "BuildLeft" not in plans["lists"] and "Generate" in plans["lists"]
+    assert "SortMergeJoin" in more._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" not in dedup.near_pairs(classes, "label", 4, cut_by=(3, 1))._jdf.queryExecution().executedPlan().toString()
+    # lists' heads and components are broadcast after a count only
+    monkeypatch.setattr("sievework.operators.joins.BROADCAST_ROWS", -1, raising=False)
+    dedup.links(classes, "label", 4, cut_by=(3, 1))
+    assert "BroadcastExchange" not in plans["lists"] + plans["labelled"]
+
+
+def test_clusters_of_small_files_are_joined_by_a_shuffle(spark):
+    rows = dedup.cut(spark.range(3000).selectExpr("id as ord", "'a' as label", "id as hash", "id as size", "1.0 as sharp", "cast(id as string) as cluster_id"), "rows")
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan(dedup.choose(rows, "cluster_id", "ord", "size", "sharp"))
