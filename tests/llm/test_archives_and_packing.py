@@ -176,3 +176,20 @@ def test_sequences_are_numbered_by_bucket(docs, empty, odd):
     assert sorted(tuple(r) for r in again.collect()) == sorted(tuple(r) for r in out)
     assert packing.pack(empty).count() == 0
     assert sum(r["length"] for r in packing.pack(odd, with_ids=False).collect() if r["doc_id"] == 3) == 1
+
+
+def test_plain_words_need_the_model_alone_and_the_store_is_trimmed():
+    rng = random.Random(3)
+    bits = ["the", "naïve", "Ünder", "ñ", "ÿ", "×", "don't", "DOG'S", ",", ".", "...", "***", "!?", "\n", "\n\n", "7", "a1", "_x", "ĳ", "中", "<|endoftext|>", "\xa0", "\xad", "'ll", "-"]
+    words = ["".join(rng.choices(bits, k=rng.randint(1, 5))) for _ in range(4000)]
+    encode = packing.Encoder(packing.default_vocabulary(), stored=3000)
+    for at in range(0, len(words), 50):
+        text = " ".join(words[at : at + 50])
+        want = encode.tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(encode(text), "<u4").tolist() == want, text
+    asked, whole = [], encode._ids
+    encode._ids = lambda parts: asked.extend(parts) or whole(parts)
+    encode("It begins: hereabouts,\nNowhere... else!! andé é1")
+    assert asked == ["It", " é1"]
+    encode.trim(40)
+    assert 0 < encode.size == sum(map(len, encode.store)) <= 40
