@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievework.llm import text_arrays as ta
-from sievework.llm.common import components, cut, drop, numbered, pick, small_batches, without
+from sievework.llm.common import components, cut, drop, numbered, pick, released, small_batches, without
 
 #: Frequent shingles that the broadcast order holds at most (12 bytes each).
 FREQUENT = 1 << 19
@@ -68,7 +68,7 @@ def frequent_shingles(docs: DataFrame, n: int, most: int = FREQUENT) -> tuple[np
         if held:
             yield flush()
 
-    counts = cut(docs.select("text").mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).where("n >= 4"), "frequent")
+    counts = cut(docs.select("text").mapInArrow(released(count), "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).where("n >= 4"), "frequent")
     steps = counts.groupBy(F.floor(F.log2("n") * 4).alias("step")).agg(F.count(F.lit(1)).alias("c")).collect()
     total, least = 0, None
     for r in sorted(steps, key=lambda r: -r["step"]):
@@ -124,7 +124,7 @@ def prefixes(docs: DataFrame, n: int, num: int, den: int, frequent: tuple[np.nda
             cat = lambda x: pa.array(np.concatenate(x).astype(np.int64) if x else np.zeros(0, np.int64))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), cat(sizes), pa.array(sigs, pa.binary()), cat(rares), lists(parts, lens), lists(sketches, widths)], ["doc_id", "n", "sig", "rare", "prefix", "sketch"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(make, "doc_id long, n long, sig binary, rare long, prefix array<long>, sketch array<long>")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(released(make), "doc_id long, n long, sig binary, rare long, prefix array<long>, sketch array<long>")
 
 
 def overlaps(pairs: DataFrame, docs: DataFrame, n: int) -> DataFrame:
@@ -155,7 +155,7 @@ def overlaps(pairs: DataFrame, docs: DataFrame, n: int) -> DataFrame:
                 counts = [np.bincount(x, minlength=k).astype(np.int64) for x in (da, db, doc[1:][same])]
                 yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b"), *map(pa.array, counts)], ["a", "b", "na", "nb", "o"])
 
-    return both.mapInArrow(count, "a long, b long, na long, nb long, o long")
+    return both.mapInArrow(released(count), "a long, b long, na long, nb long, o long")
 
 
 def _links(o: Column, na: Column, nb: Column, num: int, den: int) -> Column:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sievework.llm.common import small_batches
+from sievework.llm.common import released, small_batches
 
 BUCKETS = 1 << 16
 ORDERS = (1, 2, 3)
@@ -89,7 +89,7 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str
         yield pa.RecordBatch.from_arrays([pa.array(k, pa.int32()), pa.array(j, pa.int32()), pa.array(table[k, j])], ["k", "bucket", "n"])
 
     small_batches(labelled.sparkSession)
-    counts = rows.select("text", "lang").mapInArrow(count, "k int, bucket int, n long").groupBy("k", "bucket").agg(F.sum("n").alias("n"))
+    counts = rows.select("text", "lang").mapInArrow(released(count), "k int, bucket int, n long").groupBy("k", "bucket").agg(F.sum("n").alias("n"))
     got = counts.toArrow()
     table = np.zeros((BUCKETS, len(langs)))
     table[got["bucket"].to_numpy(), got["k"].to_numpy()] = got["n"].to_numpy()
@@ -122,7 +122,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], text: str = "t
             yield pa.RecordBatch.from_arrays([*[b.column(c) for c in keep], pa.array(pred, pa.string()), pa.array(best)], [*keep, "lang_pred", "score"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*keep).schema)
-    return rows.mapInArrow(score, f"{fields}{', ' if fields else ''}lang_pred string, score double")
+    return rows.mapInArrow(released(score), f"{fields}{', ' if fields else ''}lang_pred string, score double")
 
 
 def held_out(key: Column) -> Column:

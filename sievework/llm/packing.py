@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sievework.llm.common import ARROW_ROWS, cut, drop, numbered
+from sievework.llm.common import ARROW_ROWS, cut, drop, numbered, released
 from sievework.sources.shared import arrow_rows
 
 MAX_LENGTH = 1024
@@ -150,7 +150,7 @@ def pieces(docs: DataFrame, vocabulary: str | None = None, longest: int = MAX_LE
         encoder.trim(KEPT)
 
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long" + (", ids binary" if with_ids else "")
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(encode, schema)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(released(encode), schema)
 
 
 def pack(docs: DataFrame, vocabulary: str | None = None, longest: int = MAX_LENGTH, with_ids: bool = True) -> DataFrame:

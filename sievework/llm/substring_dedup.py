@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievework.llm import text_arrays as ta
-from sievework.llm.common import cut, drop, pick, small_batches
+from sievework.llm.common import cut, drop, pick, released, small_batches
 from sievework.llm.fm_index import FMIndex
 
 WINDOW = 35
@@ -101,7 +101,7 @@ def documents_of(docs: DataFrame, window: int, gram: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*[b.column(c) for c in ("doc_id", "node", "text_hash")], pa.array(np.concatenate(sizes).astype(np.int64) if sizes else [], pa.int64()), pa.array(shas, pa.string()), pa.ListArray.from_arrays(pa.array(offsets), values)], ["doc_id", "node", "text_hash", "n_words", "sha256", "anchors"])
 
     rows = docs.select(F.col("doc_id").cast("long"), _node().alias("node"), F.xxhash64("text").alias("text_hash"), "text")
-    return rows.mapInArrow(make, "doc_id long, node long, text_hash long, n_words long, sha256 string, anchors array<long>")
+    return rows.mapInArrow(released(make), "doc_id long, node long, text_hash long, n_words long, sha256 string, anchors array<long>")
 
 
 def passages_of(docs: DataFrame, wanted: DataFrame, window: int, gram: int) -> DataFrame:
@@ -133,7 +133,7 @@ def passages_of(docs: DataFrame, wanted: DataFrame, window: int, gram: int) -> D
                     kinds = [pa.int64(), pa.binary(), pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.string()]
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], ["anchor", "passage", "sha256", "begin", "at", "weight", "words"])
 
-    return rows.mapInArrow(make, "anchor long, passage binary, sha256 string, begin int, at int, weight long, words string")
+    return rows.mapInArrow(released(make), "anchor long, passage binary, sha256 string, begin int, at int, weight long, words string")
 
 
 def extended(passages: DataFrame, window: int, span: int, more: int) -> DataFrame:
@@ -206,7 +206,7 @@ def repeated_windows(passages: DataFrame, window: int, span: int, shard_words: i
             yield flush()
 
     rows = passages.select("anchor", "passage", "words", "weight").repartition("anchor").sortWithinPartitions("anchor")
-    return rows.mapInArrow(find, "passage binary, hits array<int>")
+    return rows.mapInArrow(released(find), "passage binary, hits array<int>")
 
 
 def removals(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shard_passages: int = SHARD_PASSAGES) -> tuple[DataFrame, DataFrame]:
@@ -269,7 +269,7 @@ def cut_words(docs: DataFrame, spans: DataFrame, window: int = WINDOW, with_text
             kinds = [pa.string(), pa.int64(), pa.string(), pa.string()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], ["sha256", "n_removed", "kept_sha256", "kept_text"])
 
-    made = rows.mapInArrow(make, "sha256 string, n_removed long, kept_sha256 string, kept_text string")
+    made = rows.mapInArrow(released(make), "sha256 string, n_removed long, kept_sha256 string, kept_text string")
     return made if with_text else made.drop("kept_text").distinct()
 
 
@@ -302,7 +302,7 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
             yield pa.RecordBatch.from_arrays(arrays, columns).filter(pa.array(keep))
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    out = rows.select(*columns, "sha256", "begins").mapInArrow(make, fields)
+    out = rows.select(*columns, "sha256", "begins").mapInArrow(released(make), fields)
     return out.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in columns else out
 
 

@@ -108,3 +108,16 @@ def test_a_line_that_many_texts_share(spark):
     rows += [(200 + i, text_of(rng, 3, False) + " ".join(words(rows[i][1])[8:90])) for i in range(60)]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     assert sorted((tuple(r) for r in substring_dedup.dedup(df, shard_passages=20).collect()), key=str) == brute(rows, 35)
+
+
+def test_arrow_gives_back_its_memory_when_a_task_ends(monkeypatch):
+    from types import SimpleNamespace
+
+    from sievework.llm import common
+
+    given = []
+    pool = SimpleNamespace(release_unused=lambda: given.append(True))
+    monkeypatch.setattr(common, "pa", SimpleNamespace(default_memory_pool=lambda: pool))
+    batches = common.released(lambda rows: (2 * r for r in rows))(iter([1, 2]))
+    assert next(batches) == 2 and next(batches) == 4 and not given
+    assert next(batches, None) is None and given == [True]
